@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from snowlit.functions.text import WHITESPACE_CLASS, strip
+from snowlit.functions.text import UNICODE, WHITESPACE_CLASS, strip
 
 # Address prefixes, DOI start, PDF signature, file-key rules, and
 # the leading letters of term identifiers.
@@ -42,8 +42,8 @@ def doi_key(col: Column, case_sensitive: bool = False) -> Column:
 
 def title_key(col: Column) -> Column:
     """Label made from a title: word characters, ``-`` and ``_`` only, 200 at most."""
-    kept = F.regexp_replace(col, rf"[^\p{{L}}\p{{N}}_\-{WHITESPACE_CLASS}]", "")
-    joined = F.regexp_replace(kept, f"[{WHITESPACE_CLASS}]+", "_")
+    kept = F.regexp_replace(col, rf"{UNICODE}[^\p{{L}}\p{{N}}_\-{WHITESPACE_CLASS}]", "")
+    joined = F.regexp_replace(kept, f"{UNICODE}[{WHITESPACE_CLASS}]+", "_")
     return F.coalesce(F.substring(joined, 1, TITLE_KEY_LENGTH), F.lit(NO_TITLE))
 
 

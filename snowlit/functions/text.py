@@ -12,9 +12,9 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-WHITESPACE_CLASS = (
-    r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-)
+# The same set as a regular expression: Unicode whitespace and four separators.
+WHITESPACE_CLASS = r"\s\x1c-\x1f"
+UNICODE = "(?U)"
 TOKENS_PER_WORD = 4
 CHARS_PER_TOKEN = 4
 
@@ -26,7 +26,7 @@ def strip(col: Column) -> Column:
 
 def squeeze(col: Column) -> Column:
     """Stripped text with every whitespace run made one space."""
-    return F.regexp_replace(strip(col), f"[{WHITESPACE_CLASS}]+", " ")
+    return F.regexp_replace(strip(col), f"{UNICODE}[{WHITESPACE_CLASS}]+", " ")
 
 
 def words(col: Column) -> Column:
@@ -36,13 +36,14 @@ def words(col: Column) -> Column:
 
 def split_squeezed(col: Column) -> Column:
     """Words of text that :func:`squeeze` has already cleaned."""
-    return F.when(col == "", F.array().cast("array<string>")).otherwise(F.split(col, " "))
+    # Only empty text gives an empty word. No CASE, so that the text is made once.
+    return F.array_remove(F.split(col, " "), "")
 
 
 def count_squeezed(col: Column) -> Column:
     """Number of words in squeezed text, without building the word array."""
     spaces = F.length(col) - F.length(F.replace(col, F.lit(" "), F.lit("")))
-    return F.when(col == "", F.lit(0)).otherwise(spaces + 1)
+    return spaces + (col != "").cast("int")
 
 
 def word_count(col: Column) -> Column:

@@ -8,13 +8,15 @@ from pyspark.sql.types import IntegerType
 
 from snowlit.checkpoints import work_path, write_step
 from snowlit.operators.resolve import SUCCESS
+from snowlit.operators.skew import hot_keys, split_join
 from snowlit.schemas import with_field
 
 
 def expand_citations(frontier: DataFrame, citations: DataFrame) -> DataFrame:
     """One hop: everything the ``doi`` column of ``frontier`` cites, repeats kept."""
-    edges = citations.filter(F.col("dst").isNotNull())
-    return frontier.join(edges, F.col("doi") == F.col("src")).select("src", "pos", "dst")
+    edges = citations.filter(F.col("dst").isNotNull()).select("src", "pos", "dst")
+    start = frontier.select(F.col("doi").alias("src"))
+    return split_join(edges, start, "src", ["pos", "dst"])
 
 
 def frontier_ok(frontier: DataFrame, log: DataFrame) -> DataFrame:
@@ -23,6 +25,18 @@ def frontier_ok(frontier: DataFrame, log: DataFrame) -> DataFrame:
     return frontier.join(done, "doi", "left_semi")
 
 
+def _edge_table(citations: DataFrame, base: str) -> tuple[DataFrame, DataFrame]:
+    """The distinct edges ``(src, dst, m)``, ``m`` the number of copies, and the
+    sources with very many of them. Narrow, and made once for all levels."""
+    edges = (
+        citations.filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
+        .groupBy("src", "dst")
+        .agg(F.count(F.lit(1)).alias("m"))
+    )
+    edges = write_step(edges, f"{base}/edges")
+    return edges, hot_keys(edges, "src")
+
+
 def snowball(
     seeds: DataFrame,
     citations: DataFrame,
@@ -31,35 +45,37 @@ def snowball(
 ) -> DataFrame:
     """Works reached from ``seeds`` over 1..depth citations, with the first level.
 
-    Each work is expanded once, so cycles cost nothing. Each level is one join and
-    one distinct (combined before its shuffle) and is written out before the next;
-    the loop ends when a level finds nothing new. With ``log``, only successfully
-    downloaded works are expanded. A seed is in the result if something cites it.
+    A work is expanded when first reached and never again, so cycles cost nothing.
+    Each level is one join and one distinct (combined before its shuffle) and is
+    written out before the next; the loop ends when a level finds nothing new. With
+    ``log``, only successfully downloaded works are expanded. A seed is in the result
+    if something cites it.
     """
     spark = seeds.sparkSession
     base = work_path(spark, "snowball")
-    edges = citations.select("src", "dst").filter(F.col("dst").isNotNull())
-    start = write_step(seeds.select("doi").distinct(), f"{base}/seeds")
+    edges, hot = _edge_table(citations, base)
+    start = seeds.select("doi").distinct()
     reader = spark.read.schema(with_field(start.schema, "level", IntegerType()))
     found = f"{base}/found"
+    if depth < 1:
+        return start.limit(0).withColumn("level", F.lit(0))
 
     frontier = start
     for level in range(1, depth + 1):
         if log is not None:
             frontier = frontier_ok(frontier, log)
         cited = (
-            frontier.join(edges, F.col("doi") == F.col("src"))
+            split_join(
+                edges, frontier.select(F.col("doi").alias("src")), "src", ["dst"], hot=hot
+            )
             .select(F.col("dst").alias("doi"))
             .distinct()
         )
         if level > 1:
             cited = cited.join(reader.parquet(found), "doi", "left_anti")
-        new = write_step(cited, f"{found}/level={level}")
-        if new.isEmpty():
+        frontier = write_step(cited, f"{found}/level={level}")
+        if frontier.isEmpty():
             break
-        frontier = new.join(start, "doi", "left_anti")
-    if depth < 1:
-        return start.limit(0).withColumn("level", F.lit(0))
     return reader.parquet(found)
 
 
@@ -69,25 +85,22 @@ def snowball_walks(seeds: DataFrame, citations: DataFrame, depth: int = 1) -> Da
     cycle or a hub does not multiply the data."""
     spark = seeds.sparkSession
     base = work_path(spark, "walks")
-    edges = (
-        citations.filter(F.col("dst").isNotNull())
-        .groupBy("src", "dst")
-        .agg(F.count(F.lit(1)).alias("m"))
-    )
-    edges = write_step(edges, f"{base}/edges")
+    edges, hot = _edge_table(citations, base)
     frontier = seeds.groupBy("doi").agg(F.count(F.lit(1)).alias("n"))
     reader = spark.read.schema(with_field(frontier.schema, "level", IntegerType()))
+    if depth < 1:
+        return frontier.limit(0).withColumn("level", F.lit(0))
     for level in range(1, depth + 1):
         reached = (
-            frontier.join(edges, F.col("doi") == F.col("src"))
+            split_join(
+                edges, frontier.withColumnRenamed("doi", "src"), "src", ["dst"], hot=hot
+            )
             .groupBy(F.col("dst").alias("doi"))
             .agg(F.sum(F.col("n") * F.col("m")).alias("n"))
         )
         frontier = write_step(reached, f"{base}/levels/level={level}")
         if frontier.isEmpty():
             break
-    if depth < 1:
-        return frontier.limit(0).withColumn("level", F.lit(0))
     return reader.parquet(f"{base}/levels")
 
 

@@ -97,20 +97,20 @@ def answer(
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for at in range(0, len(frame), batch_size):
-                part = frame.iloc[at : at + batch_size]
-                given = part[prompt].notna()
-                replies = iter(many(list(part.loc[given, prompt])) if given.any() else [])
-                rows = [
-                    next(replies) if ok else (None, True, "no text") for ok in given
-                ]
-                yield pd.DataFrame({
-                    "paper_id": part["paper_id"].to_numpy(),
-                    "q_idx": part["q_idx"].to_numpy(),
-                    "response": [r[0] for r in rows],
-                    "skipped": [r[1] for r in rows],
-                    "error": [r[2] for r in rows],
-                })
+            given = frame[prompt].notna()
+            texts = list(frame.loc[given, prompt])
+            replies = [
+                reply
+                for at in range(0, len(texts), batch_size)
+                for reply in many(texts[at : at + batch_size])
+            ]
+            rest = iter(replies)
+            rows = [next(rest) if ok else (None, True, "no text") for ok in given]
+            out = frame[["paper_id", "q_idx"]].copy()
+            out["response"] = [r[0] for r in rows]
+            out["skipped"] = [r[1] for r in rows]
+            out["error"] = [r[2] for r in rows]
+            yield out
 
     key = requests.schema["paper_id"].dataType.simpleString()
     if tasks is not None:

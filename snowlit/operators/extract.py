@@ -22,6 +22,15 @@ MISSING = "NaN"
 _MARK = "\x01"
 
 
+def once(**columns: Column) -> list[Column]:
+    """Costly columns, computed once per row even if later filters use them.
+
+    A filter is moved below a plain projection and would compute them again; it
+    cannot move below a generator.
+    """
+    return [F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])))]
+
+
 def bibliography_entries(docs: DataFrame) -> DataFrame:
     """One row per entry ``(paper_id, pos, entry, error)``; malformed XML is flagged
     here because evaluating a path on it would fail the job."""
@@ -43,18 +52,18 @@ def extract_references(docs: DataFrame) -> DataFrame:
     """References ``(paper_id, pos, title, doi)``: first title at any depth and first
     DOI of each entry. Entries with neither are dropped; malformed ones are left to
     :func:`rejected_entries`."""
+    # Of several nodes, XPath's string() takes the first in document order.
     path = (
-        f"concat(count({TITLE}), '{_MARK}', string(({TITLE})[1]), '{_MARK}', "
-        f"count({DOI}), '{_MARK}', string(({DOI})[1]))"
+        f"concat(boolean({TITLE}), '{_MARK}', string({TITLE}), '{_MARK}', "
+        f"boolean({DOI}), '{_MARK}', string({DOI}))"
     )
     entries = bibliography_entries(docs)
     # One parse per entry; guarded so that a malformed entry is never evaluated.
-    found = F.when(F.col("error").isNull(), F.xpath_string("entry", F.lit(path)))
-    values = entries.select("paper_id", "pos", F.split(found, _MARK).alias("v"))
+    found = F.split(F.when(F.col("error").isNull(), F.xpath_string("entry", F.lit(path))), _MARK)
+    values = entries.select("paper_id", "pos", *once(v=found))
 
-    def value(count_at: int) -> Column:
-        present = F.col("v")[count_at] != "0"
-        return F.when(present, strip(F.col("v")[count_at + 1]))
+    def value(at: int) -> Column:
+        return F.when(F.col("v")[at] == "true", strip(F.col("v")[at + 1]))
 
     return values.select(
         "paper_id", "pos", value(0).alias("title"), value(2).alias("doi")
@@ -85,16 +94,12 @@ def measurement_lines(responses: DataFrame) -> DataFrame:
     fields = F.when(
         quoted, F.split("line", r',(?=(?:[^"]*"[^"]*")*[^"]*\z)')
     ).otherwise(F.split("line", ","))
-    return lines.filter("line <> ''").withColumn("fields", fields)
+    return lines.filter("line <> ''").select("*", *once(fields=fields))
 
 
 def _text(i: int) -> Column:
     value = F.regexp_replace(strip(F.col("fields")[i]), r'\A"(.*)"\z', "$1")
-    return F.when(value != MISSING, value)
-
-
-def _number(i: int) -> Column:
-    return _text(i).try_cast("double")
+    return F.nullif(value, F.lit(MISSING))
 
 
 def extract_measurements(responses: DataFrame) -> DataFrame:
@@ -106,18 +111,15 @@ def extract_measurements(responses: DataFrame) -> DataFrame:
     lines = measurement_lines(responses).filter(
         (F.size("fields") == len(MEASUREMENT_FIELDS)) & (F.upper("line") != HEADER)
     )
-    for i, name in enumerate(MEASUREMENT_FIELDS):
-        if name in NUMBER_FIELDS:
-            lines = lines.filter(_text(i).isNull() | _number(i).isNotNull())
-    return lines.select(
-        "paper_id",
-        "q_idx",
-        "line_no",
-        *[
-            (_number(i) if name in NUMBER_FIELDS else _text(i)).alias(name)
-            for i, name in enumerate(MEASUREMENT_FIELDS)
-        ],
-    )
+    values = lines.select("paper_id", "q_idx", "line_no", *once(**{
+        name: _text(i) for i, name in enumerate(MEASUREMENT_FIELDS)
+    }))
+    for name in NUMBER_FIELDS:
+        text = F.col(name)
+        values = values.filter(text.isNull() | text.try_cast("double").isNotNull())
+    return values.withColumns({
+        name: F.col(name).try_cast("double") for name in NUMBER_FIELDS
+    })
 
 
 def dedup_measurements(measurements: DataFrame) -> DataFrame:

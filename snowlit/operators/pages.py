@@ -129,12 +129,10 @@ def chunk_pages(
     past ``max_chunks`` are dropped before their text is grouped.
     """
     size = chunk_words(max_context_tokens)
-    counted = pages.select(
-        "paper_id", "page_no", squeeze(F.col("text")).alias("_text")
-    ).filter(F.col("_text") != "")
+    counted = pages.select("paper_id", "page_no", squeeze(F.col("text")).alias("_text"))
     placed = running_offset(
         counted, ["paper_id"], "page_no", count_squeezed(F.col("_text")), ties=["_text"]
-    )
+    ).filter(F.col("_text") != "")
     first = F.floor(F.col("offset") / F.lit(size))
     placed = placed.withColumn("_words", split_squeezed(F.col("_text")))
     last = F.floor((F.col("offset") + F.size("_words") - 1) / F.lit(size))
@@ -168,11 +166,21 @@ def contexts(
 
     NULL for a paper without words, which later becomes a skipped answer.
     """
-    split = papers.withColumn("_words", words(F.col("text")))
+    size = chunk_words(max_context_tokens)
+    text = F.col("_text")
+    cleaned = papers.withColumn("_text", squeeze(F.coalesce("text", F.lit(""))))
+    # Text of one chunk is already its own context and is never cut into words.
+    several = F.when(count_squeezed(text) > size, split_squeezed(text))
     chunks = chunk_array(F.col("_words"), max_context_tokens, max_chunks)
-    return split.withColumn(
-        "context", F.when(F.size("_words") > 0, F.array_join(chunks, CHUNK_SEPARATOR))
-    ).drop("_words", "text")
+    context = (
+        F.when(F.col("_words").isNotNull(), F.array_join(chunks, CHUNK_SEPARATOR))
+        .otherwise(F.nullif(text, F.lit("")))
+    )
+    return (
+        cleaned.withColumn("_words", several)
+        .withColumn("context", context)
+        .drop("_text", "_words", "text")
+    )
 
 
 def join_chunks(chunks: DataFrame) -> DataFrame:

@@ -46,7 +46,8 @@ def pair_questions(papers: DataFrame, questions: DataFrame) -> DataFrame:
     """
     rows = inline_questions(questions)
     if rows is None:
-        return fan_out(papers, questions.select("q_idx", "question"), "paper_id")
+        keys = [c for c in ("paper_id", "page_no") if c in papers.columns]
+        return fan_out(papers, questions.select("q_idx", "question"), keys)
     return papers.select("*", F.inline(_literal(rows)))
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snowlit.functions.doi import doi_key, is_valid_doi, normalize_doi, title_key
+from snowlit.operators.skew import split_join
 
 # Outcome names, the HTTP status of a good fetch, the file suffix.
 SUCCESS = "SUCCESS"
@@ -28,12 +29,26 @@ def unique_works(works: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _lookup_key(df: DataFrame) -> Column:
-    """The DOI key; rows that cannot match get scattered keys instead of one NULL,
-    so that they do not pile up in one task."""
+def _lookup(dois: DataFrame, *tables: DataFrame) -> DataFrame:
+    """Left-join tables with one row per ``doi_key`` to the rows of ``dois``.
+
+    A worklist brings its ``doi_key``, one row each, and the partitioning it was
+    grouped by, so it is joined as it is. Other rows may repeat a DOI any number of
+    times: hot keys are split, and rows that cannot match get scattered keys instead
+    of one NULL, so that they do not pile up in one task.
+    """
+    if "doi_key" in dois.columns:
+        for table in tables:
+            dois = dois.join(table, "doi_key", "left")
+        return dois
     doi = F.col("doi")
-    scattered = F.concat(F.lit("\0"), F.hex(F.xxhash64(*df.columns)))
-    return F.when(is_valid_doi(normalize_doi(doi)), doi_key(doi)).otherwise(scattered)
+    scattered = F.concat(F.lit("\0"), F.hex(F.xxhash64(*dois.columns)))
+    key = F.when(is_valid_doi(normalize_doi(doi)), doi_key(doi)).otherwise(scattered)
+    keyed = dois.withColumn("doi_key", key)
+    joined = tables[0]
+    for table in tables[1:]:
+        joined = joined.join(table, "doi_key", "left")
+    return split_join(keyed, joined, "doi_key", dois.columns, "left").drop("doi_key")
 
 
 def resolve_dois(
@@ -42,11 +57,7 @@ def resolve_dois(
     columns: Sequence[str] = ("title", "primary_location"),
 ) -> DataFrame:
     """Every row of ``dois`` with its ``work`` struct, NULL where there is none."""
-    return (
-        dois.withColumn("_key", _lookup_key(dois))
-        .join(unique_works(works, columns).withColumnRenamed("doi_key", "_key"), "_key", "left")
-        .drop("_key")
-    )
+    return _lookup(dois, unique_works(works, columns))
 
 
 def unresolved_dois(dois: DataFrame, works: DataFrame) -> DataFrame:
@@ -72,7 +83,7 @@ def classify_download(dois: DataFrame, works: DataFrame, crawl: DataFrame) -> Da
     """Add ``status``, and ``path`` for a success, to every row of ``dois``.
 
     In order: bad DOI, no work -> ERROR; no PDF address -> NOT_OPEN_ACCESS; no good
-    fetch -> ERROR; else SUCCESS. Works and fetches are joined on one partitioning.
+    fetch -> ERROR; else SUCCESS. Works and fetches are shuffled once each, by DOI key.
     """
     url = F.col("work.primary_location.pdf_url")
     label = F.concat(title_key(F.col("work.title")), F.lit(PDF_SUFFIX))
@@ -83,15 +94,12 @@ def classify_download(dois: DataFrame, works: DataFrame, crawl: DataFrame) -> Da
         .when(F.coalesce("fetched", F.lit(False)), F.lit(SUCCESS))
         .otherwise(F.lit(ERROR))
     )
-    found = unique_works(works, ("title", "primary_location")).withColumnRenamed("doi_key", "_key")
-    fetched = fetched_dois(crawl).withColumnRenamed("doi_key", "_key")
+    found = unique_works(works, ("title", "primary_location"))
     return (
-        dois.withColumn("_key", _lookup_key(dois))
-        .join(found, "_key", "left")
-        .join(fetched, "_key", "left")
+        _lookup(dois, found, fetched_dois(crawl))
         .withColumn("status", status)
         .withColumn("path", F.when(F.col("status") == SUCCESS, label))
-        .drop("_key", "work", "fetched")
+        .drop("work", "fetched")
     )
 
 

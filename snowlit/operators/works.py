@@ -31,22 +31,20 @@ def pdf_url(df: DataFrame) -> DataFrame:
     return df.withColumn("pdf_url", F.col("primary_location.pdf_url"))
 
 
-def search_works(
+def matching_works(
     works: DataFrame,
     topics: Terms | None = None,
     keywords: Terms | None = None,
     year_min: int | None = None,
     year_max: int | None = None,
     open_access_only: bool = True,
-    max_papers: int | None = 1000,
 ) -> DataFrame:
-    """Sorted DOIs of the works that match topics AND keywords.
+    """DOIs of the works that match topics AND keywords, in no order.
 
     Each of ``topics`` and ``keywords`` is a term, a list of terms (all must
     match), or a Column made of terms. Neither given, or one given but empty,
-    selects nothing. Everything is one predicate over one scan of ``works``;
-    duplicates collapse before the shuffle. ``max_papers`` caps the result, None
-    keeps all of it.
+    selects nothing. Everything is one predicate over one scan of ``works``: no
+    shuffle, so copies of a work are still there.
     """
     parts: list[Column] = []
     if topics is not None:
@@ -61,7 +59,23 @@ def search_works(
         works = filter_open_access(works)
     for part in parts:
         works = works.filter(part)
-    found = works.filter(has_doi(F.col("doi"))).select("doi").distinct().orderBy("doi")
+    return works.filter(has_doi(F.col("doi"))).select("doi")
+
+
+def search_works(
+    works: DataFrame,
+    topics: Terms | None = None,
+    keywords: Terms | None = None,
+    year_min: int | None = None,
+    year_max: int | None = None,
+    open_access_only: bool = True,
+    max_papers: int | None = 1000,
+) -> DataFrame:
+    """:func:`matching_works` made distinct and sorted by DOI. ``max_papers`` caps
+    the result (a top-k, no full sort); None keeps all of it."""
+    found = matching_works(
+        works, topics, keywords, year_min, year_max, open_access_only
+    ).distinct().orderBy("doi")
     return found if max_papers is None else found.limit(max_papers)
 
 

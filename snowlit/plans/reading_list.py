@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from snowlit.functions.terms import Terms
 from snowlit.operators.resolve import classify_download
-from snowlit.operators.works import search_works
+from snowlit.operators.works import matching_works, search_works
 from snowlit.operators.worklist import merge_worklists
 
 
@@ -24,12 +24,12 @@ def reading_list(
 ) -> DataFrame:
     """References first, then search results; one row per DOI with its outcome.
 
-    The worklist leaves its grouping partitioned by DOI key, and so do works and
-    fetches, so the two lookups after it move only their own side.
+    References, works and fetches are each shuffled once, by DOI key: the worklist
+    leaves its grouping partitioned by that key, and both lookups join on it.
     """
-    found = search_works(
-        works, topics, keywords, year_min, year_max, open_access_only, max_papers
-    )
+    terms = (works, topics, keywords, year_min, year_max, open_access_only)
+    # Only a cap needs distinct, sorted results: the worklist does both itself.
+    found = matching_works(*terms) if max_papers is None else search_works(*terms, max_papers)
     worklist = merge_worklists(references, found)
     return classify_download(worklist, works, crawl).select(
         "doi_key", "doi", "source", F.col("pos"), "status", "path"
