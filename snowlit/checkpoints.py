@@ -18,14 +18,15 @@ CONF = "spark.checkpoint.dir"
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The configured folder; on a local master only, a temporary one if unset."""
-    configured = spark.conf.get(CONF, None) or spark.sparkContext.getConf().get(CONF)
+    context = spark.sparkContext
+    configured = spark.conf.get(CONF, None) or context.getConf().get(CONF)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CONF} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="snowlit-")
-    spark.conf.set(CONF, folder)
-    return folder
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {CONF} to a folder that every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="snowlit-"))
+    return context.getCheckpointDir()
 
 
 def work_path(spark: SparkSession, name: str) -> str:

@@ -141,7 +141,8 @@ def read_responses(spark: SparkSession, path: str, schema: StructType | str = RE
     """The response table; a missing one is empty."""
     if not _exists(spark, path):
         return _empty(spark, schema)
-    return spark.read.schema(schema).parquet(path)
+    # The partition column comes last on disk; give the columns back in order.
+    return spark.read.schema(schema).parquet(path).select(*_empty(spark, schema).columns)
 
 
 def write_responses(df: DataFrame, path: str) -> None:

@@ -98,7 +98,7 @@ def answer_stream(
     ``respond`` turns pending pairs into rows with ``paper_id``, ``q_idx`` and more.
     Each micro-batch owns one folder, ``batch_id=<n>``. A replayed batch compares
     itself with the other batches only and overwrites its own folder, so running it
-    again changes nothing.
+    again changes nothing, even if the checkpoint is lost and all batches run again.
     """
     spark = papers.sparkSession
     key = (
@@ -110,7 +110,7 @@ def answer_stream(
     def run(batch: DataFrame, batch_id: int) -> None:
         done = spark.createDataFrame([], key)
         if _exists(spark, path):
-            done = spark.read.schema(key).parquet(path).filter(F.col("batch_id") < batch_id)
+            done = spark.read.schema(key).parquet(path).filter(F.col("batch_id") != batch_id)
         fresh = batch.dropDuplicates(["paper_id"])
         pending = pending_pairs(fresh, questions, done)
         respond(pending).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")

@@ -1,0 +1,145 @@
+"""Streaming jobs: nothing twice, nothing lost, same results as in batch."""
+
+import datetime as dt
+from unittest.mock import MagicMock
+
+import pytest
+from pyspark.sql import functions as F
+
+from snowlit.checkpoints import checkpoint_dir
+from snowlit.streaming.jobs import (
+    answer_stream,
+    append_table,
+    dedup_stream,
+    ingest_stream,
+    replace_table,
+    status_stream,
+    windowed_status,
+)
+
+LOG = "ts TIMESTAMP, doi STRING, status STRING"
+
+
+def at(minutes):
+    return dt.datetime(2024, 1, 1) + dt.timedelta(minutes=minutes)
+
+
+def add(spark, folder, rows, schema):
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+
+
+def test_ingest_reads_each_file_once(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+
+    def run():
+        stream = ingest_stream(spark, str(folder)).select("path")
+        append_table(stream, f"{tmp_path}/out", f"{tmp_path}/progress").awaitTermination()
+        return sorted(r.path.rsplit("/", 1)[1] for r in spark.read.parquet(f"{tmp_path}/out").collect())
+
+    (folder / "a.pdf").write_bytes(b"%PDF")
+    (folder / "skip.txt").write_bytes(b"no")
+    assert run() == ["a.pdf"]
+    (folder / "b.PDF").write_bytes(b"%PDF")
+    assert run() == ["a.pdf", "b.PDF"]
+    assert run() == ["a.pdf", "b.PDF"]
+
+
+def test_first_sighting(spark, tmp_path):
+    folder = f"{tmp_path}/in"
+
+    def run():
+        stream = dedup_stream(spark.readStream.schema(LOG).parquet(folder), "ts", "60 minutes")
+        append_table(stream.select("doi_key"), f"{tmp_path}/out", f"{tmp_path}/progress").awaitTermination()
+        return sorted(r.doi_key for r in spark.read.parquet(f"{tmp_path}/out").collect())
+
+    add(spark, folder, [(at(0), "10.1/A", "x"), (at(1), " 10.1/a", "x"), (at(2), None, "x")], LOG)
+    assert run() == ["10.1/a"]
+    add(spark, folder, [(at(30), "https://doi.org/10.1/a", "x"), (at(31), "10.1/b", "x")], LOG)
+    assert run() == ["10.1/a", "10.1/b"]
+    add(spark, folder, [(at(600), "10.1/c", "x")], LOG)
+    assert run() == ["10.1/a", "10.1/b", "10.1/c"]
+    # Long after the delay, a known DOI counts as new again.
+    add(spark, folder, [(at(900), "10.1/a", "x")], LOG)
+    assert run() == ["10.1/a", "10.1/a", "10.1/b", "10.1/c"]
+
+
+def test_status_windows_equal_batch(spark, tmp_path):
+    rows = [(at(7 * i), f"10.1/{i}", "SUCCESS" if i % 3 else "ERROR") for i in range(60)]
+    folder = f"{tmp_path}/in"
+    for start in range(0, 60, 20):
+        add(spark, folder, rows[start : start + 20], LOG)
+    counts = status_stream(spark.readStream.schema(LOG).parquet(folder), "ts", "1 hour", "1 day")
+    replace_table(counts, f"{tmp_path}/out", f"{tmp_path}/progress").awaitTermination()
+    batch = windowed_status(spark.createDataFrame(rows, LOG))
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").collect())) == sorted(
+        map(tuple, batch.collect())
+    )
+
+
+def test_late_rows_are_dropped(spark, tmp_path):
+    folder = f"{tmp_path}/in"
+
+    def run():
+        counts = status_stream(spark.readStream.schema(LOG).parquet(folder), "ts", "1 hour", "10 minutes")
+        append_table(counts, f"{tmp_path}/out", f"{tmp_path}/progress").awaitTermination()
+
+    add(spark, folder, [(at(5), "a", "ERROR"), (at(300), "b", "SUCCESS")], LOG)
+    run()
+    add(spark, folder, [(at(6), "late", "ERROR"), (at(600), "c", "SUCCESS")], LOG)
+    run()
+    got = {(r.window_start, r.status): r.n for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {(at(0), "ERROR"): 1, (at(300), "SUCCESS"): 1}
+
+
+def test_answers_are_written_once(spark, tmp_path):
+    folder, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    questions = spark.createDataFrame([(1, "a"), (2, "b")], "q_idx INT, question STRING")
+    schema = "paper_id STRING"
+
+    def run(progress="progress"):
+        papers = spark.readStream.schema(schema).parquet(folder)
+        respond = lambda pending: pending.select(
+            "paper_id", "q_idx", F.concat("paper_id", "question").alias("response")
+        )
+        answer_stream(papers, questions, out, f"{tmp_path}/{progress}", respond).awaitTermination()
+        return sorted((r.paper_id, r.q_idx) for r in spark.read.parquet(out).collect())
+
+    add(spark, folder, [("p",), ("p",)], schema)
+    assert run() == [("p", 1), ("p", 2)]
+    add(spark, folder, [("q",), ("p",)], schema)
+    both = [("p", 1), ("p", 2), ("q", 1), ("q", 2)]
+    assert run() == both
+    # A lost checkpoint replays everything from batch 0 on: still once each.
+    assert run("fresh") == both
+
+
+def session(configured, current, master):
+    """As much of a session as choosing the checkpoint folder looks at."""
+    fake = MagicMock()
+    fake.conf.get.return_value = configured
+    fake.sparkContext.getConf.return_value.get.return_value = None
+    fake.sparkContext.getCheckpointDir.return_value = current
+    fake.sparkContext.master = master
+    return fake
+
+
+def test_checkpoint_folder_comes_from_the_session():
+    assert checkpoint_dir(session("hdfs://x/cp/", None, "yarn")) == "hdfs://x/cp"
+    assert checkpoint_dir(session(None, "hdfs://x/set", "yarn")) == "hdfs://x/set"
+    with pytest.raises(ValueError):
+        checkpoint_dir(session(None, None, "yarn"))
+    local = session(None, None, "local[4]")
+    checkpoint_dir(local)
+    local.sparkContext.setCheckpointDir.assert_called_once()
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata", "America/New_York"])
+def test_windows_do_not_depend_on_the_session_zone(spark, sf, conf, zone):
+    import __spark_entry__ as entry
+    from checks.compare import compare, duck
+
+    conf("spark.sql.session.timeZone", zone)
+    for name in ("status_by_hour", "status_by_hour_stream"):
+        problem, _ = compare(spark, duck(sf), sf, name, entry.queries()[name], entry.oracle_sql()[name])
+        assert problem is None
