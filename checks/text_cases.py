@@ -114,7 +114,8 @@ def _(t):
     WITH split AS ({split_sql('papers')}) SELECT * FROM ({chunk_sql(64)}) x WHERE chunk_idx < 2
 """)
 def _(t):
-    return cap_chunks(chunk_text(t.papers, max_context_tokens=256), 2)
+    # The bound of the chunk table is wider than the cap, and the cap cuts it.
+    return cap_chunks(chunk_text(t.papers, max_context_tokens=256, max_chunks=4), 2)
 
 
 PAPER_TEXT = """

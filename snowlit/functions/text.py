@@ -26,7 +26,7 @@ def strip(col: Column) -> Column:
 
 def squeeze(col: Column) -> Column:
     """Stripped text with every whitespace run made one space."""
-    return F.regexp_replace(strip(col), f"{UNICODE}[{WHITESPACE_CLASS}]+", " ")
+    return F.trim(F.regexp_replace(col, f"{UNICODE}[{WHITESPACE_CLASS}]+", " "))
 
 
 def words(col: Column) -> Column:
@@ -34,10 +34,13 @@ def words(col: Column) -> Column:
     return split_squeezed(squeeze(F.coalesce(col, F.lit(""))))
 
 
-def split_squeezed(col: Column) -> Column:
-    """Words of text that :func:`squeeze` has already cleaned."""
+def split_squeezed(col: Column, at_most: int | None = None) -> Column:
+    """Words of text that :func:`squeeze` has already cleaned, all or the first few."""
     # Only empty text gives an empty word. No CASE, so that the text is made once.
-    return F.array_remove(F.split(col, " "), "")
+    if at_most is None:
+        return F.array_remove(F.split(col, " "), "")
+    # One more piece than asked for: the last one is the uncut rest.
+    return F.array_remove(F.slice(F.split(col, " ", at_most + 1), 1, at_most), "")
 
 
 def count_squeezed(col: Column) -> Column:
@@ -47,7 +50,9 @@ def count_squeezed(col: Column) -> Column:
 
 
 def word_count(col: Column) -> Column:
-    return F.coalesce(count_squeezed(squeeze(col)), F.lit(0))
+    """Number of words in any text; NULL text has none."""
+    found = F.regexp_count(col, F.lit(f"{UNICODE}[^{WHITESPACE_CLASS}]+"))
+    return F.coalesce(found, F.lit(0))
 
 
 def chunk_words(max_context_tokens: int) -> int:

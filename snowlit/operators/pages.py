@@ -20,7 +20,6 @@ from snowlit.functions.text import (
     count_squeezed,
     split_squeezed,
     squeeze,
-    words,
 )
 
 BLOCK = 4096
@@ -45,7 +44,7 @@ def running_offset(
     ``position`` is an integer; rows come in the order (position, ties).
     """
     keys = list(keys)
-    blocked = df.withColumn("_block", F.floor(F.col(position) / F.lit(block)))
+    blocked = df.withColumn("_block", F.expr(f"`{position}` div {block}"))
     blocked = blocked.withColumn("_amount", amount.cast("bigint"))
     along = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -99,7 +98,7 @@ def assemble_parts(pages: DataFrame, pages_per_part: int = BLOCK) -> DataFrame:
     with a blank line gives :func:`assemble_text`."""
     return (
         pages.filter(F.col("text") != "")
-        .groupBy("paper_id", F.floor(F.col("page_no") / F.lit(pages_per_part)).alias("part"))
+        .groupBy("paper_id", F.expr(f"page_no div {pages_per_part}").alias("part"))
         .agg(_ordered(["page_no"], F.col("text"), PAGE_SEPARATOR).alias("text"))
     )
 
@@ -108,8 +107,10 @@ def chunk_text(
     papers: DataFrame, max_context_tokens: int, max_chunks: int | None = None
 ) -> DataFrame:
     """Chunks ``(paper_id, chunk_idx, chunk)`` of each paper's text, row by row."""
-    chunk_words(max_context_tokens)
-    split = papers.select("paper_id", words(F.col("text")).alias("_words"))
+    size = chunk_words(max_context_tokens)
+    text = squeeze(F.coalesce("text", F.lit("")))
+    needed = None if max_chunks is None else size * max_chunks
+    split = papers.select("paper_id", split_squeezed(text, needed).alias("_words"))
     return split.select(
         "paper_id",
         F.posexplode(chunk_array(F.col("_words"), max_context_tokens, max_chunks)).alias(
@@ -133,12 +134,12 @@ def chunk_pages(
     placed = running_offset(
         counted, ["paper_id"], "page_no", count_squeezed(F.col("_text")), ties=["_text"]
     ).filter(F.col("_text") != "")
-    first = F.floor(F.col("offset") / F.lit(size))
+    first = F.expr(f"offset div {size}")
     placed = placed.withColumn("_words", split_squeezed(F.col("_text")))
-    last = F.floor((F.col("offset") + F.size("_words") - 1) / F.lit(size))
+    last = F.expr(f"(offset + size(_words) - 1) div {size}")
     if max_chunks is not None:
         placed = placed.filter(first < max_chunks)
-        last = F.least(last, F.lit(max_chunks - 1))
+        last = F.least(last, F.lit(max_chunks - 1).cast("bigint"))
     start = F.greatest(F.col("chunk_idx") * size - F.col("offset"), F.lit(0))
     stop = F.least((F.col("chunk_idx") + 1) * size - F.col("offset"), F.size("_words"))
     pieces = placed.withColumn("chunk_idx", F.explode(F.sequence(first, last))).select(
@@ -170,7 +171,8 @@ def contexts(
     text = F.col("_text")
     cleaned = papers.withColumn("_text", squeeze(F.coalesce("text", F.lit(""))))
     # Text of one chunk is already its own context and is never cut into words.
-    several = F.when(count_squeezed(text) > size, split_squeezed(text))
+    needed = None if max_chunks is None else size * max_chunks
+    several = F.when(count_squeezed(text) > size, split_squeezed(text, needed))
     chunks = chunk_array(F.col("_words"), max_context_tokens, max_chunks)
     context = (
         F.when(F.col("_words").isNotNull(), F.array_join(chunks, CHUNK_SEPARATOR))

@@ -38,7 +38,8 @@ def text_requests(
     """
     if inline_questions(questions) is None:
         pairs = pending_pairs(papers.select("paper_id"), questions, responses)
-        context = contexts(papers, max_context_tokens, max_chunks)
+        open_papers = papers.join(pairs.select("paper_id").distinct(), "paper_id", "left_semi")
+        context = contexts(open_papers, max_context_tokens, max_chunks)
         requests = context.join(pairs, "paper_id")
     else:
         pending = pending_questions(papers, questions, responses)

@@ -72,9 +72,13 @@ def write_references(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
-def read_questions(spark: SparkSession, path: str) -> DataFrame:
+def read_questions(spark: SparkSession, path: str, numeric: bool = False) -> DataFrame:
     """Questions ``(q_idx, question)``: the Markdown files of a folder in path order,
-    or one file; stripped. Anything else holds no questions."""
+    or one file; stripped. Anything else holds no questions.
+
+    Path order puts ``q10.md`` before ``q2.md``; ``numeric`` orders by the number in
+    the name first.
+    """
     try:
         files = (
             spark.read.option("pathGlobFilter", QUESTION_FILES)
@@ -85,9 +89,11 @@ def read_questions(spark: SparkSession, path: str) -> DataFrame:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         return _empty(spark, QUESTIONS)
+    number = F.regexp_extract("file", r"(\d+)[^/\d]*$", 1).try_cast("int")
+    order = [number, "file"] if numeric else ["file"]
     # The driver lists these files one by one anyway, so one task can number them.
     return files.select(
-        F.row_number().over(Window.orderBy("file")).alias("q_idx"),
+        F.row_number().over(Window.orderBy(*order)).alias("q_idx"),
         strip(F.col("value")).alias("question"),
     )
 

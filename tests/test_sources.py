@@ -90,6 +90,8 @@ def test_question_folder_in_path_order(spark, tmp_path):
         (tmp_path / name).write_text(text, encoding="utf-8")
     got = [tuple(r) for r in read_questions(spark, str(tmp_path)).orderBy("q_idx").collect()]
     assert got == [(1, "first"), (2, "ten\n\nmore"), (3, "two")]
+    numeric = read_questions(spark, str(tmp_path), numeric=True).orderBy("q_idx")
+    assert [r.question for r in numeric.collect()] == ["first", "two", "ten\n\nmore"]
     assert [r.question for r in read_questions(spark, f"{tmp_path}/q2.md").collect()] == ["two"]
     assert read_questions(spark, f"{tmp_path}/x.txt").count() == 0
     assert read_questions(spark, f"{tmp_path}/none").count() == 0
