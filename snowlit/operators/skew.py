@@ -18,12 +18,13 @@ from snowlit.checkpoints import work_path, write_step
 ROWS_PER_SPLIT = 1_000_000
 
 
-def hot_keys(df: DataFrame, key: str, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, rows_per_split: int | None = None) -> DataFrame:
     """``(key, splits)`` of the keys with more rows than one split should have.
 
     At most one key per ``rows_per_split`` rows of ``df``. Counted with combining
     before the shuffle and written out, so later plans know how small it is.
     """
+    rows_per_split = rows_per_split or ROWS_PER_SPLIT
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.filter(F.col("_n") > rows_per_split).select(
         F.col(key).alias("_hot"), F.ceil(F.col("_n") / F.lit(rows_per_split)).cast("int").alias("_splits")
