@@ -63,7 +63,7 @@ def main() -> None:
 
     timed("plain join", plain)
     keys = hot_keys(edges, "src", rows // 30)
-    timed("split join", lambda: f"spread {spread(split_join(edges, nodes, 'src', ['dst'], hot=keys)):.2f}")
+    timed("split join", lambda: f"spread {spread(split_join(edges, nodes, 'src', ['dst'], keys)):.2f}")
     seeds = spark.range(0, 100_000, 10).toDF("doi")
     timed("snowball to depth 3", lambda: f"{snowball(seeds, edges, 3).count()} works")
 

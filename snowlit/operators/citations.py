@@ -16,7 +16,7 @@ def expand_citations(frontier: DataFrame, citations: DataFrame) -> DataFrame:
     """One hop: everything the ``doi`` column of ``frontier`` cites, repeats kept."""
     edges = citations.filter(F.col("dst").isNotNull()).select("src", "pos", "dst")
     start = frontier.select(F.col("doi").alias("src"))
-    return split_join(edges, start, "src", ["pos", "dst"])
+    return split_join(edges, start, "src", ["pos", "dst"], hot_keys(edges, "src"))
 
 
 def frontier_ok(frontier: DataFrame, log: DataFrame) -> DataFrame:
@@ -25,9 +25,9 @@ def frontier_ok(frontier: DataFrame, log: DataFrame) -> DataFrame:
     return frontier.join(done, "doi", "left_semi")
 
 
-def _edge_table(citations: DataFrame, base: str) -> tuple[DataFrame, DataFrame]:
+def _edge_table(citations: DataFrame, base: str) -> tuple[DataFrame, DataFrame | None]:
     """The distinct edges ``(src, dst, m)``, ``m`` the number of copies, and the
-    sources with very many of them. Narrow, and made once for all levels."""
+    sources with very many of them, if any. Narrow, and made once for all levels."""
     edges = (
         citations.filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
         .groupBy("src", "dst")
@@ -65,9 +65,7 @@ def snowball(
         if log is not None:
             frontier = frontier_ok(frontier, log)
         cited = (
-            split_join(
-                edges, frontier.select(F.col("doi").alias("src")), "src", ["dst"], hot=hot
-            )
+            split_join(edges, frontier.select(F.col("doi").alias("src")), "src", ["dst"], hot)
             .select(F.col("dst").alias("doi"))
             .distinct()
         )
@@ -92,9 +90,7 @@ def snowball_walks(seeds: DataFrame, citations: DataFrame, depth: int = 1) -> Da
         return frontier.limit(0).withColumn("level", F.lit(0))
     for level in range(1, depth + 1):
         reached = (
-            split_join(
-                edges, frontier.withColumnRenamed("doi", "src"), "src", ["dst"], hot=hot
-            )
+            split_join(edges, frontier.withColumnRenamed("doi", "src"), "src", ["dst"], hot)
             .groupBy(F.col("dst").alias("doi"))
             .agg(F.sum(F.col("n") * F.col("m")).alias("n"))
         )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from snowlit.functions.doi import has_doi
 from snowlit.operators.fanout import fan_out
-from snowlit.operators.skew import split_join
+from snowlit.operators.skew import hot_keys, split_join
 
 # Sub-groups that each term is split into before the final cut of cap_per_term.
 SUBGROUPS = 32
@@ -103,7 +103,8 @@ def match_saved_searches(postings: DataFrame, searches: DataFrame) -> DataFrame:
         .unionAll(marker)
     )
     plain = wanted.filter("not marker")
-    named = split_join(postings.select("term", "doi"), plain, "term", ["doi"])
+    pairs = postings.select("term", "doi")
+    named = split_join(pairs, plain, "term", ["doi"], hot_keys(pairs, "term"))
     everything = fan_out(seen_universe(postings), marker, ["doi"])
     hits = named.select("search_id", "needed", "doi", "term", "required").unionAll(
         everything.select("search_id", "needed", "doi", "term", "required")

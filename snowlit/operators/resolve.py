@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snowlit.functions.doi import doi_key, is_valid_doi, normalize_doi, title_key
-from snowlit.operators.skew import split_join
+from snowlit.operators.skew import hot_keys, split_join
 
 # Outcome names, the HTTP status of a good fetch, the file suffix.
 SUCCESS = "SUCCESS"
@@ -20,13 +20,37 @@ PDF_SUFFIX = ".pdf"
 
 
 def unique_works(works: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per DOI key with the named columns. Copies of a work combine before
-    the shuffle, which is the one the lookup join needs anyway."""
+    """One row per DOI key: ``(doi_key, work)``, the named columns in a struct.
+
+    Copies of a work combine before the shuffle, which is the one the lookup join
+    needs anyway. A table that already has a ``doi_key``, as :func:`write_catalogue`
+    makes it, is taken as it is.
+    """
+    work = F.struct(*[F.col(c).alias(c) for c in columns])
+    if "doi_key" in works.columns:
+        return works.select("doi_key", work.alias("work"))
     return (
         works.filter(is_valid_doi(normalize_doi(F.col("doi"))))
         .groupBy(doi_key(F.col("doi")).alias("doi_key"))
-        .agg(F.min(F.struct(*[F.col(c).alias(c) for c in columns])).alias("work"))
+        .agg(F.min(work).alias("work"))
+    )
+
+
+def write_catalogue(works: DataFrame, table: str, buckets: int) -> DataFrame:
+    """Store the works once per DOI key, bucketed by it, as a table of the catalog.
+
+    Lookups against the result neither shuffle nor de-duplicate the works again.
+    """
+    columns = [c for c in works.columns if c != "doi_key"]
+    rows = unique_works(works, columns).select("doi_key", "work.*")
+    (
+        rows.repartition(buckets, "doi_key")
+        .write.mode("overwrite")
+        .bucketBy(buckets, "doi_key")
+        .sortBy("doi_key")
+        .saveAsTable(table)
     )
+    return works.sparkSession.table(table)
 
 
 def _lookup(dois: DataFrame, *tables: DataFrame) -> DataFrame:
@@ -48,7 +72,8 @@ def _lookup(dois: DataFrame, *tables: DataFrame) -> DataFrame:
     joined = tables[0]
     for table in tables[1:]:
         joined = joined.join(table, "doi_key", "left")
-    return split_join(keyed, joined, "doi_key", dois.columns, "left").drop("doi_key")
+    hot = hot_keys(keyed, "doi_key")
+    return split_join(keyed, joined, "doi_key", dois.columns, hot, "left").drop("doi_key")
 
 
 def resolve_dois(
@@ -67,7 +92,10 @@ def unresolved_dois(dois: DataFrame, works: DataFrame) -> DataFrame:
         .select(doi_key(F.col("doi")).alias("doi_key"))
         .distinct()
     )
-    known = works.select(doi_key(F.col("doi")).alias("doi_key")).distinct()
+    if "doi_key" in works.columns:
+        known = works.select("doi_key")
+    else:
+        known = works.select(doi_key(F.col("doi")).alias("doi_key")).distinct()
     return wanted.join(known, "doi_key", "left_anti")
 
 

@@ -18,8 +18,9 @@ from snowlit.checkpoints import work_path, write_step
 ROWS_PER_SPLIT = 1_000_000
 
 
-def hot_keys(df: DataFrame, key: str, rows_per_split: int | None = None) -> DataFrame:
-    """``(key, splits)`` of the keys with more rows than one split should have.
+def hot_keys(df: DataFrame, key: str, rows_per_split: int | None = None) -> DataFrame | None:
+    """``(key, splits)`` of the keys with more rows than one split should have, or
+    None if there are none.
 
     At most one key per ``rows_per_split`` rows of ``df``. Counted with combining
     before the shuffle and written out, so later plans know how small it is.
@@ -27,9 +28,11 @@ def hot_keys(df: DataFrame, key: str, rows_per_split: int | None = None) -> Data
     rows_per_split = rows_per_split or ROWS_PER_SPLIT
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.filter(F.col("_n") > rows_per_split).select(
-        F.col(key).alias("_hot"), F.ceil(F.col("_n") / F.lit(rows_per_split)).cast("int").alias("_splits")
+        F.col(key).alias("_hot"),
+        F.ceil(F.col("_n") / F.lit(rows_per_split)).cast("int").alias("_splits"),
     )
-    return write_step(hot, work_path(df.sparkSession, "hot-keys"))
+    hot = write_step(hot, work_path(df.sparkSession, "hot-keys"))
+    return None if hot.isEmpty() else hot
 
 
 def split_join(
@@ -37,17 +40,18 @@ def split_join(
     one: DataFrame,
     key: str,
     spread: Sequence[str],
+    hot: DataFrame | None,
     how: str = "inner",
-    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join on ``key``, where ``many`` has any number of rows per key and ``one`` few.
 
-    Rows of a hot key in ``many`` are dealt over its splits by a hash of the
-    ``spread`` columns, and the matching rows of ``one`` are copied once per split.
-    All other rows are joined as usual. ``how`` is inner or left.
+    ``hot`` comes from :func:`hot_keys` of ``many``. Rows of a hot key are dealt over
+    its splits by a hash of the ``spread`` columns, and the matching rows of ``one``
+    are copied once per split; all other rows are joined as usual. Without hot keys
+    this is a plain join. ``how`` is inner or left.
     """
     if hot is None:
-        hot = hot_keys(many, key)
+        return many.join(one, key, how)
     splits = F.coalesce("_splits", F.lit(1))
     dealt = (
         many.join(hot, F.col(key) == F.col("_hot"), "left")

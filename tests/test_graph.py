@@ -64,13 +64,7 @@ def levels(df):
 @pytest.fixture
 def small_splits(monkeypatch):
     """Treat a key as hot from 20 rows on."""
-    original = skew.hot_keys
-
-    def low(df, key, rows_per_split=20):
-        return original(df, key, rows_per_split)
-
-    monkeypatch.setattr(skew, "hot_keys", low)
-    monkeypatch.setattr("snowlit.operators.citations.hot_keys", low)
+    monkeypatch.setattr(skew, "ROWS_PER_SPLIT", 20)
 
 
 @pytest.mark.parametrize("start", [("a",), ("a", "n5"), ("s",), ("nobody",)])
@@ -127,10 +121,11 @@ def test_hot_keys_and_splits(spark):
     )
     hot = hot_keys(many, "k", 10)
     assert [tuple(r) for r in hot.collect()] == [("hot", 10)]
+    assert hot_keys(many, "k", 100) is None
     one = spark.createDataFrame([("hot", "H"), ("cold", "C")], "k STRING, v STRING")
     for how in ("inner", "left"):
         plain = Counter(map(tuple, many.join(one, "k", how).select("k", "i", "v").collect()))
-        split = split_join(many, one, "k", ["i"], how, hot)
+        split = split_join(many, one, "k", ["i"], hot, how)
         assert Counter(map(tuple, split.select("k", "i", "v").collect())) == plain
 
 
@@ -139,7 +134,7 @@ def test_hot_key_is_spread_over_tasks(spark, conf):
     conf("spark.sql.adaptive.enabled", "false")
     many = spark.range(4000).select(F.lit("hot").alias("k"), F.col("id").alias("i"))
     one = spark.createDataFrame([("hot", "H")], "k STRING, v STRING")
-    joined = split_join(many, one, "k", ["i"], hot=hot_keys(many, "k", 100))
+    joined = split_join(many, one, "k", ["i"], hot_keys(many, "k", 100))
     sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 4000
     assert max(sizes) < 2500  # one task would hold all 4000 without splitting
@@ -222,6 +217,26 @@ def test_repeated_dois_keep_their_rows(spark, tables, small_splits):
     assert got.select("pos").distinct().count() == 301
 
 
+def test_catalogue_is_stored_once_and_not_shuffled_again(spark, tables, conf):
+    from snowlit.operators.resolve import write_catalogue
+
+    works, crawl = tables
+    spark.sql("CREATE DATABASE IF NOT EXISTS trial")
+    stored = write_catalogue(works, "trial.works", 4)
+    try:
+        assert stored.count() == 8
+        dois = spark.createDataFrame(list(enumerate(EXPECTED)), "pos INT, doi STRING")
+        got = {r.doi: (r.status, r.path) for r in classify_download(dois, stored, crawl).collect()}
+        assert got == EXPECTED
+        assert unresolved_dois(dois, stored).first().doi_key == "10.1/unknown"
+        conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = resolve_dois(merge_worklists(dois), stored)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1  # the worklist's own
+    finally:
+        spark.sql("DROP DATABASE trial CASCADE")
+
+
 def test_unresolved(spark, tables):
     dois = spark.createDataFrame([("10.1/OK",), ("10.9/x",), ("10.9/X ",), ("bad",), (None,)], "doi STRING")
     assert [r.doi_key for r in unresolved_dois(dois, tables[0]).collect()] == ["10.9/x"]

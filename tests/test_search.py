@@ -190,8 +190,7 @@ def test_saved_searches(postings, spark, monkeypatch):
         4: sorted(sets["hot"] - sets["a"] - sets["b"]),
     }
     assert saved(postings, spark, rows) == expected
-    original = skew.hot_keys
-    monkeypatch.setattr(skew, "hot_keys", lambda df, key: original(df, key, 100))
+    monkeypatch.setattr(skew, "ROWS_PER_SPLIT", 100)
     assert saved(postings.unionAll(postings), spark, rows) == expected
 
 
