@@ -371,7 +371,7 @@ def _(t):
 """)
 def _(t):
     shown = F.transform("papers", lambda p: F.concat(p["paper_id"].cast("string"), F.lit("="), p["response"]))
-    return question_rollup(t.answers_given).select(
+    return question_rollup(t.answers_given, digits=2).select(
         "q_idx", "part",
         F.array_join(shown, ";").alias("papers"),
         F.array_join(F.col("skipped_papers").cast("array<string>"), ";").alias("skipped_papers"),

@@ -11,6 +11,9 @@ from snowlit.operators.fanout import fan_out
 INLINE_QUESTIONS = 500
 INLINE_CHARACTERS = 1_000_000
 
+# Papers in one part of a question's roll-up.
+PAPERS_PER_PART = 10_000
+
 
 def flatten_questions(df: DataFrame, column: str = "questions", keys: tuple[str, ...] = ()) -> DataFrame:
     """Nested question lists as numbered rows, from 1."""
@@ -97,14 +100,28 @@ def question_counts(responses: DataFrame) -> DataFrame:
     )
 
 
-def question_rollup(responses: DataFrame, digits: int = 2) -> DataFrame:
+def rollup_digits(responses: DataFrame, papers_per_part: int | None = None) -> int:
+    """Hex digits that keep the parts of the largest question at about that size."""
+    papers_per_part = papers_per_part or PAPERS_PER_PART
+    largest = (
+        responses.groupBy("q_idx").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    )
+    digits = 0
+    while (largest or 0) > papers_per_part * 16**digits:
+        digits += 1
+    return digits
+
+
+def question_rollup(responses: DataFrame, digits: int | None = None) -> DataFrame:
     """The papers of each question, answered and skipped, in parts.
 
     One question has as many papers as the corpus, so its lists come in parts: the
     leading hex ``digits`` of the MD5 of the paper id, 16**digits even parts per
-    question. Choose digits so that papers / 16**digits fit in a row. Joining the
-    parts of a question gives its whole lists; nothing is left out.
+    question; by default as many as :func:`rollup_digits` measures. Joining the parts
+    of a question gives its whole lists; nothing is left out.
     """
+    if digits is None:
+        digits = rollup_digits(responses)
     part = F.left(F.md5(F.col("paper_id").cast("string").cast("binary")), F.lit(digits))
     answer = F.struct("paper_id", "response")
     return responses.groupBy("q_idx", part.alias("part")).agg(

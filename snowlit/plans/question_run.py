@@ -87,6 +87,9 @@ def run_questions(
 ) -> None:
     """Answer what is not yet stored at ``path`` and append it there."""
     spark = papers.sparkSession
-    stored = read_responses(spark, path)
+    key = papers.schema["paper_id"].dataType.simpleString()
+    stored = read_responses(
+        spark, path, f"paper_id {key}, q_idx INT, response STRING, skipped BOOLEAN"
+    )
     requests = text_requests(papers, questions, stored, max_context_tokens, max_chunks)
     write_responses(answer(requests, fn, batch_size, tasks), path)

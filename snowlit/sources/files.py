@@ -47,17 +47,21 @@ def scan_pdfs(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
-def read_references(spark: SparkSession, path: str) -> DataFrame:
-    """Reference files (a JSON array each) as rows in list order.
+def read_references(spark: SparkSession, path: str, fmt: str = "array") -> DataFrame:
+    """References ``(paper_id, pos, title, doi)``; a missing path gives no rows.
 
-    ``(paper_id, pos, title, doi)``; the paper is the file's name without suffix. A
-    missing path gives no rows.
+    ``array``: files that hold one JSON array each, in list order; the paper is the
+    file's name without suffix. ``parquet`` or ``json``: what :func:`write_references`
+    stored.
     """
     if not _exists(spark, path):
         return _empty(spark, REFERENCE_ROW)
+    if fmt != "array":
+        return spark.read.schema(REFERENCE_ROW).format(fmt).load(path)
     name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)(?:\.[^./]*)?$", 1)
     return (
-        spark.read.text(path, wholetext=True)
+        spark.read.option("recursiveFileLookup", True)
+        .text(path, wholetext=True)
         .select(
             F.url_decode(name).alias("paper_id"),
             F.from_json("value", f"ARRAY<{REFERENCE}>").alias("refs"),

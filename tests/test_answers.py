@@ -34,6 +34,7 @@ from snowlit.operators.questions import (
     pending_questions,
     question_counts,
     question_rollup,
+    rollup_digits,
 )
 from snowlit.plans.question_run import page_requests, run_questions, text_requests
 from snowlit.sources.files import read_responses
@@ -185,6 +186,14 @@ def test_answering_twice_adds_nothing(spark, shout, papers, questions, tmp_path)
     assert len(again) == 12 and [r for r in again if r[1] != 3] == first
 
 
+def test_numeric_paper_ids(spark, questions, tmp_path):
+    papers = spark.createDataFrame([(7, "a b"), (8, "c")], "paper_id BIGINT, text STRING")
+    for _ in range(2):
+        run_questions(papers, questions, f"{tmp_path}/r", lambda prompts: ["x"] * len(prompts))
+    rows = spark.read.parquet(f"{tmp_path}/r").collect()
+    assert sorted((r.paper_id, r.q_idx) for r in rows) == [(7, 1), (7, 2), (8, 1), (8, 2)]
+
+
 def test_handlers(spark):
     register_handler("lines", lambda content: content.decode().splitlines()[1:])
     rows = [("a.pdf", b"%PDF\none\ntwo"), ("b.pdf", b"<html>"), ("c.pdf", b"%PDF\n\xff")]
@@ -286,14 +295,18 @@ def test_run_comparison(spark):
     }
 
 
-def test_rollup_parts_hold_every_paper(spark):
+def test_rollup_parts_hold_every_paper(spark, monkeypatch):
     rows = [(f"p{i}", 1 + (i % 3 == 0), f"r{i}", i % 5 == 0) for i in range(200)]
     responses = spark.createDataFrame(rows, "paper_id STRING, q_idx INT, response STRING, skipped BOOLEAN")
-    for digits in (0, 1, 2):
+    monkeypatch.setattr(questions_module, "PAPERS_PER_PART", 10)
+    for digits in (0, 1, 2, None):
         seen = []
         for part in question_rollup(responses, digits).collect():
             seen += [(p.paper_id, part.q_idx, p.response, False) for p in part.papers]
             seen += [(p, part.q_idx, None, True) for p in part.skipped_papers]
-        assert sorted(seen) == sorted((p, q, None if s else r, s) for p, q, r, s in rows)
+        assert sorted(seen, key=str) == sorted(((p, q, None if s else r, s) for p, q, r, s in rows), key=str)
+    assert rollup_digits(responses, 133) == 0
+    assert rollup_digits(responses, 10) == 1
+    assert rollup_digits(responses, 1) == 2
     counts = {r.q_idx: (r.answered, r.skipped) for r in question_counts(responses).collect()}
     assert counts == {1: (107, 26), 2: (53, 14)}
