@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.cases import case
 from checks.search_cases import SEARCH, catalogue
+from snowlit.checkpoints import work_path, write_step
 from snowlit.functions.terms import has_concept, has_keyword, has_topic
 from snowlit.operators.citations import (
     citation_counts,
@@ -23,7 +24,7 @@ from snowlit.operators.resolve import (
     status_counts,
     unresolved_dois,
 )
-from snowlit.plans.reading_list import reading_list
+from snowlit.plans.reading_list import follow_references, reading_list
 
 KEY = "lower(replace(trim(r.doi), 'https://doi.org/', ''))"
 VALID = "starts_with(replace(trim(r.doi), 'https://doi.org/', ''), '10.')"
@@ -122,6 +123,36 @@ def _(t):
     return status_counts(reading(t))
 
 
+def bibliographies(t):
+    """The citations of each work as a parsed bibliography."""
+    name = lambda c: F.concat(F.lit("10.5555/w"), F.col(c).cast("string"))
+    entry = F.concat(
+        F.lit("<biblStruct><title>W</title><idno type=\"DOI\">"), name("dst"), F.lit("</idno></biblStruct>")
+    )
+    return t.citations.groupBy(name("src").alias("paper_id")).agg(
+        F.concat(
+            F.lit("<listBibl>"), F.array_join(F.sort_array(F.collect_list(entry)), ""), F.lit("</listBibl>")
+        ).alias("xml")
+    )
+
+
+@case("second_pass", views="raw_dois works crawl citations", sql=READING + f""",
+    cited AS (
+        SELECT DISTINCT '10.5555/w' || c.dst AS doi FROM citations c
+        WHERE '10.5555/w' || c.src IN (SELECT doi_key FROM outcome WHERE status = 'SUCCESS')),
+    fresh AS (
+        SELECT doi AS k, doi, true AS valid FROM cited
+        WHERE doi NOT IN (SELECT doi_key FROM outcome)),
+    second AS (
+        SELECT l.k AS doi_key, l.doi, {STATUS} AS status, {PATH} AS path
+        FROM fresh l LEFT JOIN works w ON lower(w.doi) = l.k LEFT JOIN fetches c ON c.k = l.k)
+    SELECT doi_key, doi, status, CASE WHEN status = 'SUCCESS' THEN path END AS path FROM second
+""")
+def _(t):
+    first = write_step(reading(t), work_path(t.spark, "reading-list"))
+    return follow_references(first, bibliographies(t), catalogue(t), t.crawl).drop("source", "pos")
+
+
 @case("status_counts", views="download_log", sql="""
     SELECT s.status, (SELECT count(*) FROM download_log d WHERE d.status = s.status) AS n
     FROM (VALUES ('SUCCESS'), ('NOT_OPEN_ACCESS'), ('ERROR')) AS s(status)

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snowlit.functions.terms import Terms
-from snowlit.operators.resolve import classify_download
+from snowlit.operators.extract import extract_references
+from snowlit.operators.resolve import SUCCESS, classify_download
 from snowlit.operators.works import matching_works, search_works
 from snowlit.operators.worklist import merge_worklists
 
@@ -34,3 +35,21 @@ def reading_list(
     return classify_download(worklist, works, crawl).select(
         "doi_key", "doi", "source", F.col("pos"), "status", "path"
     )
+
+
+def follow_references(
+    listed: DataFrame, bibliographies: DataFrame, works: DataFrame, crawl: DataFrame
+) -> DataFrame:
+    """The second pass: what the downloaded papers cite and the list does not hold.
+
+    ``listed`` is a reading list; ``bibliographies`` has the parsed XML of papers,
+    ``paper_id`` being their DOI key. Only papers with a successful download are
+    read. The result has the shape of the list, so passes can be chained; ``listed``
+    is read twice and is best a stored table.
+    """
+    done = listed.filter(F.col("status") == SUCCESS).select(F.col("doi_key").alias("paper_id"))
+    cited = extract_references(bibliographies.join(done, "paper_id", "left_semi"))
+    fresh = merge_worklists(cited).join(listed.select("doi_key"), "doi_key", "left_anti")
+    return classify_download(fresh, works, crawl).select(
+        "doi_key", "doi", "source", "pos", "status", "path"
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -12,7 +12,6 @@ from pyspark.sql.types import StructType
 from snowlit.functions.text import strip
 from snowlit.schemas import (
     ANSWER_DOCUMENTS,
-    QUESTIONS,
     REFERENCE,
     REFERENCE_ROW,
     RESPONSES,
@@ -26,14 +25,14 @@ QUESTION_FILES = "*.[mM][dD]"
 ANSWER_FILE = r"([^/]+)/q(\d+)\.md$"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
-def _empty(spark: SparkSession, schema: StructType | str) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def or_empty(spark: SparkSession, schema: StructType | str, read: Callable[[], DataFrame]) -> DataFrame:
+    """What ``read`` gives, or no rows if its path does not exist."""
+    try:
+        return read()
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def scan_pdfs(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -54,21 +53,25 @@ def read_references(spark: SparkSession, path: str, fmt: str = "array") -> DataF
     file's name without suffix. ``parquet`` or ``json``: what :func:`write_references`
     stored.
     """
-    if not _exists(spark, path):
-        return _empty(spark, REFERENCE_ROW)
     if fmt != "array":
-        return spark.read.schema(REFERENCE_ROW).format(fmt).load(path)
+        return or_empty(
+            spark, REFERENCE_ROW, lambda: spark.read.schema(REFERENCE_ROW).format(fmt).load(path)
+        )
     name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)(?:\.[^./]*)?$", 1)
-    return (
-        spark.read.option("recursiveFileLookup", True)
-        .text(path, wholetext=True)
-        .select(
-            F.url_decode(name).alias("paper_id"),
-            F.from_json("value", f"ARRAY<{REFERENCE}>").alias("refs"),
+
+    def read() -> DataFrame:
+        return (
+            spark.read.option("recursiveFileLookup", True)
+            .text(path, wholetext=True)
+            .select(
+                F.url_decode(name).alias("paper_id"),
+                F.from_json("value", f"ARRAY<{REFERENCE}>").alias("refs"),
+            )
+            .select("paper_id", F.posexplode("refs").alias("pos", "ref"))
+            .select("paper_id", "pos", "ref.title", "ref.doi")
         )
-        .select("paper_id", F.posexplode("refs").alias("pos", "ref"))
-        .select("paper_id", "pos", "ref.title", "ref.doi")
-    )
+
+    return or_empty(spark, REFERENCE_ROW, read)
 
 
 def write_references(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -83,16 +86,13 @@ def read_questions(spark: SparkSession, path: str, numeric: bool = False) -> Dat
     Path order puts ``q10.md`` before ``q2.md``; ``numeric`` orders by the number in
     the name first.
     """
-    try:
-        files = (
-            spark.read.option("pathGlobFilter", QUESTION_FILES)
-            .text(path, wholetext=True)
-            .select(F.col("_metadata.file_path").alias("file"), "value")
-        )
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return _empty(spark, QUESTIONS)
+    files = or_empty(
+        spark,
+        "file STRING, value STRING",
+        lambda: spark.read.option("pathGlobFilter", QUESTION_FILES)
+        .text(path, wholetext=True)
+        .select(F.col("_metadata.file_path").alias("file"), "value"),
+    )
     number = F.regexp_extract("file", r"(\d+)[^/\d]*$", 1).try_cast("int")
     order = [number, "file"] if numeric else ["file"]
     # The driver lists these files one by one anyway, so one task can number them.
@@ -131,28 +131,29 @@ def read_saved_questions(spark: SparkSession, path: str) -> DataFrame:
 def read_answer_files(spark: SparkSession, path: str) -> DataFrame:
     """Saved answer documents ``(paper_id, q_idx, value)`` from ``<paper>/q<n>.md``
     files at any depth. A missing folder holds none."""
-    if not _exists(spark, path):
-        return _empty(spark, ANSWER_DOCUMENTS)
     file = F.col("_metadata.file_path")
-    return (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.md")
-        .text(path, wholetext=True)
-        .select(
-            F.url_decode(F.regexp_extract(file, ANSWER_FILE, 1)).alias("paper_id"),
-            F.regexp_extract(file, ANSWER_FILE, 2).try_cast("int").alias("q_idx"),
-            "value",
+
+    def read() -> DataFrame:
+        return (
+            spark.read.option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "*.md")
+            .text(path, wholetext=True)
+            .select(
+                F.url_decode(F.regexp_extract(file, ANSWER_FILE, 1)).alias("paper_id"),
+                F.regexp_extract(file, ANSWER_FILE, 2).try_cast("int").alias("q_idx"),
+                "value",
+            )
+            .filter("q_idx IS NOT NULL")
         )
-        .filter("q_idx IS NOT NULL")
-    )
+
+    return or_empty(spark, ANSWER_DOCUMENTS, read)
 
 
 def read_responses(spark: SparkSession, path: str, schema: StructType | str = RESPONSES) -> DataFrame:
     """The response table; a missing one is empty."""
-    if not _exists(spark, path):
-        return _empty(spark, schema)
+    stored = or_empty(spark, schema, lambda: spark.read.schema(schema).parquet(path))
     # The partition column comes last on disk; give the columns back in order.
-    return spark.read.schema(schema).parquet(path).select(*_empty(spark, schema).columns)
+    return stored.select("paper_id", "q_idx", "response", "skipped")
 
 
 def write_responses(df: DataFrame, path: str) -> None:

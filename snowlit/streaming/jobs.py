@@ -15,7 +15,7 @@ from pyspark.sql.types import IntegerType, LongType, StructType
 
 from snowlit.functions.doi import doi_key, has_doi
 from snowlit.operators.questions import pending_pairs
-from snowlit.sources.files import PDF_FILES, _exists
+from snowlit.sources.files import PDF_FILES, or_empty
 
 BINARY_FILE = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
@@ -108,9 +108,8 @@ def answer_stream(
     )
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        done = spark.createDataFrame([], key)
-        if _exists(spark, path):
-            done = spark.read.schema(key).parquet(path).filter(F.col("batch_id") != batch_id)
+        stored = or_empty(spark, key, lambda: spark.read.schema(key).parquet(path))
+        done = stored.filter(F.col("batch_id") != batch_id)
         fresh = batch.dropDuplicates(["paper_id"])
         pending = pending_pairs(fresh, questions, done)
         respond(pending).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
