@@ -124,16 +124,14 @@ def _(t):
 
 
 def bibliographies(t):
-    """The citations of each work as a parsed bibliography."""
+    """Each citation as a parsed bibliography of one entry."""
     name = lambda c: F.concat(F.lit("10.5555/w"), F.col(c).cast("string"))
-    entry = F.concat(
-        F.lit("<biblStruct><title>W</title><idno type=\"DOI\">"), name("dst"), F.lit("</idno></biblStruct>")
-    )
-    return t.citations.groupBy(name("src").alias("paper_id")).agg(
-        F.concat(
-            F.lit("<listBibl>"), F.array_join(F.sort_array(F.collect_list(entry)), ""), F.lit("</listBibl>")
-        ).alias("xml")
+    xml = F.concat(
+        F.lit('<listBibl><biblStruct><title>W</title><idno type="DOI">'),
+        name("dst"),
+        F.lit("</idno></biblStruct></listBibl>"),
     )
+    return t.citations.select(name("src").alias("paper_id"), xml.alias("xml"))
 
 
 @case("second_pass", views="raw_dois works crawl citations", sql=READING + f""",

@@ -183,13 +183,12 @@ def _(t):
 
 @case("title_key", views="papers", sql=r"""
     SELECT paper_id, substr(regexp_replace(regexp_replace(
-               substr(text, 1, 300), '[^\p{L}\p{N}_\s\-]', '', 'g'), '\s+', '_', 'g'), 1, 200)
+               text, '[^\p{L}\p{N}_\s\-]', '', 'g'), '\s+', '_', 'g'), 1, 200)
              AS title_key
     FROM papers
 """)
 def _(t):
-    title = F.substring("text", 1, 300)
-    return t.papers.select("paper_id", title_key(title).alias("title_key"))
+    return t.papers.select("paper_id", title_key(F.col("text")).alias("title_key"))
 
 
 @case("topic_code", views="topics", sql="""
@@ -289,14 +288,14 @@ def _(t):
 
 
 @case("saved_search_bans", views="postings", sql="""
-    WITH banned AS (SELECT term FROM postings GROUP BY term HAVING count(*) < 100)
+    WITH banned AS (SELECT DISTINCT term FROM postings WHERE starts_with(term, 'Brand'))
     SELECT b.term AS search_id, u.doi
     FROM banned b, (SELECT DISTINCT doi FROM postings) u
     WHERE NOT EXISTS (SELECT 1 FROM postings p WHERE p.term = b.term AND p.doi = u.doi)
 """)
 def _(t):
-    rare = t.postings.groupBy("term").agg(F.count("*").alias("n")).filter("n < 100")
-    searches = rare.select(F.col("term").alias("search_id"), "term", F.lit(False).alias("required"))
+    brands = t.postings.filter(F.startswith("term", F.lit("Brand"))).select("term").distinct()
+    searches = brands.select(F.col("term").alias("search_id"), "term", F.lit(False).alias("required"))
     return match_saved_searches(t.postings, searches)
 
 

@@ -53,7 +53,7 @@ VIEWS: dict[str, str] = {
         SELECT doc_id AS paper_id, text FROM documents
     """,
     "questions": """
-        SELECT CAST(item_id + 1 AS INT) AS q_idx, text AS question FROM benchmark WHERE item_id < 3
+        SELECT CAST(r_regionkey + 1 AS INT) AS q_idx, 'Which data come from ' || r_name || '?' AS question FROM region
     """,
     "answered": """
         SELECT doc_id AS paper_id, CAST(quality + 1 AS INT) AS q_idx FROM labels
@@ -107,14 +107,15 @@ VIEWS: dict[str, str] = {
         SELECT p_partkey AS paper_id, 1 AS q_idx,
                CASE WHEN p_partkey % 2 = 0 THEN 'NO USEFUL DATA'
                     ELSE p_brand || ',' || p_type || ',7.5,' || CAST(p_size AS STRING) || ',NaN' END AS response
-        FROM part WHERE p_partkey % 10 <> 9
+        FROM part WHERE p_size <= 45
     """,
 }
 
-# Documents as works with full text, for searches that read it.
+# Documents as works with full text, for searches that read it; the first line is
+# the title.
 VIEWS["library"] = """
         SELECT doc_id AS work_id, '10.5555/d' || CAST(doc_id AS STRING) AS doi,
-               substr(text, 1, 120) AS title, text, lang, source
+               split_part(text, chr(10), 1) AS title, text, lang, source
         FROM documents
     """
 
