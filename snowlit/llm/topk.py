@@ -95,7 +95,7 @@ class ImpactIndex:
         level, sign = impact[vector, dim], values[vector, dim] > 0
         order = np.lexsort((vector, sign, dim, -level))
         vector, dim, level, sign = vector[order], dim[order], level[order], sign[order]
-        cuts = np.flatnonzero(np.r_[True, (np.diff(level) != 0) | (np.diff(dim) != 0) | (np.diff(sign.astype(np.int8)) != 0)])
+        cuts = np.flatnonzero(np.r_[True, (np.diff(level) != 0) | (np.diff(dim) != 0) | (np.diff(sign.astype(np.int8)) != 0)]) if len(level) else np.zeros(0, dtype=int)
         for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(level)]):
             worth = int(level[a]) * step + step // 2
             self.segments.setdefault(int(level[a]), []).append((int(dim[a]), worth if sign[a] else -worth, vector[a:b]))
