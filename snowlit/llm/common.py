@@ -30,7 +30,7 @@ def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.Recor
             yield batch.slice(start, end - start)
 
 
-def map_rows(df: DataFrame, make: Callable[[], Callable], schema: str) -> DataFrame:
+def map_rows(df: DataFrame, make: Callable[[], Callable], schema: str, limit: int = SLICE_BYTES) -> DataFrame:
     """Apply a function of columns to columns over bounded slices of Arrow batches.
 
     ``make`` runs once per task and gives ``fn(columns: dict[str, list]) -> dict``
@@ -43,7 +43,7 @@ def map_rows(df: DataFrame, make: Callable[[], Callable], schema: str) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, limit):
                 got = fn({n: piece.column(i).to_pylist() for i, n in enumerate(names)})
                 arrays = [
                     v if isinstance(v, pa.Array) else pa.array(v, type=f.type)
