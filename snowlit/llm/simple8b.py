@@ -1,9 +1,9 @@
 """Simple-8b: whole numbers packed into 64-bit words, word by word.
 
 The top 4 bits of a word select how many numbers it holds and how wide they are; the
-other 60 bits hold them, the first one lowest. The selector for 60 bits stands for one
-number of up to 60 bits. A larger number is an escape: a word with the selector of 240
-ones-free zeros and a payload of 1, followed by a raw 64-bit word.
+other 60 bits hold them, the first one lowest. Selector 15 stands for one number of
+up to 60 bits. A larger number is escaped: a word with selector 0 (240 zeros) whose 60 bits
+are 1 instead of 0, followed by the number as a whole word.
 
 A block is a header, then its words: 8 bytes magic ``S8BLOCK1``, numbers in all, words in
 all and the number of documents (three little-endian 32-bit), then per document its start
@@ -19,10 +19,13 @@ COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 MAGIC = b"S8BLOCK1"
 ESCAPE = np.uint64(1)
+_STEPS = np.append(COUNTS, 1)
 
 
 def _widths(values: np.ndarray) -> np.ndarray:
     """Bits that each value needs."""
+    if len(values) and values.max() < 1 << 16:
+        return _SMALL[values.astype(np.int64)]
     width = np.zeros(len(values), dtype=np.uint8)
     rest = values.copy()
     for bits in (32, 16, 8, 4, 2, 1):
@@ -32,6 +35,9 @@ def _widths(values: np.ndarray) -> np.ndarray:
     return width + (rest > 0).astype(np.uint8)
 
 
+_SMALL = np.array([i.bit_length() for i in range(1 << 16)], dtype=np.uint8)
+
+
 def encode(values: np.ndarray) -> np.ndarray:
     """Words (uint64) that hold the values (unsigned, at most 64 bits)."""
     values = np.asarray(values, dtype=np.uint64)
@@ -39,19 +45,20 @@ def encode(values: np.ndarray) -> np.ndarray:
     if not n:
         return np.zeros(0, dtype=np.uint64)
     width = _widths(values)
+    # The greatest width in windows of each length, zeros beyond the end.
+    ahead = lambda m, by: np.concatenate([m[by:], np.zeros(min(by, n), dtype=np.uint8)])[:n]
+    widest = {1: width}
+    for count, (a, b) in {
+        2: (1, 1), 3: (2, 1), 4: (2, 2), 5: (4, 1), 6: (4, 2), 7: (4, 3), 8: (4, 4), 10: (8, 2), 12: (8, 4), 15: (8, 7),
+        20: (10, 10), 30: (15, 15), 60: (30, 30), 120: (60, 60), 240: (120, 120),
+    }.items():
+        widest[count] = np.maximum(widest[a], ahead(widest[b], a))
     # The first selector whose numbers all fit, for a word that would start here.
     choice = np.full(n, 16, dtype=np.uint8)
-    where = np.arange(n, dtype=np.int32)
-    reach: dict[int, np.ndarray] = {}
     for selector in range(15, -1, -1):
-        bits, count = int(WIDTHS[selector]), int(COUNTS[selector])
-        if bits not in reach:
-            stop = np.where(width > bits, where, np.int32(n))
-            reach = {bits: np.minimum.accumulate(stop[::-1])[::-1]}
-        run = reach[bits] - where
-        choice[(run >= count) | ((run > 0) & (run + where == n))] = selector
+        choice[widest[int(COUNTS[selector])] <= WIDTHS[selector]] = selector
     # Where words really start: each word says where the next one does.
-    step = np.where(choice == 16, 1, COUNTS[np.minimum(choice, 15)]).tolist()
+    step = _STEPS[choice].tolist()
     starts, at = [], 0
     while at < n:
         starts.append(at)
