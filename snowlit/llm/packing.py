@@ -33,7 +33,7 @@ WINDOW = 2048
 UNIT = 8
 END_ID = 1
 # Remainders of one length and bucket, about.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 4_000
 
 
 def cut(docs: DataFrame, path: str, end_id: int = END_ID, window: int = WINDOW, doc_id="doc_id", text="text") -> DataFrame:

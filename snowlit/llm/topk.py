@@ -157,6 +157,8 @@ def top_k(
         "dims", F.col("ids").alias("q_ids"), F.col("vals").alias("q_values"), F.explode(F.sequence(F.lit(0), F.lit(places - 1))).alias("place")
     )
     rows = blocks(whole, vector_rows).withColumn("place", F.pmod(F.xxhash64("part"), F.lit(places)).cast("int"))
+    # Few bytes but much work: the number of places is kept.
+    rows, wanted = (side.repartition(places, "dims", "place") for side in (rows, wanted))
     pairs = rows.join(wanted, ["dims", "place"]).select("ids", "vals", "q_ids", "q_values", "dims")
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
