@@ -226,7 +226,8 @@ def drop_near_copies(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame
     keep = stored(keep, "kept-ids")
 
     def chosen(which):
-        return docs.join(keep.filter(which), F.col(doc_id).eqNullSafe(F.col("_keep")), "left_semi")
+        # The kept ids grow with the corpus, so they are never broadcast: one plan at any size.
+        return docs.join(keep.filter(which).hint("merge"), F.col(doc_id).eqNullSafe(F.col("_keep")), "left_semi")
 
     once = chosen(~F.col("_many"))
     if keep.filter("_many").isEmpty():
