@@ -14,10 +14,13 @@ from __future__ import annotations
 
 from collections import Counter
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from snowlit.llm.common import map_rows, stored, type_of
+from snowlit.llm.common import map_rows, slices, stored, type_of
 
 SPACES = b" \t\n\r\x0b\x0c"
 SYMBOLS = b"#*$%&|<>"
@@ -33,6 +36,7 @@ MEASURES = {
     "dup_line_rate": (False, 100),
     "repeat_rate": (False, 100),
 }
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 # A fence stands this many spreads beyond its quartile.
 REACH = 3
 
@@ -60,27 +64,44 @@ def measure_text(text: str | None) -> tuple[int, int, int, int, int, int]:
     return n, word_chars, n_symbols, n_dup, repeat, len(lines)
 
 
-def measure(docs: DataFrame, doc_id="doc_id", text="text", lang="lang", source="source", carry: bool = False) -> DataFrame:
-    """One row of counts for each document: its keys and the measures of its whole text.
-    With ``carry`` the row itself comes along, as a struct ``row``."""
-    whole = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
-    kept = ["doc_id", "lang", "source", *["row"] * carry]
+def measure(docs: DataFrame, doc_id="doc_id", text="text", lang="lang", source="source") -> DataFrame:
+    """One row of counts for each document: its keys and the measures of its whole text."""
+    kept = ["doc_id", "lang", "source"]
     keys = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"),
-        F.col(lang).alias("lang"), F.col(source).alias("source"), *whole,
+        F.col(lang).alias("lang"), F.col(source).alias("source"),
     )
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
-
     def make():
         def run(c):
             rows = [measure_text(t) for t in c["text"]]
             out = {k: c[k] for k in kept}
-            return out | {name: [r[i] for r in rows] for i, name in enumerate(names)}
+            return out | {name: [r[i] for r in rows] for i, name in enumerate(COUNTS)}
 
         return run
 
     schema = ", ".join(f"{k} {type_of(keys, k)}" for k in kept)
-    return map_rows(keys, make, schema + "".join(f", {n} BIGINT" for n in names))
+    return map_rows(keys, make, schema + "".join(f", {n} BIGINT" for n in COUNTS))
+
+
+def measure_rows(docs: DataFrame, text="text", lang="lang", source="source") -> DataFrame:
+    """As :func:`measure`, with the whole row as a struct ``row`` in place of its id."""
+    fields = docs.schema.fields
+    at = {name: docs.columns.index(name) for name in (text, lang, source)}
+    schema = T.StructType([
+        T.StructField("row", docs.schema), T.StructField("lang", fields[at[lang]].dataType),
+        T.StructField("source", fields[at[source]].dataType), *[T.StructField(n, T.LongType()) for n in COUNTS],
+    ])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        for batch in batches:
+            for piece in slices(batch):
+                rows = [measure_text(None if t is None else str(t)) for t in piece.column(at[text]).to_pylist()]
+                row = pa.StructArray.from_arrays(piece.columns, fields=list(arrow.field("row").type))
+                counts = [pa.array([r[i] for r in rows], pa.int64()) for i in range(len(COUNTS))]
+                yield pa.RecordBatch.from_arrays([row, piece.column(at[lang]), piece.column(at[source]), *counts], schema=arrow)
+
+    return docs.mapInArrow(run, schema)
 
 
 def _rates() -> dict[str, F.Column]:
@@ -180,4 +201,4 @@ def keep_good(docs: DataFrame, doc_id="doc_id", text="text", lang="lang", source
     """The rows of ``docs`` that :func:`quality` keeps, with their columns. The second pass
     measures again instead of moving whole texts to their verdicts."""
     limits = stored(fences(sketch(measure(docs, doc_id, text, lang, source)), reach), "quality-fences")
-    return judge(measure(docs, doc_id, text, lang, source, carry=True), limits).filter("kept").select("row.*")
+    return judge(measure_rows(docs, text, lang, source), limits).filter("kept").select("row.*")

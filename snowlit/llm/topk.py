@@ -32,7 +32,7 @@ SCALE = 256
 STEP = 4
 # Impact levels after which the scan may stop.
 STOPS = (16, 8, 4, 2, 1)
-VECTORS = 8192
+VECTORS = 4096
 QUERIES = 1024
 # Possible members per query that are worth scoring exactly.
 ENOUGH = 40
