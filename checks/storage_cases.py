@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.cases import case
+from snowlit.plans.question_run import run_questions
 from checks.search_cases import catalogue
 from checks.text_cases import MEASUREMENTS
 from snowlit.checkpoints import work_path
@@ -170,3 +171,18 @@ def _(t):
     return page_text(
         t.spark.read.schema("path STRING, page_no INT, text STRING, error STRING").parquet(f"{base}/table")
     )
+
+
+@case("retried_answers", views="papers questions", sql="""
+    SELECT p.paper_id, q.q_idx, 'second' AS response, false AS skipped FROM papers p, questions q
+""")
+def _(t):
+    # A first run in which every call fails, then one that works: nothing stays unanswered.
+    path = work_path(t.spark, "retried")
+
+    def broken(prompts):
+        raise RuntimeError("busy")
+
+    run_questions(t.papers, t.questions, path, broken, batch_size=16)
+    run_questions(t.papers, t.questions, path, lambda prompts: ["second"] * len(prompts), batch_size=16)
+    return read_responses(t.spark, path, "paper_id BIGINT, q_idx INT, response STRING, skipped BOOLEAN")

@@ -94,3 +94,32 @@ def _(t):
         .parquet(f"{base}/table")
         .select("paper_id", "q_idx", "response")
     )
+
+
+@case("answer_stream_restart", views="papers questions", sql="""
+    SELECT p.paper_id, q.q_idx, 'read' AS response FROM papers p, questions q
+""")
+def _(t):
+    # Two halves of the papers arrive one after the other; then the checkpoint is lost, and
+    # only the second half is left to read. No stored answer may go.
+    base = work_path(t.spark, "restarted")
+    papers = t.papers.select("paper_id")
+    halves = [papers.filter(F.pmod("paper_id", F.lit(2)) == i) for i in (0, 1)]
+
+    def respond(pending):
+        return pending.select("paper_id", "q_idx", F.lit("read").alias("response"))
+
+    def run(folder, progress):
+        stream = t.spark.readStream.schema("paper_id BIGINT").option("maxFilesPerTrigger", 1).parquet(folder)
+        answer_stream(stream, t.questions, f"{base}/table", f"{base}/{progress}", respond).awaitTermination()
+
+    halves[0].write.mode("append").parquet(f"{base}/all")
+    run(f"{base}/all", "progress")
+    halves[1].write.mode("append").parquet(f"{base}/all")
+    run(f"{base}/all", "progress")
+    halves[1].write.parquet(f"{base}/left")
+    run(f"{base}/left", "new")
+    return (
+        t.spark.read.schema("paper_id BIGINT, q_idx INT, response STRING")
+        .parquet(f"{base}/table").select("paper_id", "q_idx", "response")
+    )

@@ -67,7 +67,7 @@ def chunk_sql(size: int) -> str:
 CONTEXT = f"""
     split AS ({split_sql('papers')}),
     ctx AS (SELECT paper_id, CASE WHEN len(ws) > 0 THEN
-                array_to_string(list_slice({CHUNKS.format(size=8192)}, 1, 10),
+                array_to_string({CHUNKS.format(size=8192)},
                                 chr(10) || chr(10) || '---' || chr(10) || chr(10)) END AS context
             FROM split)
 """
@@ -157,10 +157,10 @@ def _(t):
     WITH split AS ({split_sql('papers')}), chunks AS ({chunk_sql(64)})
     SELECT paper_id, string_agg(chunk, chr(10) || chr(10) || '---' || chr(10) || chr(10)
                                 ORDER BY chunk_idx) AS context
-    FROM chunks WHERE chunk_idx < 10 GROUP BY paper_id
+    FROM chunks GROUP BY paper_id
 """)
 def _(t):
-    return join_chunks(chunk_text(t.papers, max_context_tokens=256, max_chunks=10))
+    return join_chunks(chunk_text(t.papers, max_context_tokens=256))
 
 
 @case("joined_page_replies", views="page_text", sql="""

@@ -7,7 +7,6 @@ results are keyed, and the sinks keep one row per key.
 
 from __future__ import annotations
 
-import io
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -15,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snowlit.functions.doi import is_pdf
+from snowlit.schemas import NO_TEXT
 
 # bytes of one file -> its pages, as texts or as image bytes
 Reader = Callable[[bytes], Sequence[str | bytes]]
@@ -69,7 +69,8 @@ def answer(
     tasks: int | None = None,
     prompt: str = "prompt",
 ) -> DataFrame:
-    """Answers ``(paper_id, q_idx, response, skipped, error)`` to all requests.
+    """Answers ``(paper_id, q_idx, response, skipped, error)`` to all requests; requests
+    about pages keep their ``page_no``.
 
     ``fn`` gets ``batch_size`` prompts at a time. If a batch fails, its prompts are
     tried one by one, and only those that fail alone are skipped. A NULL prompt (a
@@ -105,33 +106,18 @@ def answer(
                 for reply in many(texts[at : at + batch_size])
             ]
             rest = iter(replies)
-            rows = [next(rest) if ok else (None, True, "no text") for ok in given]
-            out = frame[["paper_id", "q_idx"]].copy()
+            rows = [next(rest) if ok else (None, True, NO_TEXT) for ok in given]
+            out = frame[keys].copy()
             out["response"] = [r[0] for r in rows]
             out["skipped"] = [r[1] for r in rows]
             out["error"] = [r[2] for r in rows]
             yield out
 
-    key = requests.schema["paper_id"].dataType.simpleString()
+    keys = [c for c in ("paper_id", "page_no", "q_idx") if c in requests.columns]
+    kinds = ", ".join(f"{c} {'INT' if c == 'q_idx' else requests.schema[c].dataType.simpleString()}" for c in keys)
     if tasks is not None:
-        requests = requests.repartition(tasks, "paper_id", "q_idx")
-    return requests.select("paper_id", F.col("q_idx").cast("int"), prompt).mapInPandas(
-        run, f"paper_id {key}, q_idx INT, response STRING, skipped BOOLEAN, error STRING"
+        requests = requests.repartition(tasks, *keys)
+    columns = [F.col(c).cast("int") if c == "q_idx" else F.col(c) for c in keys]
+    return requests.select(*columns, prompt).mapInPandas(
+        run, f"{kinds}, response STRING, skipped BOOLEAN, error STRING"
     )
-
-
-def _pdf_text_pages(content: bytes) -> list[str]:
-    from pypdf import PdfReader  # only needed where this reader runs
-
-    return [page.extract_text() or "" for page in PdfReader(io.BytesIO(content)).pages]
-
-
-def _pdf_image_pages(content: bytes) -> list[bytes]:
-    import fitz  # only needed where this reader runs
-
-    with fitz.open(stream=content, filetype="pdf") as document:
-        return [page.get_pixmap().tobytes("png") for page in document]
-
-
-register_handler("pdf2text", _pdf_text_pages)
-register_handler("pdf2image", _pdf_image_pages, output="image")

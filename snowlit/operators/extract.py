@@ -97,9 +97,13 @@ def measurement_lines(responses: DataFrame) -> DataFrame:
     return lines.filter("line <> ''").select("*", *once(fields=fields))
 
 
+# A plain decimal number, whatever else a cast would take.
+NUMBER = r"\A[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
+
+
 def _text(i: int) -> Column:
     value = F.regexp_replace(strip(F.col("fields")[i]), r'\A"(.*)"\z', "$1")
-    return F.nullif(value, F.lit(MISSING))
+    return F.when(F.lower(value) != MISSING.lower(), value)
 
 
 def extract_measurements(responses: DataFrame) -> DataFrame:
@@ -116,7 +120,7 @@ def extract_measurements(responses: DataFrame) -> DataFrame:
     }))
     for name in NUMBER_FIELDS:
         text = F.col(name)
-        values = values.filter(text.isNull() | text.try_cast("double").isNotNull())
+        values = values.filter(text.isNull() | text.rlike(NUMBER))
     return values.withColumns({
         name: F.col(name).try_cast("double") for name in NUMBER_FIELDS
     })

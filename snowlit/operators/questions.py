@@ -93,9 +93,9 @@ def pending_pairs(papers: DataFrame, questions: DataFrame, responses: DataFrame)
 
 
 def question_counts(responses: DataFrame) -> DataFrame:
-    """Answered and skipped papers of each question."""
+    """Answered and skipped papers of each question; not marked is answered."""
     return responses.groupBy("q_idx").agg(
-        F.count_if(~F.col("skipped")).alias("answered"),
+        F.count_if(~F.coalesce("skipped", F.lit(False))).alias("answered"),
         F.count_if(F.col("skipped")).alias("skipped"),
     )
 
@@ -125,7 +125,7 @@ def question_rollup(responses: DataFrame, digits: int | None = None) -> DataFram
     part = F.left(F.md5(F.col("paper_id").cast("string").cast("binary")), F.lit(digits))
     answer = F.struct("paper_id", "response")
     return responses.groupBy("q_idx", part.alias("part")).agg(
-        F.array_sort(F.collect_list(F.when(~F.col("skipped"), answer))).alias("papers"),
+        F.array_sort(F.collect_list(F.when(~F.coalesce("skipped", F.lit(False)), answer))).alias("papers"),
         F.array_sort(F.collect_list(F.when(F.col("skipped"), F.col("paper_id")))).alias(
             "skipped_papers"
         ),

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from snowlit.functions.doi import doi_key, is_valid_doi, normalize_doi, title_key
 from snowlit.operators.skew import hot_keys, split_join
@@ -19,11 +20,22 @@ HTTP_OK = 200
 PDF_SUFFIX = ".pdf"
 
 
+def _gaps(works: DataFrame, columns: Sequence[str]) -> F.Column:
+    """How many of the named columns, or of their fields, are empty."""
+    leaves = []
+    for name in columns:
+        kind = works.schema[name].dataType
+        inner = kind.names if isinstance(kind, StructType) else []
+        leaves += [F.col(name)[field] for field in inner] or [F.col(name)]
+    empty = [(leaf.isNull() | F.coalesce(leaf.cast("string") == "", F.lit(False))).cast("int") for leaf in leaves]
+    return sum(empty, F.lit(0))
+
+
 def unique_works(works: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per DOI key: ``(doi_key, work)``, the named columns in a struct.
 
     Copies of a work combine before the shuffle, which is the one the lookup join
-    needs anyway. A table that already has a ``doi_key``, as :func:`write_catalogue`
+    needs anyway; the one with the fewest empty values stands for all. A table that already has a ``doi_key``, as :func:`write_catalogue`
     makes it, is taken as it is.
     """
     work = F.struct(*[F.col(c).alias(c) for c in columns])
@@ -32,7 +44,7 @@ def unique_works(works: DataFrame, columns: Sequence[str]) -> DataFrame:
     return (
         works.filter(is_valid_doi(normalize_doi(F.col("doi"))))
         .groupBy(doi_key(F.col("doi")).alias("doi_key"))
-        .agg(F.min(work).alias("work"))
+        .agg(F.min(F.struct(_gaps(works, columns).alias("gaps"), work.alias("work")))["work"].alias("work"))
     )
 
 
@@ -143,18 +155,20 @@ def status_counts(log: DataFrame) -> DataFrame:
 
 
 def reference_counts(refs: DataFrame, paper: str = "paper_id") -> DataFrame:
-    """References, DOIs and distinct DOIs of each paper."""
+    """References, DOIs and distinct DOIs of each paper; a DOI counts by its key."""
+    given = F.nullif(doi_key(F.col("doi")), F.lit(""))
     return refs.groupBy(paper).agg(
         F.count(F.lit(1)).alias("n_references"),
-        F.count("doi").alias("n_dois"),
-        F.count_distinct("doi").alias("n_distinct"),
+        F.count(given).alias("n_dois"),
+        F.count_distinct(given).alias("n_distinct"),
     )
 
 
 def reference_totals(refs: DataFrame) -> DataFrame:
     """The same three figures over all papers."""
+    given = F.nullif(doi_key(F.col("doi")), F.lit(""))
     return refs.agg(
         F.count(F.lit(1)).alias("n_references"),
-        F.count("doi").alias("n_dois"),
-        F.count_distinct("doi").alias("n_distinct"),
+        F.count(given).alias("n_dois"),
+        F.count_distinct(given).alias("n_distinct"),
     )

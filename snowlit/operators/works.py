@@ -69,10 +69,10 @@ def search_works(
     year_min: int | None = None,
     year_max: int | None = None,
     open_access_only: bool = True,
-    max_papers: int | None = 1000,
+    max_papers: int | None = None,
 ) -> DataFrame:
     """:func:`matching_works` made distinct and sorted by DOI. ``max_papers`` caps
-    the result (a top-k, no full sort); None keeps all of it."""
+    the result (a top-k, no full sort); by default all of it is kept."""
     found = matching_works(
         works, topics, keywords, year_min, year_max, open_access_only
     ).distinct().orderBy("doi")

@@ -20,7 +20,6 @@ from snowlit.sources.files import read_responses, write_responses
 SYSTEM_PROMPT = "You are a helpful scientific research assistant."
 MODEL = "tinyllama"
 CONTEXT_TOKENS = 32768
-MAX_CHUNKS = 10
 
 
 def text_requests(
@@ -28,16 +27,18 @@ def text_requests(
     questions: DataFrame,
     responses: DataFrame,
     max_context_tokens: int = CONTEXT_TOKENS,
-    max_chunks: int | None = MAX_CHUNKS,
+    max_chunks: int | None = None,
 ) -> DataFrame:
     """Prompts for the pairs still to be answered: ``(paper_id, q_idx, question, prompt)``.
 
     Finished papers are dropped before any text is cut, each context is built once
     per paper, and only then is it repeated per question. A paper without words
-    gives a NULL prompt.
+    gives a NULL prompt. A paper without an id has no key for an answer and is left out;
+    each row of a repeated id gets its prompts.
     """
+    papers = papers.filter("paper_id IS NOT NULL")
     if inline_questions(questions) is None:
-        pairs = pending_pairs(papers.select("paper_id"), questions, responses)
+        pairs = pending_pairs(papers.select("paper_id").distinct(), questions, responses)
         open_papers = papers.join(pairs.select("paper_id").distinct(), "paper_id", "left_semi")
         context = contexts(open_papers, max_context_tokens, max_chunks)
         requests = context.join(pairs, "paper_id")
@@ -83,7 +84,7 @@ def run_questions(
     batch_size: int = 1,
     tasks: int | None = None,
     max_context_tokens: int = CONTEXT_TOKENS,
-    max_chunks: int | None = MAX_CHUNKS,
+    max_chunks: int | None = None,
 ) -> None:
     """Answer what is not yet stored at ``path`` and append it there."""
     spark = papers.sparkSession

@@ -21,7 +21,7 @@ def reading_list(
     year_min: int | None = None,
     year_max: int | None = None,
     open_access_only: bool = True,
-    max_papers: int | None = 1000,
+    max_papers: int | None = None,
 ) -> DataFrame:
     """References first, then search results; one row per DOI with its outcome.
 

@@ -18,6 +18,9 @@ TOPICS = "id STRING, display_name STRING"
 
 QUESTIONS = "q_idx INT, question STRING"
 
+# Why a paper without words is skipped.
+NO_TEXT = "no text"
+
 RESPONSES = "paper_id STRING, q_idx INT, response STRING, skipped BOOLEAN"
 
 ANSWER_DOCUMENTS = "paper_id STRING, q_idx INT, value STRING"

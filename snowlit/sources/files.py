@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from snowlit.functions.text import strip
@@ -14,6 +15,7 @@ from snowlit.schemas import (
     ANSWER_DOCUMENTS,
     REFERENCE,
     REFERENCE_ROW,
+    NO_TEXT,
     RESPONSES,
     TOPICS,
     WORKS,
@@ -24,6 +26,9 @@ PDF_FILES = "*.[pP][dD][fF]"
 QUESTION_FILES = "*.[mM][dD]"
 ANSWER_FILE = r"([^/]+)/q(\d+)\.md$"
 
+# A stored attempt that needs no other: it has no error, or its paper no text.
+FINISHED = f"error IS NULL OR error = '{NO_TEXT}'"
+
 
 def or_empty(spark: SparkSession, schema: StructType | str, read: Callable[[], DataFrame]) -> DataFrame:
     """What ``read`` gives, or no rows if its path does not exist."""
@@ -150,16 +155,40 @@ def read_answer_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_responses(spark: SparkSession, path: str, schema: StructType | str = RESPONSES) -> DataFrame:
-    """The response table; a missing one is empty."""
-    stored = or_empty(spark, schema, lambda: spark.read.schema(schema).parquet(path))
+    """The finished answers, those skipped for want of text included; a missing table is
+    empty. Failed attempts are not answers, see :func:`read_failures`."""
     # The partition column comes last on disk; give the columns back in order.
-    return stored.select("paper_id", "q_idx", "response", "skipped")
+    return _attempts(spark, path, schema).filter(FINISHED).select(
+        "paper_id", "q_idx", "response", "skipped"
+    )
+
+
+def _attempts(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """All that was stored, with ``error``."""
+    schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    if "error" not in schema.names:
+        schema = StructType([*schema.fields]).add("error", "string")
+    return or_empty(spark, schema, lambda: spark.read.schema(schema).parquet(path))
+
+
+def read_failures(spark: SparkSession, path: str, schema: StructType | str = RESPONSES) -> DataFrame:
+    """``(paper_id, q_idx, error)`` of the pairs that failed and have no answer yet."""
+    attempts = _attempts(spark, path, schema)
+    return (
+        attempts.groupBy("paper_id", "q_idx")
+        .agg(F.bool_or(F.expr(FINISHED)).alias("finished"), F.max("error").alias("error"))
+        .filter("NOT finished").drop("finished")
+    )
 
 
 def write_responses(df: DataFrame, path: str) -> None:
-    """Append answers, one per (paper, question); pairs already stored stay as they
-    are. Only the two key columns of the stored table are read."""
-    columns = ["paper_id", "q_idx", "response", "skipped"]
+    """Append answers, one per (paper, question); pairs already answered stay as they
+    are. A row with an ``error`` other than a missing text is stored as a failed attempt:
+    the pair stays open and may be answered later. Of the stored table only the keys and
+    errors are read."""
+    columns = ["paper_id", "q_idx", "response", "skipped", "error"]
+    if "error" not in df.columns:
+        df = df.withColumn("error", F.lit(None).cast("string"))
     df = df.select(*columns).dropDuplicates(["paper_id", "q_idx"])
     stored = read_responses(df.sparkSession, path, df.schema).select("paper_id", "q_idx")
     (

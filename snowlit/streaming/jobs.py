@@ -11,11 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, LongType, StructType
+from pyspark.sql.types import IntegerType, StructType
 
 from snowlit.functions.doi import doi_key, has_doi
 from snowlit.operators.questions import pending_pairs
-from snowlit.sources.files import PDF_FILES, or_empty
+from snowlit.sources.files import FINISHED, PDF_FILES, or_empty
 
 BINARY_FILE = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
@@ -96,23 +96,24 @@ def answer_stream(
     """Answer every question for each new paper, once.
 
     ``respond`` turns pending pairs into rows with ``paper_id``, ``q_idx`` and more.
-    Each micro-batch owns one folder, ``batch_id=<n>``. A replayed batch compares
-    itself with the other batches only and overwrites its own folder, so running it
-    again changes nothing, even if the checkpoint is lost and all batches run again.
+    Nothing stored is ever overwritten: a micro-batch leaves out the pairs that any batch
+    has answered, itself included, and appends the rest below ``batch_id=<n>``. So a
+    replayed batch adds only what is missing, and a lost checkpoint, with other files in
+    other batches, loses no answer. Rows with an ``error`` do not count as answers.
     """
     spark = papers.sparkSession
     key = (
         StructType([papers.schema["paper_id"]])
         .add("q_idx", IntegerType())
-        .add("batch_id", LongType())
+        .add("error", "string")
     )
 
     def run(batch: DataFrame, batch_id: int) -> None:
         stored = or_empty(spark, key, lambda: spark.read.schema(key).parquet(path))
-        done = stored.filter(F.col("batch_id") != batch_id)
+        done = stored.filter(FINISHED)
         fresh = batch.dropDuplicates(["paper_id"])
         pending = pending_pairs(fresh, questions, done)
-        respond(pending).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        respond(pending).write.mode("append").parquet(f"{path}/batch_id={batch_id}")
 
     return (
         papers.writeStream.foreachBatch(run)

@@ -310,3 +310,40 @@ def test_rollup_parts_hold_every_paper(spark, monkeypatch):
     assert rollup_digits(responses, 1) == 2
     counts = {r.q_idx: (r.answered, r.skipped) for r in question_counts(responses).collect()}
     assert counts == {1: (107, 26), 2: (53, 14)}
+
+
+def test_failures_are_kept_apart_and_tried_again(spark, shout, papers, questions, tmp_path):
+    from snowlit.sources.files import read_failures
+
+    def broken(prompts):
+        raise ValueError("busy")
+
+    path = f"{tmp_path}/responses"
+    run_questions(papers, questions, path, broken)
+    answered = read_responses(spark, path).collect()
+    assert all(r.skipped and r.response is None for r in answered)  # papers without words only
+    failed = read_failures(spark, path)
+    assert failed.count() > 0 and {r.error for r in failed.collect()} == {"busy"}
+    run_questions(papers, questions, path, shout)
+    assert read_failures(spark, path).count() == 0
+    keys = [(r.paper_id, r.q_idx) for r in read_responses(spark, path).collect()]
+    assert len(keys) == len(set(keys)) == papers.count() * questions.count()
+
+
+def test_unmarked_rows_count_as_answered(spark):
+    responses = spark.createDataFrame([("p", 1, "a", None)], "paper_id STRING, q_idx INT, response STRING, skipped BOOLEAN")
+    assert tuple(question_counts(responses).first()) == (1, 1, 0)
+    assert len(question_rollup(responses, 0).first().papers) == 1
+
+
+def test_page_answers_keep_their_page(spark, shout):
+    rows = spark.createDataFrame([("p", 1, 1, "x"), ("p", 2, 1, "y")], "paper_id STRING, page_no INT, q_idx INT, prompt STRING")
+    assert sorted((r.page_no, r.response) for r in answer(rows, shout).collect()) == [(1, "X"), (2, "Y")]
+
+
+def test_repeated_and_missing_ids_do_not_depend_on_the_plan(spark, questions, either_way):
+    papers = spark.createDataFrame([("p", "a"), ("p", "b"), (None, "c"), ("q", "d")], "paper_id STRING, text STRING")
+    none = spark.createDataFrame([], "paper_id STRING, q_idx INT, response STRING, skipped BOOLEAN")
+    n = questions.count()
+    got = [r.paper_id for r in text_requests(papers, questions, none).collect()]
+    assert sorted(got) == ["p"] * 2 * n + ["q"] * n

@@ -256,3 +256,17 @@ def test_reference_counts(spark):
     )
     assert {tuple(r) for r in reference_counts(refs).collect()} == {("p", 3, 2, 1), ("q", 1, 1, 1)}
     assert tuple(reference_totals(refs).first()) == (4, 3, 2)
+
+
+def test_the_fullest_copy_of_a_work_wins(spark):
+    from snowlit.operators.resolve import unique_works
+
+    schema = "doi STRING, title STRING, primary_location STRUCT<pdf_url: STRING>"
+    works = spark.createDataFrame([("10.1/a", None, None), ("10.1/A", "T", ("http://u",)), ("10.1/a", "S", (None,))], schema)
+    best = unique_works(works, ("title", "primary_location")).first().work
+    assert (best.title, best.primary_location.pdf_url) == ("T", "http://u")
+
+
+def test_empty_and_other_case_dois_in_counts(spark):
+    refs = spark.createDataFrame([("p", ""), ("p", "10.1/A"), ("p", "10.1/a"), ("p", None)], "paper_id STRING, doi STRING")
+    assert tuple(reference_counts(refs).first()) == ("p", 4, 2, 1)
