@@ -85,6 +85,67 @@ QUERIES = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_top_k": f"""
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
+            FROM v AS q JOIN v AS c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
+            WHERE q.vec_id % {QUERY_EVERY} = 0),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS nth FROM scored)
+        SELECT query_id, CAST(nth AS INTEGER) AS rank, vec_id, score FROM ranked WHERE nth <= 5
+    """,
+    "op6_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+        g AS (SELECT h, max(page_id) AS first FROM p GROUP BY h),
+        m AS (SELECT p.*, CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM first THEN first END AS refers_to FROM p JOIN g USING (h))
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
+               CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to,
+               CAST(NULL AS VARCHAR) AS error
+        FROM m
+    """,
+    "op10_preferences": f"""
+        WITH replies AS (
+            SELECT conv_id, arg_min(text, turn) AS first_reply, max(turn) AS last_turn
+            FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
+        turns AS (SELECT c.*, first_reply, last_turn FROM conversations AS c LEFT JOIN replies USING (conv_id)),
+        sides AS (
+            SELECT conv_id AS pair_id, true AS chosen, turn, role, text FROM turns
+            UNION ALL
+            SELECT conv_id, false, turn, role,
+                   CASE WHEN role = 'assistant' AND turn = last_turn THEN first_reply ELSE text END FROM turns),
+        g AS (
+            SELECT pair_id, turn, role, text, bool_or(chosen) AS c, bool_or(NOT chosen) AS r
+            FROM sides GROUP BY pair_id, turn, role, text),
+        ends AS (SELECT pair_id, min(turn) AS stop FROM g WHERE NOT (c AND r) GROUP BY pair_id),
+        parts AS (
+            SELECT g.*, CAST(floor(turn / {preferences.BLOCK_TURNS}) AS BIGINT) AS block,
+                   unnest(CASE WHEN stop IS NULL OR turn < stop THEN ['prompt']
+                          WHEN c AND r THEN ['chosen', 'rejected'] WHEN c THEN ['chosen'] ELSE ['rejected'] END) AS part,
+                   '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS piece
+            FROM g LEFT JOIN ends USING (pair_id)),
+        placed AS (
+            SELECT *, coalesce(sum(length(piece)) OVER (
+                PARTITION BY pair_id, part, block ORDER BY turn, role, text
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
+            FROM parts),
+        written AS (
+            SELECT pair_id, part, block, string_agg(piece, '' ORDER BY turn, role, text) AS text,
+                   coalesce(string_agg(CASE WHEN part <> 'prompt' AND role = 'assistant'
+                       THEN (pos + 5 + length(role)) || ':' || (pos + length(piece) - 1) END, ',' ORDER BY turn, role, text), '') AS trained
+            FROM placed GROUP BY pair_id, part, block)
+        SELECT pair_id, part, block, CAST(coalesce(sum(length(text)) OVER (
+                   PARTITION BY pair_id, part ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start,
+               text, trained
+        FROM written
+    """,
+}
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

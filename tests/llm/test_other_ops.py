@@ -203,3 +203,11 @@ def test_queries_are_whole(spark, sf):
     for name in ("op2_pii", "op3_quality_rules", "op7_simhash", "op8_token_ids", "op9_bpe"):
         assert queries.QUERIES[name](spark, sf).count() == n, name
     assert corpus_pipeline.run(spark, sf).select("doc_id").distinct().count() <= n
+
+
+@pytest.mark.parametrize("name", list(queries.ORACLES))
+def test_queries_match_their_sql(spark, sf, name):
+    from checks.compare import compare, duck
+
+    problem, n = compare(spark, duck(sf), sf, name, queries.QUERIES[name], queries.ORACLES[name])
+    assert problem is None and n > 0
