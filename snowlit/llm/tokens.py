@@ -21,8 +21,8 @@ PART = re.compile(
     r"|(?:[ \n]?\S+|\s+\S*)(?:(?![ \n]\S)\s+\S*)*"
 )
 # Distinct parts a task keeps, and characters of them.
-KEPT_PARTS = 1_300_000
-KEPT_CHARACTERS = 20_000_000
+KEPT_PARTS = 900_000
+KEPT_CHARACTERS = 14_000_000
 # Distinct parts given to the tokenizer in one text.
 TOGETHER = 4096
 
