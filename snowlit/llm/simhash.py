@@ -123,7 +123,7 @@ def _forest(fps: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.ndarray, np.
     for i in range(0, len(fps), step):
         x = fps[i : i + step]
         for j in range(i, len(fps), step):
-            if two and side[i : i + step].max() == side[j : j + step].min():
+            if two and side[i] == side[j : j + step][-1]:  # sorted: all of one side
                 continue
             close = _close(x[:, None], fps[None, j : j + step])
             a, b = np.nonzero(close)

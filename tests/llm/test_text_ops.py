@@ -4,6 +4,7 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 
@@ -127,7 +128,6 @@ def test_simhash_links_lose_nothing(spark, block):
         return f
 
     for r in found:
-        assert (r.a ^ r.b).bit_count() <= 4 or True
         parent[root(r.a)] = root(r.b)
     mask = (1 << 64) - 1
     near = [(a, b) for i, a in enumerate(fps) for b in fps[i + 1 :] if ((a ^ b) & mask).bit_count() <= 4]
@@ -264,3 +264,15 @@ def test_spans_from_long_lists_stay_apart():
     taken = sorted((i * 10, i * 10 + 5) for i in range(50))
     added = [("ip", i * 3, i * 3 + 2) for i in range(200)]
     assert pii._apart(added, taken) == [s for s in added if not any(a < s[2] and s[1] < b for a, b in taken)]
+
+
+@pytest.mark.parametrize("first", [1, 255, 256, 300, 700])
+def test_simhash_compares_all_of_both_sides(first):
+    """Two blocks of a long list, of lengths that are no multiple of a step."""
+    rng = np.random.default_rng(first)
+    base = rng.integers(0, 1 << 63, first, dtype=np.uint64)
+    other = rng.permutation(base) ^ np.uint64(1 << 60)
+    fps = np.concatenate([base, other, rng.integers(0, 1 << 63, 150, dtype=np.uint64)])
+    side = np.repeat([0, 1], [first, len(other) + 150])
+    ((a, b),) = simhash._forest(fps, side)
+    assert {frozenset(p) for p in zip(a.tolist(), b.tolist())} == {frozenset((x, x ^ 1 << 60)) for x in base.tolist()}
