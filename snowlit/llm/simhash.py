@@ -26,8 +26,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from snowlit.llm.common import map_rows, stored, type_of
+from snowlit.llm.common import map_rows, slices, stored, type_of
 from snowlit.llm.components import components
 
 SHINGLE = 4
@@ -199,8 +201,8 @@ def links(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
     return _compare(together)
 
 
-def groups(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
-    """(doc_id, fp, component_id) for every document."""
+def _rooted(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, fp, root, component_id) for every document; ``root`` names its group."""
     marked = stored(fingerprints(docs, doc_id, text), "fingerprints")
     nodes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fp-nodes")
     roots = components(links(nodes.select("fp")))
@@ -209,19 +211,40 @@ def groups(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
     )
     rooted = stored(rooted, "fp-roots")
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stored(rooted.join(stored(ids, "fp-groups"), "root").select("fp", "component_id"), "fp-components")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = rooted.join(stored(ids, "fp-groups"), "root").select("fp", "root", "component_id")
+    return marked.join(stored(named, "fp-components"), "fp").select("doc_id", "fp", "root", "component_id")
+
+
+def groups(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
+    """(doc_id, fp, component_id) for every document."""
+    return _rooted(docs, doc_id, text).select("doc_id", "fp", "component_id")
+
+
+def _with_fingerprints(docs: DataFrame, text: str) -> DataFrame:
+    """(row, fp): whole rows as structs beside the fingerprint of their text."""
+    schema = T.StructType([T.StructField("row", docs.schema), T.StructField("fp", T.LongType())])
+    arrow, at = to_arrow_schema(schema), docs.columns.index(text)
+
+    def run(batches):
+        for batch in batches:
+            for piece in slices(batch):
+                row = pa.StructArray.from_arrays(piece.columns, fields=list(arrow.field("row").type))
+                fps = [fingerprint(None if t is None else str(t)) for t in piece.column(at).to_pylist()]
+                fps = pa.array(np.array(fps, dtype=np.uint64).view(np.int64))
+                yield pa.RecordBatch.from_arrays([row, fps], schema=arrow)
+
+    return docs.mapInArrow(run, schema)
 
 
 def drop_near_copies(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
-    """One row of each group: the one with the group's id, and of repeated ids the first by
-    content (of its fingerprint too, if they differ). A group of rows without any id keeps
-    one of them."""
-    found = groups(docs, doc_id, text)
+    """One row of each group: the one with the group's id, and where several rows of the
+    group have that id the first by content. A group of rows without any id keeps one
+    of them."""
+    found = stored(_rooted(docs, doc_id, text), "grouped")
+    named = F.col("doc_id").eqNullSafe(F.col("component_id"))
     keep = (
-        found.groupBy("doc_id").agg(F.max("component_id").alias("group"), F.count(F.lit(1)).alias("n"))
-        .filter(F.col("doc_id").eqNullSafe(F.col("group")))
-        .select(F.col("doc_id").alias("_keep"), (F.col("n") > 1).alias("_many"))
+        found.groupBy("doc_id").agg(F.bool_or(named).alias("names"), F.count(F.lit(1)).alias("n"))
+        .filter("names").select(F.col("doc_id").alias("_keep"), (F.col("n") > 1).alias("_many"))
     )
     keep = stored(keep, "kept-ids")
 
@@ -232,9 +255,13 @@ def drop_near_copies(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame
     once = chosen(~F.col("_many"))
     if keep.filter("_many").isEmpty():
         return once
-    rows = Window.partitionBy(doc_id).orderBy(*[F.col(c).asc_nulls_last() for c in docs.columns if c != doc_id])
-    many = chosen("_many").withColumn("_nth", F.row_number().over(rows)).filter("_nth = 1").drop("_nth")
-    return once.unionByName(many)
+    # Rows that share an id may stand in several groups; their fingerprints tell which.
+    ours = found.filter(named).select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "root").distinct()
+    met = _with_fingerprints(chosen("_many"), text).join(
+        ours, F.col("row")[doc_id].eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp"))
+    )
+    first = Window.partitionBy("root").orderBy(*[F.col("row")[c].asc_nulls_last() for c in docs.columns])
+    return once.unionByName(met.withColumn("nth", F.row_number().over(first)).filter("nth = 1").select("row.*"))
 
 
 def hex_fingerprint(fp: F.Column) -> F.Column:

@@ -163,10 +163,23 @@ def test_one_of_each_group_stays(odd, documents, none):
         for doc, _, component in plain_groups(rows):
             groups.setdefault(component, set()).add(doc)
         ids = [r.doc_id for r in kept.collect()]
-        assert len(ids) == len(set(ids))
+        if df is documents:
+            assert len(ids) == len(set(ids))
         assert set(ids) == {c for c in groups if c is not None} | ({None} if None in groups else set())
 
 
+def test_rows_that_share_an_id_stay_by_their_group(spark):
+    """A repeated or missing id names several groups: each keeps one of its own rows."""
+    one, two, three, four = ("alpha beta gamma", "delta epsilon zeta", "eta theta iota", "kappa lambda mu")
+    rows = [(4, one), (4, one), (4, two), (2, two), (4, three), (None, three), (None, four), (None, four), (None, one), (None, "nu xi omicron")]
+    df = clashing(spark.createDataFrame([(d, t, "en", None, 1) for d, t in rows], SCHEMA))
+    kept = simhash.drop_near_copies(df)
+    assert kept.columns == df.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(
+        [(4, one), (2, two), (4, three), (None, four), (None, "nu xi omicron")]
+    )
+
+
 LOCAL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
 IP = r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
 CARD = r"[0-9]([\x20-]?[0-9])+"
