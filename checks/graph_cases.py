@@ -213,7 +213,7 @@ def _(t):
     SELECT doi FROM reached
 """)
 def _(t):
-    return snowball(seeds(t), t.citations, depth=50).select("doi")
+    return snowball(seeds(t), t.citations, depth=None).select("doi")
 
 
 @case("snowball_walks", views="works citations", sql=f"""

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from snowlit.functions.text import UNICODE, WHITESPACE_CLASS, strip
 
@@ -40,6 +41,14 @@ def doi_key(col: Column, case_sensitive: bool = False) -> Column:
     return plain if case_sensitive else F.lower(plain)
 
 
+def graph_key(df: DataFrame, column: str, case_sensitive: bool = False) -> Column:
+    """What graph steps and sets compare: the key of a DOI, NULL where there is none.
+    Identifiers that are no text are compared as they are."""
+    if not isinstance(df.schema[column].dataType, StringType):
+        return F.col(column)
+    return F.nullif(doi_key(F.col(column), case_sensitive), F.lit(""))
+
+
 def title_key(col: Column) -> Column:
     """Label made from a title: word characters, ``-`` and ``_`` only, 200 at most."""
     kept = F.regexp_replace(col, rf"{UNICODE}[^\p{{L}}\p{{N}}_\-{WHITESPACE_CLASS}]", "")

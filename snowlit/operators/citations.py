@@ -7,29 +7,40 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from snowlit.checkpoints import work_path, write_step
+from snowlit.functions.doi import graph_key
 from snowlit.operators.resolve import SUCCESS
 from snowlit.operators.skew import hot_keys, split_join
 from snowlit.schemas import with_field
 
 
-def expand_citations(frontier: DataFrame, citations: DataFrame) -> DataFrame:
-    """One hop: everything the ``doi`` column of ``frontier`` cites, repeats kept."""
-    edges = citations.filter(F.col("dst").isNotNull()).select("src", "pos", "dst")
-    start = frontier.select(F.col("doi").alias("src"))
-    return split_join(edges, start, "src", ["pos", "dst"], hot_keys(edges, "src"))
+def expand_citations(frontier: DataFrame, citations: DataFrame, case_sensitive: bool = False) -> DataFrame:
+    """One hop: everything the ``doi`` column of ``frontier`` cites, repeats kept.
+    DOIs meet by their key and are shown as the edges spell them."""
+    edges = citations.filter(F.col("dst").isNotNull()).select(
+        "src", "pos", "dst", graph_key(citations, "src", case_sensitive).alias("_key")
+    )
+    start = frontier.select(graph_key(frontier, "doi", case_sensitive).alias("_key"))
+    return split_join(edges, start, "_key", ["pos", "dst"], hot_keys(edges, "_key")).drop("_key")
+
+
+def _done(log: DataFrame, case_sensitive: bool) -> DataFrame:
+    """The keys with a successful download, once each."""
+    good = log.filter(F.col("status") == SUCCESS)
+    return good.select(graph_key(good, "doi", case_sensitive).alias("_key")).distinct()
 
 
-def frontier_ok(frontier: DataFrame, log: DataFrame) -> DataFrame:
+def frontier_ok(frontier: DataFrame, log: DataFrame, case_sensitive: bool = False) -> DataFrame:
     """Keep the works whose download succeeded at least once."""
-    done = log.filter(F.col("status") == SUCCESS).select("doi").distinct()
-    return frontier.join(done, "doi", "left_semi")
+    key = graph_key(frontier, "doi", case_sensitive)
+    return frontier.withColumn("_key", key).join(_done(log, case_sensitive), "_key", "left_semi").drop("_key")
 
 
-def _edge_table(citations: DataFrame, base: str) -> tuple[DataFrame, DataFrame | None]:
-    """The distinct edges ``(src, dst, m)``, ``m`` the number of copies, and the
+def _edge_table(citations: DataFrame, base: str, case_sensitive: bool) -> tuple[DataFrame, DataFrame | None]:
+    """The distinct edges ``(src, dst, m)`` by key, ``m`` the number of copies, and the
     sources with very many of them, if any. Narrow, and made once for all levels."""
     edges = (
-        citations.filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
+        citations.select(*[graph_key(citations, c, case_sensitive).alias(c) for c in ("src", "dst")])
+        .filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
         .groupBy("src", "dst")
         .agg(F.count(F.lit(1)).alias("m"))
     )
@@ -37,14 +48,21 @@ def _edge_table(citations: DataFrame, base: str) -> tuple[DataFrame, DataFrame |
     return edges, hot_keys(edges, "src")
 
 
+def _seed_keys(seeds: DataFrame, case_sensitive: bool) -> DataFrame:
+    return seeds.select(graph_key(seeds, "doi", case_sensitive).alias("doi")).filter("doi IS NOT NULL")
+
+
 def snowball(
     seeds: DataFrame,
     citations: DataFrame,
-    depth: int = 1,
+    depth: int | None = 1,
     log: DataFrame | None = None,
+    case_sensitive: bool = False,
 ) -> DataFrame:
-    """Works reached from ``seeds`` over 1..depth citations, with the first level.
+    """Works reached from ``seeds`` over 1..depth citations, with the first level;
+    without a depth, all that can be reached.
 
+    Works are told apart by the key of their DOI, which is also what the result shows.
     A work is expanded when first reached and never again, so cycles cost nothing.
     Each level is one join and one distinct (combined before its shuffle) and is
     written out before the next; the loop ends when a level finds nothing new. With
@@ -53,17 +71,20 @@ def snowball(
     """
     spark = seeds.sparkSession
     base = work_path(spark, "snowball")
-    edges, hot = _edge_table(citations, base)
-    start = seeds.select("doi").distinct()
+    start = _seed_keys(seeds, case_sensitive).distinct()
+    if depth is not None and depth < 1:
+        return start.limit(0).withColumn("level", F.lit(0))
+    edges, hot = _edge_table(citations, base, case_sensitive)
+    if log is not None:
+        done = write_step(_done(log, case_sensitive).withColumnRenamed("_key", "doi"), f"{base}/done")
     reader = spark.read.schema(with_field(start.schema, "level", IntegerType()))
     found = f"{base}/found"
-    if depth < 1:
-        return start.limit(0).withColumn("level", F.lit(0))
 
-    frontier = start
-    for level in range(1, depth + 1):
+    frontier, level = start, 0
+    while depth is None or level < depth:
+        level += 1
         if log is not None:
-            frontier = frontier_ok(frontier, log)
+            frontier = frontier.join(done, "doi", "left_semi")
         cited = (
             split_join(edges, frontier.select(F.col("doi").alias("src")), "src", ["dst"], hot)
             .select(F.col("dst").alias("doi"))
@@ -77,22 +98,24 @@ def snowball(
     return reader.parquet(found)
 
 
-def snowball_walks(seeds: DataFrame, citations: DataFrame, depth: int = 1) -> DataFrame:
+def snowball_walks(seeds: DataFrame, citations: DataFrame, depth: int = 1, case_sensitive: bool = False) -> DataFrame:
     """As :func:`snowball` without a visited set: per level and work, ``n`` counts
     how often it is reached. Repeats are carried as counts, never as rows, so a
-    cycle or a hub does not multiply the data."""
+    cycle or a hub does not multiply the data. A count that no long holds is NULL, and
+    so are all that build on it."""
     spark = seeds.sparkSession
     base = work_path(spark, "walks")
-    edges, hot = _edge_table(citations, base)
-    frontier = seeds.groupBy("doi").agg(F.count(F.lit(1)).alias("n"))
+    edges, hot = _edge_table(citations, base, case_sensitive)
+    frontier = _seed_keys(seeds, case_sensitive).groupBy("doi").agg(F.count(F.lit(1)).alias("n"))
     reader = spark.read.schema(with_field(frontier.schema, "level", IntegerType()))
     if depth < 1:
         return frontier.limit(0).withColumn("level", F.lit(0))
+    ways = F.try_multiply("n", "m")
     for level in range(1, depth + 1):
         reached = (
             split_join(edges, frontier.withColumnRenamed("doi", "src"), "src", ["dst"], hot)
             .groupBy(F.col("dst").alias("doi"))
-            .agg(F.sum(F.col("n") * F.col("m")).alias("n"))
+            .agg(F.when(F.count(ways) == F.count(F.lit(1)), F.try_sum(ways)).alias("n"))
         )
         frontier = write_step(reached, f"{base}/levels/level={level}")
         if frontier.isEmpty():
@@ -100,10 +123,11 @@ def snowball_walks(seeds: DataFrame, citations: DataFrame, depth: int = 1) -> Da
     return reader.parquet(f"{base}/levels")
 
 
-def citation_counts(citations: DataFrame) -> DataFrame:
+def citation_counts(citations: DataFrame, case_sensitive: bool = False) -> DataFrame:
     """How many works cite each DOI. Counted per (dst, src) first: hubs spread."""
+    keyed = citations.select(*[graph_key(citations, c, case_sensitive).alias(c) for c in ("src", "dst")])
     return (
-        citations.filter(F.col("dst").isNotNull())
+        keyed.filter(F.col("dst").isNotNull())
         .groupBy(F.col("dst").alias("doi"))
         .agg(F.count_distinct("src").alias("cited_by"))
     )

@@ -10,39 +10,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snowlit.functions.doi import has_doi
+from snowlit.functions.doi import graph_key
 from snowlit.operators.fanout import fan_out
 from snowlit.operators.skew import hot_keys, split_join
 
 # Sub-groups that each term is split into before the final cut of cap_per_term.
 SUBGROUPS = 32
 
+# Unknown terms that an error shows; it counts them all.
+SHOWN_TERMS = 20
 
-def _dois(df: DataFrame) -> DataFrame:
-    return df.select("doi").filter(has_doi(F.col("doi"))).distinct()
 
+def _dois(df: DataFrame, case_sensitive: bool = False) -> DataFrame:
+    """The distinct keys of the DOIs; a missing or empty one is none."""
+    return df.select(graph_key(df, "doi", case_sensitive).alias("doi")).filter("doi IS NOT NULL").distinct()
 
-def a_and_b(a: DataFrame, b: DataFrame) -> DataFrame:
-    return _dois(a).join(_dois(b), "doi", "left_semi")
 
+def a_and_b(a: DataFrame, b: DataFrame, case_sensitive: bool = False) -> DataFrame:
+    return _dois(a, case_sensitive).join(_dois(b, case_sensitive), "doi", "left_semi")
 
-def a_or_b(a: DataFrame, b: DataFrame) -> DataFrame:
-    return _dois(a.select("doi").unionAll(b.select("doi")))
 
+def a_or_b(a: DataFrame, b: DataFrame, case_sensitive: bool = False) -> DataFrame:
+    return _dois(a.select("doi").unionAll(b.select("doi")), case_sensitive)
 
-def complement(universe: DataFrame, a: DataFrame) -> DataFrame:
+
+def complement(universe: DataFrame, a: DataFrame, case_sensitive: bool = False) -> DataFrame:
     """DOIs of ``universe`` that are not in ``a``."""
-    return _dois(universe).join(_dois(a), "doi", "left_anti")
+    return _dois(universe, case_sensitive).join(_dois(a, case_sensitive), "doi", "left_anti")
 
 
-def seen_universe(postings: DataFrame) -> DataFrame:
+def seen_universe(postings: DataFrame, case_sensitive: bool = False) -> DataFrame:
     """Every DOI that occurs in any posting."""
-    return _dois(postings)
+    return _dois(postings, case_sensitive)
 
 
-def term_counts(postings: DataFrame) -> DataFrame:
+def term_counts(postings: DataFrame, case_sensitive: bool = False) -> DataFrame:
     """Distinct DOIs per term. Counted per (term, doi) first, so hot terms spread."""
-    return postings.groupBy("term").agg(F.count_distinct("doi").alias("n_dois"))
+    key = graph_key(postings, "doi", case_sensitive)
+    return postings.groupBy("term").agg(F.count_distinct(key).alias("n_dois"))
 
 
 def cap_per_term(postings: DataFrame, n: int) -> DataFrame:
@@ -71,14 +76,18 @@ def unknown_terms(terms: DataFrame, catalogue: DataFrame) -> DataFrame:
 
 
 def require_known_terms(terms: DataFrame, catalogue: DataFrame) -> None:
-    """Raise ``ValueError`` naming some of the unknown terms, if there are any."""
-    bad = [row.term for row in unknown_terms(terms, catalogue).orderBy("term").take(20)]
+    """Raise ``ValueError`` with the number of unknown terms and the first of them, if
+    there are any."""
+    unknown = unknown_terms(terms, catalogue)
+    bad = [row.term for row in unknown.orderBy("term").take(SHOWN_TERMS)]
     if bad:
-        raise ValueError(f"terms not found in the catalogue: {', '.join(map(str, bad))}")
+        n = len(bad) if len(bad) < SHOWN_TERMS else unknown.count()
+        more = f" and {n - len(bad)} more" if n > len(bad) else ""
+        raise ValueError(f"{n} terms not found in the catalogue: {', '.join(map(str, bad))}{more}")
 
 
-def match_saved_searches(postings: DataFrame, searches: DataFrame) -> DataFrame:
-    """All saved searches ``(search_id, term, required)`` at once.
+def match_saved_searches(postings: DataFrame, searches: DataFrame, case_sensitive: bool = False) -> DataFrame:
+    """All saved searches ``(search_id, term, required)`` at once, with the keys of DOIs.
 
     A DOI matches a search if it has every required term and none of the banned
     ones. A search with only banned terms matches every other DOI seen.
@@ -103,9 +112,9 @@ def match_saved_searches(postings: DataFrame, searches: DataFrame) -> DataFrame:
         .unionAll(marker)
     )
     plain = wanted.filter("not marker")
-    pairs = postings.select("term", "doi")
+    pairs = postings.select("term", graph_key(postings, "doi", case_sensitive).alias("doi")).filter("doi IS NOT NULL")
     named = split_join(pairs, plain, "term", ["doi"], hot_keys(pairs, "term"))
-    everything = fan_out(seen_universe(postings), marker, ["doi"])
+    everything = fan_out(seen_universe(postings, case_sensitive), marker, ["doi"])
     hits = named.select("search_id", "needed", "doi", "term", "required").unionAll(
         everything.select("search_id", "needed", "doi", "term", "required")
     )

@@ -21,11 +21,13 @@ def merge_worklists(*lists: DataFrame, case_sensitive: bool = False) -> DataFram
 
     Order is data: by list, then by ``pos`` where a list has one, then by DOI. The
     spelling shown is the first one seen. One shuffle, combined before it, so a DOI
-    repeated in a third of the rows is no hot spot.
+    repeated in a third of the rows is no hot spot. ``case_sensitive`` keeps every
+    spelling as a row; ``doi_key`` is what works are found by either way.
     """
     tagged = [
         df.filter(has_doi(F.col("doi"))).select(
-            doi_key(F.col("doi"), case_sensitive).alias("doi_key"),
+            doi_key(F.col("doi")).alias("doi_key"),
+            doi_key(F.col("doi"), case_sensitive=True).alias("exact"),
             F.struct(
                 F.lit(source).alias("source"),
                 (F.col("pos") if "pos" in df.columns else F.lit(0)).cast("bigint").alias("pos"),
@@ -36,7 +38,7 @@ def merge_worklists(*lists: DataFrame, case_sensitive: bool = False) -> DataFram
     ]
     return (
         reduce(DataFrame.unionAll, tagged)
-        .groupBy("doi_key")
+        .groupBy("doi_key", *(["exact"] if case_sensitive else []))
         .agg(F.min("seen").alias("seen"))
         .select("doi_key", "seen.doi", "seen.source", "seen.pos")
     )

@@ -270,3 +270,39 @@ def test_the_fullest_copy_of_a_work_wins(spark):
 def test_empty_and_other_case_dois_in_counts(spark):
     refs = spark.createDataFrame([("p", ""), ("p", "10.1/A"), ("p", "10.1/a"), ("p", None)], "paper_id STRING, doi STRING")
     assert tuple(reference_counts(refs).first()) == ("p", 4, 2, 1)
+
+
+def test_spellings_of_a_doi_are_one_work(spark):
+    edges = spark.createDataFrame(
+        [("10.1/a", 1, "10.1/B"), ("10.1/b", 1, " https://doi.org/10.1/C"), ("10.1/A", 2, ""), ("10.1/c", 1, "10.1/b")],
+        "src STRING, pos INT, dst STRING",
+    )
+    assert levels(snowball(seeds(spark, "10.1/A"), edges, depth=None)) == {"10.1/b": 1, "10.1/c": 2}
+    assert levels(snowball(seeds(spark, "10.1/A"), edges, None, case_sensitive=True)) == {}
+    log = spark.createDataFrame([("10.1/A", "SUCCESS")], "doi STRING, status STRING")
+    assert levels(snowball(seeds(spark, "10.1/a"), edges, None, log)) == {"10.1/b": 1}
+    assert [r.doi for r in frontier_ok(seeds(spark, "https://doi.org/10.1/a", "10.1/b"), log).collect()] == ["https://doi.org/10.1/a"]
+    assert {r.doi: r.cited_by for r in citation_counts(edges).collect()} == {"10.1/b": 2, "10.1/c": 1}
+    hop = expand_citations(seeds(spark, "10.1/B"), edges)
+    assert [tuple(r) for r in hop.collect()] == [("10.1/b", 1, " https://doi.org/10.1/C")]
+
+
+def test_a_chain_of_any_length_is_followed(spark):
+    edges = spark.range(60).select(F.col("id").alias("src"), F.lit(1).alias("pos"), (F.col("id") + 1).alias("dst"))
+    got = snowball(spark.createDataFrame([(0,)], "doi BIGINT"), edges, depth=None)
+    assert levels(got) == {i: i for i in range(1, 61)}
+
+
+def test_walk_counts_that_no_long_holds_are_null(spark):
+    edges = spark.createDataFrame([("a", 1, "a")] * 2**16, "src STRING, pos INT, dst STRING")
+    got = snowball_walks(seeds(spark, "a"), edges, 5).collect()
+    assert {r.level: r.n for r in got} == {1: 2**16, 2: 2**32, 3: 2**48, 4: None, 5: None}
+
+
+def test_a_worklist_that_keeps_spellings_is_resolved(spark):
+    from snowlit.operators.worklist import merge_worklists
+
+    works = spark.createDataFrame([("10.1/a", "T")], "doi STRING, title STRING")
+    refs = spark.createDataFrame([("10.1/A",), ("10.1/a",)], "doi STRING")
+    found = resolve_dois(merge_worklists(refs, case_sensitive=True), works, ["title"])
+    assert sorted((r.doi, r.work.title) for r in found.collect()) == [("10.1/A", "T"), ("10.1/a", "T")]
