@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from checks.cases import case
-from snowlit.plans.question_run import run_questions
+from snowlit.plans.question_run import run_page_questions, run_questions
 from checks.search_cases import catalogue
-from checks.text_cases import MEASUREMENTS
+from checks.text_cases import MEASUREMENTS, PAGE_PROMPT, numbered
 from snowlit.checkpoints import work_path
 from snowlit.functions.doi import has_doi, is_pdf, topic_code
 from snowlit.operators.content import extract_content, register_handler
@@ -186,3 +188,30 @@ def _(t):
     run_questions(t.papers, t.questions, path, broken, batch_size=16)
     run_questions(t.papers, t.questions, path, lambda prompts: ["second"] * len(prompts), batch_size=16)
     return read_responses(t.spark, path, "paper_id BIGINT, q_idx INT, response STRING, skipped BOOLEAN")
+
+
+@case("page_answers", views="page_text questions", sql=f"""
+    WITH pages AS (
+        SELECT paper_id, page_no, q_idx, length({PAGE_PROMPT}) || '/' || length(base64(encode(text))) AS reply
+        FROM page_text, questions)
+    SELECT paper_id, q_idx, string_agg('--- Page ' || (page_no + 1) || ' ---' || chr(10) || reply,
+                                       chr(10) || chr(10) ORDER BY page_no) AS response,
+           false AS skipped
+    FROM pages GROUP BY paper_id, q_idx
+""")
+def _(t):
+    # The first run fails at every first page; the second asks only about these.
+    def measure(bodies):
+        sent = [json.loads(body)["messages"][1] for body in bodies]
+        return [f"{len(m['content'])}/{len(m['images'][0])}" for m in sent]
+
+    def busy(bodies):
+        if any("Page 1 of" in body for body in bodies):
+            raise RuntimeError("busy")
+        return measure(bodies)
+
+    path, pages = work_path(t.spark, "answers"), work_path(t.spark, "page-answers")
+    images = numbered(t).select("paper_id", "page_no", F.col("text").cast("binary").alias("image"))
+    for fn in (busy, measure):
+        run_page_questions(images, t.questions, path, pages, fn, batch_size=16)
+    return read_responses(t.spark, path, "paper_id BIGINT, q_idx INT, response STRING, skipped BOOLEAN")

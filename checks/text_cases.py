@@ -225,6 +225,19 @@ def _(t):
     return pending_pairs(t.papers.select("paper_id"), t.questions, t.answered)
 
 
+@case("pending_pairs_long_list", sql="""
+    SELECT r_regionkey % 3 AS paper_id, r_name AS text, CAST(p_partkey AS INTEGER) AS q_idx, p_name AS question
+    FROM region, part WHERE NOT (p_size > 25 AND p_partkey % 3 = r_regionkey % 3)
+""")
+def _(t):
+    # Papers share ids, and the questions are as many as the parts.
+    papers = t.region.select((F.col("r_regionkey") % 3).alias("paper_id"), F.col("r_name").alias("text"))
+    number = F.col("p_partkey").cast("int").alias("q_idx")
+    questions = t.part.select(number, F.col("p_name").alias("question"))
+    answered = t.part.filter("p_size > 25").select((F.col("p_partkey") % 3).alias("paper_id"), number)
+    return pending_pairs(papers, questions, answered)
+
+
 @case("text_prompt", views=REQUEST_VIEWS, sql=REQUESTS + "SELECT paper_id, q_idx, prompt FROM requests")
 def _(t):
     return text_requests(t.papers, t.questions, t.answered).drop("question")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,12 +56,15 @@ def pair_questions(papers: DataFrame, questions: DataFrame) -> DataFrame:
     return papers.select("*", F.inline(_literal(rows)))
 
 
-def pending_questions(papers: DataFrame, questions: DataFrame, responses: DataFrame) -> DataFrame:
+def pending_questions(
+    papers: DataFrame, questions: DataFrame, responses: DataFrame, keys: Sequence[str] = ("paper_id",)
+) -> DataFrame:
     """Add ``pending``, the unanswered questions of each paper, where there are any.
 
     Answers are reduced to one set of question numbers per paper (bounded by the
     number of questions) and met with the papers in one join, so answered pairs are
     never produced. Needs a question list that :func:`inline_questions` accepts.
+    ``keys`` tell papers apart; pages have two.
     """
     rows = inline_questions(questions)
     if rows is None:
@@ -67,28 +72,36 @@ def pending_questions(papers: DataFrame, questions: DataFrame, responses: DataFr
     everything = _literal(rows)
     done = (
         responses.filter(F.col("q_idx").isin([r.q_idx for r in rows]))
-        .groupBy("paper_id")
+        .groupBy(*keys)
         .agg(F.collect_set(F.col("q_idx").cast("int")).alias("_done"))
     )
     left = F.filter(
         everything, lambda q: ~F.array_contains(F.coalesce("_done", F.array().cast("array<int>")), q["q_idx"])
     )
     return (
-        papers.join(done, "paper_id", "left")
+        papers.join(done, list(keys), "left")
         .withColumn("pending", left)
         .drop("_done")
         .filter(F.size("pending") > 0)
     )
 
 
-def pending_pairs(papers: DataFrame, questions: DataFrame, responses: DataFrame) -> DataFrame:
-    """Pairs of paper and question that have no answer yet."""
+def pending_pairs(
+    papers: DataFrame, questions: DataFrame, responses: DataFrame, keys: Sequence[str] = ("paper_id",)
+) -> DataFrame:
+    """Pairs of paper and question that have no answer yet.
+
+    A paper without a key has none for its answers either and is left out; each row of a
+    repeated key gets its pairs. Of a long question list the open pairs are found by
+    key alone, before the other columns of the papers join them.
+    """
+    papers = papers.dropna(subset=list(keys))
     if inline_questions(questions) is None:
-        answered = responses.select("paper_id", "q_idx").distinct()
-        return pair_questions(papers, questions).join(
-            answered, ["paper_id", "q_idx"], "left_anti"
-        )
-    pending = pending_questions(papers, questions, responses)
+        answered = responses.select(*keys, "q_idx").distinct()
+        pairs = pair_questions(papers.select(*keys).distinct(), questions)
+        pairs = pairs.join(answered, [*keys, "q_idx"], "left_anti").select(*keys, "q_idx", "question")
+        return papers.join(pairs, list(keys)).select(*papers.columns, "q_idx", "question")
+    pending = pending_questions(papers, questions, responses, keys)
     return pending.select(*papers.columns, F.inline("pending"))
 
 

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snowlit.functions.prompts import messages, page_prompt, request_json, text_prompt
+from snowlit.functions.text import base64_text
 from snowlit.operators.content import Answerer, answer
-from snowlit.operators.pages import contexts
+from snowlit.operators.pages import contexts, join_page_replies
 from snowlit.operators.questions import (
     inline_questions,
     pair_questions,
@@ -21,6 +22,8 @@ SYSTEM_PROMPT = "You are a helpful scientific research assistant."
 MODEL = "tinyllama"
 CONTEXT_TOKENS = 32768
 
+PAGE_KEYS = ("paper_id", "page_no")
+
 
 def text_requests(
     papers: DataFrame,
@@ -53,9 +56,14 @@ def text_requests(
 def page_requests(
     images: DataFrame,
     questions: DataFrame,
+    responses: DataFrame | None = None,
 ) -> DataFrame:
-    """One request per page image and question."""
-    pairs = pair_questions(images, questions)
+    """One request per page image and question; with ``responses``, which have a
+    ``page_no``, only for what they do not answer."""
+    if responses is None:
+        pairs = pair_questions(images, questions)
+    else:
+        pairs = pending_pairs(images, questions, responses, PAGE_KEYS)
     return pairs.withColumn("prompt", page_prompt(F.col("page_no"), F.col("question")))
 
 
@@ -94,3 +102,47 @@ def run_questions(
     )
     requests = text_requests(papers, questions, stored, max_context_tokens, max_chunks)
     write_responses(answer(requests, fn, batch_size, tasks), path)
+
+
+def whole_page_answers(answers: DataFrame, images: DataFrame) -> DataFrame:
+    """One response ``(paper_id, q_idx, response, skipped)`` from the answers to all pages
+    of a paper. A question that still lacks a page has none yet; pages are counted by
+    their number. A paper of which no page has a reply is skipped."""
+    pages = (
+        images.dropna(subset=list(PAGE_KEYS)).select(*PAGE_KEYS).distinct()
+        .groupBy("paper_id").agg(F.count(F.lit(1)).alias("_pages"))
+    )
+    given = answers.groupBy("paper_id", "q_idx").agg(F.count(F.lit(1)).alias("_given"))
+    full = given.join(pages, "paper_id").filter("_given >= _pages").select("paper_id", "q_idx")
+    replies = answers.filter("response IS NOT NULL").withColumnRenamed("response", "reply")
+    joined = join_page_replies(replies, ("paper_id", "q_idx"))
+    return full.join(joined, ["paper_id", "q_idx"], "left").withColumn("skipped", F.col("response").isNull())
+
+
+def run_page_questions(
+    images: DataFrame,
+    questions: DataFrame,
+    path: str,
+    pages_path: str,
+    fn: Answerer,
+    batch_size: int = 1,
+    tasks: int | None = None,
+    model: str = MODEL,
+    system_prompt: str = SYSTEM_PROMPT,
+    temperature: float = 1.0,
+    max_context_tokens: int = CONTEXT_TOKENS,
+) -> None:
+    """Answer from page images ``(paper_id, page_no, image)`` what is not yet stored.
+
+    ``fn`` gets request bodies, each with the image of one page. Its answers are kept page
+    by page at ``pages_path``, so a run that fails goes on where it stopped; what is complete
+    is joined and appended at ``path``.
+    """
+    spark = images.sparkSession
+    kind = {c: images.schema[c].dataType.simpleString() for c in PAGE_KEYS}
+    schema = f"paper_id {kind['paper_id']}, page_no {kind['page_no']}, q_idx INT, response STRING, skipped BOOLEAN"
+    shown = images.select(*PAGE_KEYS, F.array(base64_text(F.col("image"))).alias("images"))
+    requests = page_requests(shown, questions, read_responses(spark, pages_path, schema))
+    bodies = request_bodies(requests, model, system_prompt, temperature, max_context_tokens, "images")
+    write_responses(answer(bodies, fn, batch_size, tasks, prompt="body"), pages_path)
+    write_responses(whole_page_answers(read_responses(spark, pages_path, schema), images), path)

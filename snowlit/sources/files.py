@@ -154,13 +154,18 @@ def read_answer_files(spark: SparkSession, path: str) -> DataFrame:
     return or_empty(spark, ANSWER_DOCUMENTS, read)
 
 
+def _keys(columns: Sequence[str]) -> list[str]:
+    """What tells answers apart: paper and question, and the page where there is one."""
+    return [c for c in ("paper_id", "page_no", "q_idx") if c in columns]
+
+
 def read_responses(spark: SparkSession, path: str, schema: StructType | str = RESPONSES) -> DataFrame:
     """The finished answers, those skipped for want of text included; a missing table is
-    empty. Failed attempts are not answers, see :func:`read_failures`."""
+    empty. Failed attempts are not answers, see :func:`read_failures`. Answers about pages
+    have a ``page_no`` in their schema."""
+    attempts = _attempts(spark, path, schema)
     # The partition column comes last on disk; give the columns back in order.
-    return _attempts(spark, path, schema).filter(FINISHED).select(
-        "paper_id", "q_idx", "response", "skipped"
-    )
+    return attempts.filter(FINISHED).select(*_keys(attempts.columns), "response", "skipped")
 
 
 def _attempts(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -172,27 +177,28 @@ def _attempts(spark: SparkSession, path: str, schema: StructType | str) -> DataF
 
 
 def read_failures(spark: SparkSession, path: str, schema: StructType | str = RESPONSES) -> DataFrame:
-    """``(paper_id, q_idx, error)`` of the pairs that failed and have no answer yet."""
+    """The keys and the ``error`` of what failed and has no answer yet."""
     attempts = _attempts(spark, path, schema)
     return (
-        attempts.groupBy("paper_id", "q_idx")
+        attempts.groupBy(*_keys(attempts.columns))
         .agg(F.bool_or(F.expr(FINISHED)).alias("finished"), F.max("error").alias("error"))
         .filter("NOT finished").drop("finished")
     )
 
 
 def write_responses(df: DataFrame, path: str) -> None:
-    """Append answers, one per (paper, question); pairs already answered stay as they
-    are. A row with an ``error`` other than a missing text is stored as a failed attempt:
+    """Append answers, one per (paper, question), or per page of it where there is a
+    ``page_no``; pairs already answered stay as they are. A row with an ``error`` other than a missing text is stored as a failed attempt:
     the pair stays open and may be answered later. Of the stored table only the keys and
     errors are read."""
-    columns = ["paper_id", "q_idx", "response", "skipped", "error"]
+    keys = _keys(df.columns)
+    columns = [*keys, "response", "skipped", "error"]
     if "error" not in df.columns:
         df = df.withColumn("error", F.lit(None).cast("string"))
-    df = df.select(*columns).dropDuplicates(["paper_id", "q_idx"])
-    stored = read_responses(df.sparkSession, path, df.schema).select("paper_id", "q_idx")
+    df = df.select(*columns).dropDuplicates(keys)
+    stored = read_responses(df.sparkSession, path, df.schema).select(*keys)
     (
-        df.join(stored, ["paper_id", "q_idx"], "left_anti")
+        df.join(stored, keys, "left_anti")
         .select(*columns)
         .write.mode("append")
         .partitionBy("q_idx")

@@ -36,7 +36,7 @@ from snowlit.operators.questions import (
     question_rollup,
     rollup_digits,
 )
-from snowlit.plans.question_run import page_requests, run_questions, text_requests
+from snowlit.plans.question_run import page_requests, run_page_questions, run_questions, text_requests
 from snowlit.sources.files import read_responses
 
 
@@ -347,3 +347,31 @@ def test_repeated_and_missing_ids_do_not_depend_on_the_plan(spark, questions, ei
     n = questions.count()
     got = [r.paper_id for r in text_requests(papers, questions, none).collect()]
     assert sorted(got) == ["p"] * 2 * n + ["q"] * n
+
+
+def test_page_runs_go_on_where_they_stopped(spark, questions, tmp_path):
+    images = spark.createDataFrame(
+        [("p", 1, b"a"), ("p", 2, b"b"), ("q", 1, b"c"), (None, 1, b"d"), ("r", 1, None)], "paper_id STRING, page_no INT, image BINARY"
+    )
+    path, pages = f"{tmp_path}/answers", f"{tmp_path}/pages"
+
+    def half(bodies):
+        if any("Page 2 of" in b for b in bodies):
+            raise RuntimeError("busy")
+        return ["first"] * len(bodies)
+
+    run_page_questions(images, questions, path, pages, half)
+    assert sorted((r.paper_id, r.q_idx) for r in read_responses(spark, path).collect()) == [
+        ("q", 1), ("q", 2), ("r", 1), ("r", 2)
+    ]
+    run_page_questions(images, questions, path, pages, lambda bodies: ["second"] * len(bodies))
+    got = {(r.paper_id, r.q_idx): r.response for r in read_responses(spark, path).collect()}
+    assert len(got) == 6
+    assert got["p", 1] == "--- Page 1 ---\nfirst\n\n--- Page 2 ---\nsecond" and got["q", 2] == "--- Page 1 ---\nfirst"
+
+
+def test_pairs_of_repeated_and_missing_ids(spark, questions, either_way):
+    papers = spark.createDataFrame([("p1", "x"), ("p1", "y"), (None, "z"), ("p2", "w")], "paper_id STRING, text STRING")
+    done = spark.createDataFrame([("p1", 1)], "paper_id STRING, q_idx INT")
+    assert pairs(pending_pairs(papers, questions, done)) == [("p1", 2), ("p1", 2), ("p2", 1), ("p2", 2)]
+    assert pairs(text_requests(papers, questions, done)) == [("p1", 2), ("p1", 2), ("p2", 1), ("p2", 2)]

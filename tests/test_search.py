@@ -12,6 +12,7 @@ from snowlit.operators.postings import (
     match_saved_searches,
     require_known_terms,
     seen_universe,
+    term_counts,
 )
 from snowlit.operators.works import (
     filter_open_access,
@@ -233,3 +234,16 @@ def test_rejected_rows_do_not_stop_the_rest(spark, tmp_path):
         assert {r.pos: r.error for r in bad.collect()} == {
             1: "missing DOI", 2: "missing DOI", 3: "not a DOI"
         }
+
+
+def test_sets_compare_dois_by_key(spark):
+    left = spark.createDataFrame([("t", "10.1/A"), ("t", "https://doi.org/10.1/a"), ("t", ""), ("t", None), ("u", "10.1/b")], "term STRING, doi STRING")
+    right = spark.createDataFrame([("t", " 10.1/a ")], "term STRING, doi STRING")
+    dois = lambda df: sorted(r.doi for r in df.collect())
+    assert dois(a_and_b(left, right)) == ["10.1/a"]
+    assert dois(complement(left, right)) == ["10.1/b"]
+    assert dois(a_and_b(left, right, case_sensitive=True)) == ["10.1/a"]
+    assert dois(seen_universe(left)) == ["10.1/a", "10.1/b"]
+    assert {r.term: r.n_dois for r in term_counts(left).collect()} == {"t": 1, "u": 1}
+    searches = spark.createDataFrame([(1, "t", True)], "search_id INT, term STRING, required BOOLEAN")
+    assert [tuple(r) for r in match_saved_searches(left, searches).collect()] == [(1, "10.1/a")]
