@@ -23,8 +23,10 @@ from snowlit.schemas import (
 
 # File-name patterns.
 PDF_FILES = "*.[pP][dD][fF]"
-QUESTION_FILES = "*.[mM][dD]"
-ANSWER_FILE = r"([^/]+)/q(\d+)\.md$"
+QUESTION_FILES = "*.[mM][dD]"ANSWER_FILE = r"([^/]+)/q(\d+)\.md$"
+
+# Why a reference file is rejected.
+BAD_REFERENCES = "not a JSON array of references"
 
 # A stored attempt that needs no other: it has no error, or its paper no text.
 FINISHED = f"error IS NULL OR error = '{NO_TEXT}'"
@@ -62,21 +64,32 @@ def read_references(spark: SparkSession, path: str, fmt: str = "array") -> DataF
         return or_empty(
             spark, REFERENCE_ROW, lambda: spark.read.schema(REFERENCE_ROW).format(fmt).load(path)
         )
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)(?:\.[^./]*)?$", 1)
+    return or_empty(
+        spark,
+        REFERENCE_ROW,
+        lambda: _reference_files(spark, path)
+        .select("paper_id", F.posexplode("refs").alias("pos", "ref"))
+        .select("paper_id", "pos", "ref.title", "ref.doi"),
+    )
+
+
+def rejected_references(spark: SparkSession, path: str) -> DataFrame:
+    """``(paper_id, error)`` of the array files that :func:`read_references` gets nothing
+    from because they hold no such array."""
+    bad = lambda: _reference_files(spark, path).filter("refs IS NULL")
+    return or_empty(
+        spark, "paper_id STRING, error STRING", lambda: bad().select("paper_id", F.lit(BAD_REFERENCES).alias("error"))
+    )
 
-    def read() -> DataFrame:
-        return (
-            spark.read.option("recursiveFileLookup", True)
-            .text(path, wholetext=True)
-            .select(
-                F.url_decode(name).alias("paper_id"),
-                F.from_json("value", f"ARRAY<{REFERENCE}>").alias("refs"),
-            )
-            .select("paper_id", F.posexplode("refs").alias("pos", "ref"))
-            .select("paper_id", "pos", "ref.title", "ref.doi")
-        )
 
-    return or_empty(spark, REFERENCE_ROW, read)
+def _reference_files(spark: SparkSession, path: str) -> DataFrame:
+    """Paper and entries of each file, NULL where they can't be read."""
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)(?:\.[^./]*)?$", 1)
+    return (
+        spark.read.option("recursiveFileLookup", True)
+        .text(path, wholetext=True)
+        .select(F.url_decode(name).alias("paper_id"), F.from_json("value", f"ARRAY<{REFERENCE}>").alias("refs"))
+    )
 
 
 def write_references(df: DataFrame, path: str, fmt: str = "parquet") -> None:
