@@ -12,16 +12,20 @@ from checks.search_cases import catalogue
 from checks.text_cases import MEASUREMENTS, PAGE_PROMPT, numbered
 from snowlit.checkpoints import work_path
 from snowlit.functions.doi import has_doi, is_pdf, topic_code
+from snowlit.functions.prompts import render_answer
 from snowlit.operators.content import extract_content, register_handler
-from snowlit.operators.extract import extract_measurements, extract_references
+from snowlit.operators.extract import extract_measurements, extract_references, parse_answers
 from snowlit.operators.worklist import check_dois, write_split
 from snowlit.sources.files import (
+    read_questions,
     read_references,
     read_responses,
     read_saved_questions,
     read_topics,
     read_works,
+    read_written_answers,
     scan_pdfs,
+    write_answer_files,
     write_questions,
     write_references,
     write_responses,
@@ -66,6 +70,29 @@ def _(t):
     return read_saved_questions(t.spark, path)
 
 
+@case("question_files", views="questions", sql="SELECT q_idx, question FROM questions")
+def _(t):
+    # One Markdown file for each question, numbered by path.
+    path = work_path(t.spark, "question-files")
+    t.questions.write.option("extension", "md").option("quote", "").partitionBy("q_idx").csv(path)
+    return read_questions(t.spark, f"{path}/*")
+
+
+@case("answer_files", views="questions", sql="""
+    SELECT CAST(s_suppkey AS VARCHAR) AS paper_id, q_idx, question, s_name AS response
+    FROM supplier JOIN questions ON q_idx = s_nationkey % 5 + 1
+""")
+def _(t):
+    # Answers rendered, written one file each, read and parsed again.
+    path = work_path(t.spark, "answer-files")
+    answers = t.supplier.select(
+        "s_suppkey", "s_name", (F.col("s_nationkey") % 5 + 1).cast("int").alias("q_idx")
+    ).join(t.questions, "q_idx")
+    document = render_answer(F.col("q_idx"), F.col("question"), F.col("s_name"))
+    write_answer_files(answers.select(F.col("s_suppkey").alias("paper_id"), "q_idx", document.alias("value")), path)
+    return parse_answers(read_written_answers(t.spark, path))
+
+
 @case("stored_responses", views="responses run_b", sql="""
     SELECT CAST(paper_id AS VARCHAR) AS paper_id, q_idx, response, false AS skipped FROM run_b
     UNION ALL

@@ -33,6 +33,7 @@ from snowlit.operators.pages import (
     join_chunks,
     join_page_replies,
     number_rows,
+    page_reply_parts,
 )
 from snowlit.operators.questions import (
     flatten_questions,
@@ -174,6 +175,18 @@ def _(t):
     return join_page_replies(replies)
 
 
+@case("page_reply_parts", views="page_text", sql="""
+    SELECT paper_id, CAST((page_no + 1) // 2 AS BIGINT) AS part,
+           string_agg('--- Page ' || (page_no + 1) || ' ---' || chr(10) || text,
+                      chr(10) || chr(10) ORDER BY page_no) AS response
+    FROM page_text GROUP BY 1, 2
+""")
+def _(t):
+    replies = t.page_text.select("paper_id", (F.col("page_no") + 1).alias("page_no"),
+                                 F.col("text").alias("reply"))
+    return page_reply_parts(replies, pages_per_part=2)
+
+
 @case("numbered_pages", views="page_text", sql="""
     SELECT paper_id, page_no, row_number() OVER (PARTITION BY paper_id ORDER BY page_no) AS number
     FROM page_text

@@ -52,6 +52,12 @@ def keyword_terms(terms: Terms) -> Column:
     return _condition(terms, has_keyword)
 
 
+def named_terms(terms: Terms) -> list[str]:
+    """The identifiers or phrases given as text; what stands inside columns is not seen."""
+    items = [terms] if isinstance(terms, (str, Column)) else terms
+    return [t.strip() for t in items if isinstance(t, str) and t.strip()]
+
+
 def _identifier(term: str) -> Column:
     if term.startswith("T"):
         return has_topic(term)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snowlit.functions.answers import answer_question, answer_response
 from snowlit.functions.text import strip
+from snowlit.operators.keys import with_plain_keys
 
 # The bibliography entry, what is read from it, and the columns,
 # header and missing-value mark of the requested CSV lines.
@@ -134,30 +135,30 @@ def dedup_measurements(measurements: DataFrame) -> DataFrame:
 def compare_runs(a: DataFrame, b: DataFrame) -> DataFrame:
     """Outcome per (paper, question): same, different, only_a or only_b.
 
-    Both runs go through one grouping instead of a full outer join; each side is
-    reduced before the shuffle.
+    Each run is shuffled and sorted once. Of several responses of a run to one question
+    the greatest counts.
     """
-    def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select("paper_id", "q_idx", F.lit(name).alias("run"), "response")
-
-    in_a, in_b = F.col("run") == "a", F.col("run") == "b"
+    keys = ("paper_id", "q_idx")
+    nullable = [k for k in keys if a.schema[k].nullable or b.schema[k].nullable]
+
+    def side(df: DataFrame, name: str) -> tuple[DataFrame, list[str]]:
+        keyed, names = with_plain_keys(df.select(*keys, "response"), keys, nullable)
+        ranked = Window.partitionBy(*names).orderBy(F.col("response").desc_nulls_last())
+        first = F.lag(F.lit(True)).over(ranked).isNull()
+        return keyed.withColumn("_first", first).filter("_first").select(
+            *names, *[F.col(c).alias(f"{c}_{name}") for c in (*keys, "response")], F.lit(True).alias(f"has_{name}")
+        ), names
+
+    (left, names), (right, _) = side(a, "a"), side(b, "b")
     outcome = (
-        F.when(~F.col("has_b"), F.lit("only_a"))
-        .when(~F.col("has_a"), F.lit("only_b"))
+        F.when(F.col("has_b").isNull(), F.lit("only_a"))
+        .when(F.col("has_a").isNull(), F.lit("only_b"))
         .when(F.col("response_a").eqNullSafe(F.col("response_b")), F.lit("same"))
         .otherwise(F.lit("different"))
     )
-    return (
-        side(a, "a")
-        .unionAll(side(b, "b"))
-        .groupBy("paper_id", "q_idx")
-        .agg(
-            F.bool_or(in_a).alias("has_a"),
-            F.bool_or(in_b).alias("has_b"),
-            F.max(F.when(in_a, F.col("response"))).alias("response_a"),
-            F.max(F.when(in_b, F.col("response"))).alias("response_b"),
-        )
-        .select("paper_id", "q_idx", "response_a", "response_b", outcome.alias("outcome"))
+    return left.join(right, names, "full_outer").select(
+        F.coalesce("paper_id_a", "paper_id_b").alias("paper_id"), F.coalesce("q_idx_a", "q_idx_b").alias("q_idx"),
+        "response_a", "response_b", outcome.alias("outcome"),
     )
 
 

@@ -21,6 +21,7 @@ from snowlit.functions.text import (
     split_squeezed,
     squeeze,
 )
+from snowlit.operators.keys import with_plain_keys
 
 BLOCK = 4096
 
@@ -43,30 +44,22 @@ def running_offset(
 
     ``position`` is an integer; rows come in the order (position, ties).
     """
-    keys = list(keys)
-    blocked = df.withColumn("_block", F.expr(f"`{position}` div {block}"))
-    blocked = blocked.withColumn("_amount", amount.cast("bigint"))
+    blocked = df.withColumns({"_block": F.expr(f"`{position}` div {block}"), "_amount": amount.cast("bigint")})
     along = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        blocked.groupBy(*keys, "_block")
-        .agg(F.sum("_amount").alias("_total"))
-        .select(
-            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-            F.col("_block").alias("_b"),
-            F.coalesce(F.sum("_total").over(along), F.lit(0)).alias("_start"),
-        )
+    nullable = [f.name for f in blocked.schema if f.nullable]
+    totals = blocked.groupBy(*keys, "_block").agg(F.sum("_amount").alias("_total"))
+    starts, names = with_plain_keys(
+        totals.withColumn("_start", F.coalesce(F.sum("_total").over(along), F.lit(0))), [*keys, "_block"], nullable
     )
+    blocked, names = with_plain_keys(blocked, [*keys, "_block"], nullable)
     inside = (
-        Window.partitionBy(*keys, "_block")
+        Window.partitionBy(*names)
         .orderBy(position, *ties)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    same = F.col("_block").eqNullSafe(F.col("_b"))
-    for i, k in enumerate(keys):
-        same &= F.col(k).eqNullSafe(F.col(f"_k{i}"))
     return (
         blocked.withColumn("_inside", F.coalesce(F.sum("_amount").over(inside), F.lit(0)))
-        .join(starts, same)
+        .join(starts.select(*names, "_start"), names)
         .withColumn("offset", F.col("_start") + F.col("_inside"))
         .select(*df.columns, "offset")
     )
@@ -103,6 +96,17 @@ def assemble_parts(pages: DataFrame, pages_per_part: int = BLOCK) -> DataFrame:
     )
 
 
+def page_reply_parts(
+    replies: DataFrame, keys: Sequence[str] = ("paper_id",), pages_per_part: int = BLOCK
+) -> DataFrame:
+    """The reply of :func:`join_page_replies` in parts of bounded page ranges; joining
+    them in ``part`` order with a blank line gives the whole."""
+    part = F.expr(f"page_no div {pages_per_part}").alias("part")
+    return replies.groupBy(*keys, part).agg(
+        _ordered(["page_no"], _headed(), PAGE_SEPARATOR).alias("response")
+    )
+
+
 def chunk_text(
     papers: DataFrame, max_context_tokens: int, max_chunks: int | None = None
 ) -> DataFrame:
@@ -194,8 +198,14 @@ def join_chunks(chunks: DataFrame) -> DataFrame:
 
 
 def join_page_replies(replies: DataFrame, keys: Sequence[str] = ("paper_id",)) -> DataFrame:
-    """One reply from the replies to each page, each under a header with its number."""
-    headed = F.concat(F.format_string(PAGE_HEADER, F.col("page_no")), F.col("reply"))
+    """One reply from the replies to each page, each under a header with its number.
+
+    The result is one value per paper; :func:`page_reply_parts` has no such bound.
+    """
     return replies.groupBy(*keys).agg(
-        _ordered(["page_no"], headed, PAGE_SEPARATOR).alias("response")
+        _ordered(["page_no"], _headed(), PAGE_SEPARATOR).alias("response")
     )
+
+
+def _headed() -> Column:
+    return F.concat(F.format_string(PAGE_HEADER, F.col("page_no")), F.col("reply"))

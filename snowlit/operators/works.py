@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from snowlit.functions.doi import has_doi, topic_code
 from snowlit.functions.prompts import reply_relevant
-from snowlit.functions.terms import Terms, keyword_terms, topic_terms
+from snowlit.functions.terms import Terms, keyword_terms, named_terms, topic_terms
 from snowlit.functions.text import split_squeezed, squeeze
+from snowlit.operators.postings import require_known_terms
 
 
 def filter_year(df: DataFrame, year_min: int | None = None, year_max: int | None = None) -> DataFrame:
@@ -62,6 +63,15 @@ def matching_works(
     return works.filter(has_doi(F.col("doi"))).select("doi")
 
 
+def check_topics(topics: Terms | None, catalogue: DataFrame | None) -> None:
+    """Raise ``ValueError`` if ``topics`` names identifiers that ``catalogue``, a table
+    with a column ``code``, does not hold. One small job; without a catalogue, none."""
+    named = [] if topics is None or catalogue is None else named_terms(topics)
+    if named:
+        terms = catalogue.sparkSession.createDataFrame([(t,) for t in named], "term STRING")
+        require_known_terms(terms, catalogue)
+
+
 def search_works(
     works: DataFrame,
     topics: Terms | None = None,
@@ -70,9 +80,12 @@ def search_works(
     year_max: int | None = None,
     open_access_only: bool = True,
     max_papers: int | None = None,
+    catalogue: DataFrame | None = None,
 ) -> DataFrame:
     """:func:`matching_works` made distinct and sorted by DOI. ``max_papers`` caps
-    the result (a top-k, no full sort); by default all of it is kept."""
+    the result (a top-k, no full sort); by default all of it is kept. With a
+    ``catalogue`` of codes, identifiers in ``topics`` that it lacks are an error."""
+    check_topics(topics, catalogue)
     found = matching_works(
         works, topics, keywords, year_min, year_max, open_access_only
     ).distinct().orderBy("doi")

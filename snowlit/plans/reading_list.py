@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from snowlit.functions.terms import Terms
 from snowlit.operators.extract import extract_references
 from snowlit.operators.resolve import SUCCESS, classify_download
-from snowlit.operators.works import matching_works, search_works
+from snowlit.operators.works import check_topics, matching_works, search_works
 from snowlit.operators.worklist import merge_worklists
 
 
@@ -22,12 +22,15 @@ def reading_list(
     year_max: int | None = None,
     open_access_only: bool = True,
     max_papers: int | None = None,
+    catalogue: DataFrame | None = None,
 ) -> DataFrame:
-    """References first, then search results; one row per DOI with its outcome.
+    """References first, then search results; one row per DOI with its outcome. With a
+    ``catalogue`` of topics, unknown identifiers are an error.
 
     References, works and fetches are each shuffled once, by DOI key: the worklist
     leaves its grouping partitioned by that key, and both lookups join on it.
     """
+    check_topics(topics, catalogue)
     terms = (works, topics, keywords, year_min, year_max, open_access_only)
     # Only a cap needs distinct, sorted results: the worklist does both itself.
     found = matching_works(*terms) if max_papers is None else search_works(*terms, max_papers)

@@ -168,6 +168,20 @@ def read_answer_files(spark: SparkSession, path: str) -> DataFrame:
     return or_empty(spark, ANSWER_DOCUMENTS, read)
 
 
+def write_answer_files(documents: DataFrame, path: str) -> None:
+    """Add rendered documents ``(paper_id, q_idx, value)``, a folder with one file for each.
+    They are for people to read; tables of answers go to :func:`write_responses`."""
+    documents.select("paper_id", "q_idx", "value").write.mode("append").partitionBy("paper_id", "q_idx").text(path)
+
+
+def read_written_answers(spark: SparkSession, path: str) -> DataFrame:
+    """What :func:`write_answer_files` wrote; a missing folder holds none."""
+    read = lambda: spark.read.schema("value STRING, paper_id STRING, q_idx INT").text(path, wholetext=True)
+    return or_empty(spark, ANSWER_DOCUMENTS, lambda: read().select(
+        "paper_id", "q_idx", F.regexp_replace("value", r"\n\z", "").alias("value")
+    ))
+
+
 def _keys(columns: Sequence[str]) -> list[str]:
     """What tells answers apart: paper and question, and the page where there is one."""
     return [c for c in ("paper_id", "page_no", "q_idx") if c in columns]

@@ -10,6 +10,7 @@ import __spark_entry__ as entry
 from checks.cases import CASES
 from snowlit.functions.terms import has_topic
 from snowlit.operators.citations import expand_citations
+from snowlit.operators.extract import compare_runs
 from snowlit.operators.pages import chunk_pages
 from snowlit.operators.postings import a_and_b, cap_per_term, complement
 from snowlit.operators.works import filter_open_access, filter_year, matching_works, pdf_url
@@ -130,6 +131,30 @@ def test_pages_are_shuffled_by_block_and_by_chunk(spark, sf, no_broadcast):
     assert len(alone) == 1
 
 
+def test_page_text_is_shuffled_twice(spark, no_broadcast):
+    pages = spark.createDataFrame([("p", 0, "a b"), ("p", 1, "c"), (None, 0, "d")], "paper_id STRING, page_no INT, text STRING")
+    chunks = chunk_pages(pages, 128)
+    # Pages by block and pieces by chunk; the other three hold totals only.
+    assert exchanges(chunks) == ["hashpartitioning"] * 5
+    sorts = re.findall(r"Exchange hashpartitioning\(([^)]*)\).*\n.*(?:Project|Sort|Filter).*_text#", plan(chunks))
+    assert len(sorts) == 1
+    assert sorted(map(tuple, chunks.collect()), key=str) == [("p", 0, "a b c"), (None, 0, "d")]
+
+
+def test_runs_are_compared_with_one_shuffle_and_sort_each(spark, no_broadcast):
+    schema = "paper_id STRING, q_idx INT, response STRING"
+    a = spark.createDataFrame([("p", 1, "x"), ("p", 1, "y"), (None, 1, "x"), ("q", None, None)], schema)
+    b = spark.createDataFrame([("p", 1, "y"), (None, 1, "z"), ("r", None, "w")], schema)
+    compared = compare_runs(a, b)
+    text = plan(compared)
+    assert exchanges(compared) == ["hashpartitioning"] * 2
+    assert "SortAggregate" not in text and len(re.findall(r"[- ]Sort \[", text)) == 2
+    assert sorted(map(tuple, compared.collect()), key=str) == sorted([
+        ("p", 1, "y", "y", "same"), (None, 1, "x", "z", "different"),
+        ("q", None, None, None, "only_a"), ("r", None, None, "w", "only_b"),
+    ], key=str)
+
+
 def test_a_hop_reads_citations_once_per_use(spark, works, no_broadcast):
     edges = spark.range(50).select(
         F.col("id").alias("src"), F.lit(1).alias("pos"), (F.col("id") + 1).alias("dst")
