@@ -20,6 +20,7 @@ from snowlit.operators.postings import (
     a_or_b,
     cap_per_term,
     complement,
+    match_ban_searches,
     match_saved_searches,
     seen_universe,
     term_counts,
@@ -284,7 +285,7 @@ def _(t):
        AND count(*) FILTER (WHERE NOT s.required) = 0
 """)
 def _(t):
-    return match_saved_searches(t.postings, t.searches)
+    return match_saved_searches(t.postings, t.searches, ban_only=False)
 
 
 @case("saved_search_bans", views="postings", sql="""
@@ -296,7 +297,7 @@ def _(t):
 def _(t):
     brands = t.postings.filter(F.startswith("term", F.lit("Brand"))).select("term").distinct()
     searches = brands.select(F.col("term").alias("search_id"), "term", F.lit(False).alias("required"))
-    return match_saved_searches(t.postings, searches)
+    return match_ban_searches(t.postings, searches)
 
 
 @case("term_counts", views="postings", sql="""

@@ -86,7 +86,7 @@ def main() -> None:
         [(1, "hot", True), (2, "t5", True), (2, "hot", False), (3, "t7", False)],
         "search_id INT, term STRING, required BOOLEAN",
     )
-    timed("saved searches", lambda: run(match_saved_searches(postings, searches)))
+    timed("saved searches", lambda: run(match_saved_searches(postings, searches, hot=hot_keys(postings, "term"))))
 
     pages = spark.range(rows // 10).select(
         F.when(hot, F.lit(0)).otherwise(F.col("id") % 5000).alias("paper_id"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from snowlit.functions.doi import graph_key
 from snowlit.operators.fanout import fan_out
-from snowlit.operators.skew import hot_keys, split_join
+from snowlit.operators.skew import split_join
 
 # Sub-groups that each term is split into before the final cut of cap_per_term.
 SUBGROUPS = 32
@@ -86,44 +86,60 @@ def require_known_terms(terms: DataFrame, catalogue: DataFrame) -> None:
         raise ValueError(f"{n} terms not found in the catalogue: {', '.join(map(str, bad))}{more}")
 
 
-def match_saved_searches(postings: DataFrame, searches: DataFrame, case_sensitive: bool = False) -> DataFrame:
+def _whole_searches(searches: DataFrame) -> DataFrame:
+    """(search_id, terms, needed): the distinct terms of each search that has an id, and how
+    many of them are required."""
+    return (
+        searches.filter("search_id IS NOT NULL")
+        .groupBy("search_id").agg(F.collect_set(F.struct("term", "required")).alias("terms"))
+        .withColumn("needed", F.size(F.filter("terms", lambda t: t["required"])))
+    )
+
+
+def _pairs(postings: DataFrame, case_sensitive: bool) -> DataFrame:
+    return postings.select("term", graph_key(postings, "doi", case_sensitive).alias("doi")).filter("doi IS NOT NULL")
+
+
+def match_saved_searches(
+    postings: DataFrame,
+    searches: DataFrame,
+    case_sensitive: bool = False,
+    ban_only: bool = True,
+    hot: DataFrame | None = None,
+) -> DataFrame:
     """All saved searches ``(search_id, term, required)`` at once, with the keys of DOIs.
 
     A DOI matches a search if it has every required term and none of the banned
-    ones. A search with only banned terms matches every other DOI seen.
+    ones. A search with only banned terms matches every other DOI seen; where there
+    are none, ``ban_only=False`` saves the work of looking for them.
+
+    Postings and searches meet straight from their shuffles, so adaptive execution can
+    split a hot term; without it, pass ``hot_keys(postings, "term")`` as ``hot``.
     """
-    searches = searches.select("search_id", "term", "required").distinct()
-    needs = searches.groupBy("search_id").agg(
-        F.count_if(F.col("required")).alias("needed")
-    )
-    # Ban-only searches require the one marker term that every DOI has.
-    marker = needs.filter("needed = 0").select(
-        "search_id",
-        F.lit(None).cast(searches.schema["term"].dataType).alias("term"),
-        F.lit(True).alias("required"),
-        F.lit(1).cast("bigint").alias("needed"),
-        F.lit(True).alias("marker"),
-    )
-    wanted = (
-        searches.join(needs, "search_id")
-        .withColumn("needed", F.greatest("needed", F.lit(1).cast("bigint")))
-        .withColumn("marker", F.lit(False))
-        .select(*marker.columns)
-        .unionAll(marker)
-    )
-    plain = wanted.filter("not marker")
-    pairs = postings.select("term", graph_key(postings, "doi", case_sensitive).alias("doi")).filter("doi IS NOT NULL")
-    named = split_join(pairs, plain, "term", ["doi"], hot_keys(pairs, "term"))
-    everything = fan_out(seen_universe(postings, case_sensitive), marker, ["doi"])
-    hits = named.select("search_id", "needed", "doi", "term", "required").unionAll(
-        everything.select("search_id", "needed", "doi", "term", "required")
-    )
-    return (
+    terms = _whole_searches(searches).filter("needed > 0").select("search_id", "needed", F.inline("terms"))
+    hits = split_join(_pairs(postings, case_sensitive), terms, "term", ["doi"], hot)
+    found = (
         hits.groupBy("search_id", "needed", "doi")
         .agg(
-            F.count_distinct(F.when(F.col("required"), F.coalesce("term", F.lit("")))).alias("hits"),
+            F.size(F.collect_set(F.when(F.col("required"), F.col("term")))).alias("hits"),
             F.count_if(~F.col("required")).alias("banned"),
         )
         .filter("hits = needed and banned = 0")
         .select("search_id", "doi")
     )
+    return found.unionAll(match_ban_searches(postings, searches, case_sensitive, hot)) if ban_only else found
+
+
+def match_ban_searches(
+    postings: DataFrame, searches: DataFrame, case_sensitive: bool = False, hot: DataFrame | None = None
+) -> DataFrame:
+    """Of :func:`match_saved_searches` the searches with only banned terms: every DOI seen
+    that has none of them. Each DOI gets the searches that ban it, once, and then all others."""
+    bans = _whole_searches(searches).filter("needed = 0")
+    terms = bans.select("search_id", F.inline("terms")).filter(~F.col("required")).select("search_id", "term")
+    met = split_join(_pairs(postings, case_sensitive), terms, "term", ["doi"], hot, "left")
+    seen = met.groupBy("doi").agg(F.collect_set("search_id").alias("banned"))
+    everything = bans.agg(F.collect_list("search_id").alias("searches"))  # ids of searches, whatever the corpus holds
+    slots = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = F.explode(F.array_except("searches", "banned")).alias("search_id")
+    return fan_out(seen, everything, ["doi"], slots).select(left, "doi")

@@ -96,6 +96,19 @@ def test_set_operations_shuffle_each_side_once(spark, no_broadcast):
         assert exchanges(df) == ["hashpartitioning"] * 2
 
 
+@pytest.mark.parametrize("name", ["saved_search_match", "saved_search_bans"])
+def test_saved_searches_read_postings_once(spark, sf, name):
+    from checks.cases import Tables
+
+    t = Tables(spark, sf)
+    df = QUERIES[name](spark, sf)
+    assert len(re.findall(r"Exchange (?:hash|range|Single)", plan(df))) <= 5
+    # The table under the postings is read for its two kinds of term, and again for the
+    # list of searches where it is made from them.
+    scans = plan(t.postings).count("FileScan")
+    assert plan(df).count("FileScan") <= scans * (1 if name == "saved_search_match" else 3)
+
+
 def test_capping_limits_groups_before_each_shuffle(spark, works):
     postings = read_works(spark, works).select(F.explode("topics").alias("term"), "doi")
     text = plan(cap_per_term(postings, 5))

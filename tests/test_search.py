@@ -208,6 +208,14 @@ def test_unknown_terms_are_named(spark):
     require_known_terms(terms.filter("term = 'T1'"), catalogue)
 
 
+def test_a_search_checks_its_topics(spark, works):
+    catalogue = spark.createDataFrame([("T1",)], "code STRING")
+    with pytest.raises(ValueError, match="1 terms not found in the catalogue: T404"):
+        search_works(works, ["T1", "T404", has_topic("T9")], catalogue=catalogue)
+    search_works(works, "T1", catalogue=catalogue)
+    search_works(works, has_topic("T404"), catalogue=catalogue)
+
+
 def test_worklist_keeps_first_spelling_in_order(spark):
     refs = spark.createDataFrame(
         [(2, "10.1/A"), (1, " https://doi.org/10.1/a"), (3, None), (4, ""), (5, "10.1/z")],
