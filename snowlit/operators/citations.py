@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from snowlit.checkpoints import work_path, write_step
 from snowlit.functions.doi import graph_key
 from snowlit.operators.resolve import SUCCESS
-from snowlit.operators.skew import hot_keys, split_join
+from snowlit.operators.skew import hot_keys, join_dealt, split_join
 from snowlit.schemas import with_field
 
 
@@ -35,9 +37,27 @@ def frontier_ok(frontier: DataFrame, log: DataFrame, case_sensitive: bool = Fals
     return frontier.withColumn("_key", key).join(_done(log, case_sensitive), "_key", "left_semi").drop("_key")
 
 
-def _edge_table(citations: DataFrame, base: str, case_sensitive: bool) -> tuple[DataFrame, DataFrame | None]:
+@dataclass(frozen=True)
+class Edges:
     """The distinct edges ``(src, dst, m)`` by key, ``m`` the number of copies, and the
-    sources with very many of them, if any. Narrow, and made once for all levels."""
+    sources with very many of them. ``dealt``: their edges carry the number of their split."""
+
+    edges: DataFrame
+    hot: DataFrame | None
+    dealt: bool = False
+
+    def of(self, frontier: DataFrame) -> DataFrame:
+        """The edges that leave the ``doi`` of a frontier without repeats."""
+        start = frontier.withColumnRenamed("doi", "src")
+        if self.dealt:
+            return join_dealt(self.edges, start, "src", self.hot)
+        return split_join(self.edges, start, "src", ["dst"], self.hot)
+
+
+def _edge_table(citations: DataFrame | Edges, base: str, case_sensitive: bool) -> Edges:
+    """Narrow, and made once for all levels."""
+    if isinstance(citations, Edges):
+        return citations
     edges = (
         citations.select(*[graph_key(citations, c, case_sensitive).alias(c) for c in ("src", "dst")])
         .filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
@@ -45,7 +65,36 @@ def _edge_table(citations: DataFrame, base: str, case_sensitive: bool) -> tuple[
         .agg(F.count(F.lit(1)).alias("m"))
     )
     edges = write_step(edges, f"{base}/edges")
-    return edges, hot_keys(edges, "src")
+    return Edges(edges, hot_keys(edges, "src"))
+
+
+def write_citations(citations: DataFrame, table: str, buckets: int, case_sensitive: bool = False) -> Edges:
+    """Store the edges by key as a table of the catalog, bucketed by source, the sources with
+    very many edges over several buckets; beside it ``<table>_hot``, the list of these.
+
+    :func:`snowball` and :func:`snowball_walks` take the result in place of the edges and
+    shuffle only their frontier then. They have to treat case as this call does.
+    """
+    spark = citations.sparkSession
+    made = _edge_table(citations, work_path(spark, "citations"), case_sensitive)
+    source = made.edges.schema["src"].dataType.simpleString()
+    hot = made.hot if made.hot is not None else spark.createDataFrame([], f"_hot {source}, _splits INT")
+    hot.write.mode("overwrite").saveAsTable(f"{table}_hot")
+    split = F.pmod(F.xxhash64("dst"), F.coalesce("_splits", F.lit(1))).cast("int")
+    dealt = made.edges.join(hot, F.col("src") == F.col("_hot"), "left").select("src", split.alias("_split"), "dst", "m")
+    (
+        dealt.repartition(buckets, "src", "_split")
+        .write.mode("overwrite")
+        .bucketBy(buckets, "src", "_split")
+        .sortBy("src", "_split")
+        .saveAsTable(table)
+    )
+    return read_citations(spark, table)
+
+
+def read_citations(spark: SparkSession, table: str) -> Edges:
+    """What :func:`write_citations` stored."""
+    return Edges(spark.table(table), spark.table(f"{table}_hot"), True)
 
 
 def _seed_keys(seeds: DataFrame, case_sensitive: bool) -> DataFrame:
@@ -54,7 +103,7 @@ def _seed_keys(seeds: DataFrame, case_sensitive: bool) -> DataFrame:
 
 def snowball(
     seeds: DataFrame,
-    citations: DataFrame,
+    citations: DataFrame | Edges,
     depth: int | None = 1,
     log: DataFrame | None = None,
     case_sensitive: bool = False,
@@ -74,7 +123,7 @@ def snowball(
     start = _seed_keys(seeds, case_sensitive).distinct()
     if depth is not None and depth < 1:
         return start.limit(0).withColumn("level", F.lit(0))
-    edges, hot = _edge_table(citations, base, case_sensitive)
+    edges = _edge_table(citations, base, case_sensitive)
     if log is not None:
         done = write_step(_done(log, case_sensitive).withColumnRenamed("_key", "doi"), f"{base}/done")
     reader = spark.read.schema(with_field(start.schema, "level", IntegerType()))
@@ -86,7 +135,7 @@ def snowball(
         if log is not None:
             frontier = frontier.join(done, "doi", "left_semi")
         cited = (
-            split_join(edges, frontier.select(F.col("doi").alias("src")), "src", ["dst"], hot)
+            edges.of(frontier.select("doi"))
             .select(F.col("dst").alias("doi"))
             .distinct()
         )
@@ -98,14 +147,14 @@ def snowball(
     return reader.parquet(found)
 
 
-def snowball_walks(seeds: DataFrame, citations: DataFrame, depth: int = 1, case_sensitive: bool = False) -> DataFrame:
+def snowball_walks(seeds: DataFrame, citations: DataFrame | Edges, depth: int = 1, case_sensitive: bool = False) -> DataFrame:
     """As :func:`snowball` without a visited set: per level and work, ``n`` counts
     how often it is reached. Repeats are carried as counts, never as rows, so a
     cycle or a hub does not multiply the data. A count that no long holds is NULL, and
     so are all that build on it."""
     spark = seeds.sparkSession
     base = work_path(spark, "walks")
-    edges, hot = _edge_table(citations, base, case_sensitive)
+    edges = _edge_table(citations, base, case_sensitive)
     frontier = _seed_keys(seeds, case_sensitive).groupBy("doi").agg(F.count(F.lit(1)).alias("n"))
     reader = spark.read.schema(with_field(frontier.schema, "level", IntegerType()))
     if depth < 1:
@@ -113,7 +162,7 @@ def snowball_walks(seeds: DataFrame, citations: DataFrame, depth: int = 1, case_
     ways = F.try_multiply("n", "m")
     for level in range(1, depth + 1):
         reached = (
-            split_join(edges, frontier.withColumnRenamed("doi", "src"), "src", ["dst"], hot)
+            edges.of(frontier)
             .groupBy(F.col("dst").alias("doi"))
             .agg(F.when(F.count(ways) == F.count(F.lit(1)), F.try_sum(ways)).alias("n"))
         )

@@ -58,9 +58,14 @@ def split_join(
         .withColumn("_split", F.pmod(F.xxhash64(*spread), splits).cast("int"))
         .drop("_hot", "_splits")
     )
+    return join_dealt(dealt, one, key, hot, how)
+
+
+def join_dealt(dealt: DataFrame, one: DataFrame, key: str, hot: DataFrame, how: str = "inner") -> DataFrame:
+    """The join of :func:`split_join` where ``dealt`` has its ``_split`` already."""
     copied = (
         one.join(hot, F.col(key) == F.col("_hot"), "left")
-        .withColumn("_split", F.explode(F.sequence(F.lit(0), splits - 1)))
+        .withColumn("_split", F.explode(F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - 1)))
         .drop("_hot", "_splits")
     )
     return dealt.join(copied, [key, "_split"], how).drop("_split")

@@ -237,6 +237,31 @@ def test_catalogue_is_stored_once_and_not_shuffled_again(spark, tables, conf):
         spark.sql("DROP DATABASE trial CASCADE")
 
 
+def test_stored_citations_are_not_shuffled_again(spark, conf, monkeypatch):
+    from snowlit.operators import skew
+    from snowlit.operators.citations import read_citations, snowball_walks, write_citations
+
+    monkeypatch.setattr(skew, "ROWS_PER_SPLIT", 5)
+    edges = spark.createDataFrame(
+        [("10.1/HUB", i, f"10.1/{i}") for i in range(23)] + [("10.1/3", 0, "10.1/x"), ("10.1/x", 0, "10.1/hub"), ("10.1/4", 0, None)],
+        "src STRING, pos INT, dst STRING",
+    )
+    seeds = spark.createDataFrame([("10.1/hub",)], "doi STRING")
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.sql("CREATE DATABASE IF NOT EXISTS graphs")
+    write_citations(edges, "graphs.citations", 4)
+    try:
+        stored = read_citations(spark, "graphs.citations")
+        assert stored.hot.count() == 1 and stored.edges.select("_split").distinct().count() > 1
+        for run in (lambda e: snowball(seeds, e, depth=None), lambda e: snowball_walks(seeds, e, depth=4)):
+            assert sorted(map(tuple, run(stored).collect())) == sorted(map(tuple, run(edges).collect()))
+        plan = stored.of(seeds)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 3  # the frontier's only
+        assert "Bucketed: true" in plan
+    finally:
+        spark.sql("DROP DATABASE graphs CASCADE")
+
+
 def test_unresolved(spark, tables):
     dois = spark.createDataFrame([("10.1/OK",), ("10.9/x",), ("10.9/X ",), ("bad",), (None,)], "doi STRING")
     assert [r.doi_key for r in unresolved_dois(dois, tables[0]).collect()] == ["10.9/x"]
