@@ -20,7 +20,7 @@ rows: each gives a row. Empty table: empty result. Other columns are ignored.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,27 +41,34 @@ TRIPLES = list(itertools.combinations(range(7), 3))
 BLOCK = 4096
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, chunk: int = 1 << 16) -> int:
-    """The SimHash of a text as an unsigned integer."""
+def shingle_hashes(text: str | None, shingle: int, chunk: int = 1 << 16) -> Iterator[np.ndarray]:
+    """The hashes of all shingles, repeats included, in pieces; nothing for a text without words."""
     from xxhash import xxh64_intdigest
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
-    if len(words) <= shingle:
-        return xxh64_intdigest(b" ".join(words), SEED)
+        return
     joined = b" ".join(words)
+    if len(words) <= shingle:
+        yield np.array([xxh64_intdigest(joined, SEED)], dtype=np.uint64)
+        return
     starts = np.zeros(len(words) + 1, dtype=np.int64)
     np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1, out=starts[1:])
     begin, end = starts[: -shingle].tolist(), (starts[shingle:] - 1).tolist()
-    ones, n = np.zeros(64, dtype=np.int64), len(begin)
-    for at in range(0, n, chunk):
-        hashes = np.fromiter(
+    for at in range(0, len(begin), chunk):
+        yield np.fromiter(
             (xxh64_intdigest(joined[a:b], SEED) for a, b in zip(begin[at : at + chunk], end[at : at + chunk])),
-            np.uint64, min(chunk, n - at),
+            np.uint64, min(chunk, len(begin) - at),
         )
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE, chunk: int = 1 << 16) -> int:
+    """The SimHash of a text as an unsigned integer."""
+    ones, n = np.zeros(64, dtype=np.int64), 0
+    for hashes in shingle_hashes(text, shingle, chunk):
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
+        n += len(hashes)
     return int(np.packbits((2 * ones > n).astype(np.uint8), bitorder="little").view(np.uint64)[0])
 
 
@@ -205,7 +212,12 @@ def _rooted(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc_id, fp, root, component_id) for every document; ``root`` names its group."""
     marked = stored(fingerprints(docs, doc_id, text), "fingerprints")
     nodes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fp-nodes")
-    roots = components(links(nodes.select("fp")))
+    return name_groups(marked, nodes, components(links(nodes.select("fp"))))
+
+
+def name_groups(marked: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """(doc_id, fp, root, component_id) from ``marked`` (doc_id, fp), ``nodes`` (fp, least)
+    and the components of the linked nodes."""
     rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
@@ -220,8 +232,8 @@ def groups(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
     return _rooted(docs, doc_id, text).select("doc_id", "fp", "component_id")
 
 
-def _with_fingerprints(docs: DataFrame, text: str) -> DataFrame:
-    """(row, fp): whole rows as structs beside the fingerprint of their text."""
+def _with_fingerprints(docs: DataFrame, text: str, mark: Callable[[str | None], int]) -> DataFrame:
+    """(row, fp): whole rows as structs beside the mark of their text."""
     schema = T.StructType([T.StructField("row", docs.schema), T.StructField("fp", T.LongType())])
     arrow, at = to_arrow_schema(schema), docs.columns.index(text)
 
@@ -229,7 +241,7 @@ def _with_fingerprints(docs: DataFrame, text: str) -> DataFrame:
         for batch in batches:
             for piece in slices(batch):
                 row = pa.StructArray.from_arrays(piece.columns, fields=list(arrow.field("row").type))
-                fps = [fingerprint(None if t is None else str(t)) for t in piece.column(at).to_pylist()]
+                fps = [mark(None if t is None else str(t)) for t in piece.column(at).to_pylist()]
                 fps = pa.array(np.array(fps, dtype=np.uint64).view(np.int64))
                 yield pa.RecordBatch.from_arrays([row, fps], schema=arrow)
 
@@ -240,7 +252,13 @@ def drop_near_copies(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame
     """One row of each group: the one with the group's id, and where several rows of the
     group have that id the first by content. A group of rows without any id keeps one
     of them."""
-    found = stored(_rooted(docs, doc_id, text), "grouped")
+    return keep_one(docs, _rooted(docs, doc_id, text), fingerprint, doc_id, text)
+
+
+def keep_one(docs: DataFrame, rooted: DataFrame, mark: Callable[[str | None], int], doc_id="doc_id", text="text") -> DataFrame:
+    """As :func:`drop_near_copies`, for groups that :func:`name_groups` gives and the
+    unsigned ``mark`` of a text that their ``fp`` holds."""
+    found = stored(rooted, "grouped")
     named = F.col("doc_id").eqNullSafe(F.col("component_id"))
     keep = (
         found.groupBy("doc_id").agg(F.bool_or(named).alias("names"), F.count(F.lit(1)).alias("n"))
@@ -257,7 +275,7 @@ def drop_near_copies(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame
         return once
     # Rows that share an id may stand in several groups; their fingerprints tell which.
     ours = found.filter(named).select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), "root").distinct()
-    met = _with_fingerprints(chosen("_many"), text).join(
+    met = _with_fingerprints(chosen("_many"), text, mark).join(
         ours, F.col("row")[doc_id].eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp"))
     )
     first = Window.partitionBy("root").orderBy(*[F.col("row")[c].asc_nulls_last() for c in docs.columns])
