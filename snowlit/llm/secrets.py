@@ -1,10 +1,12 @@
 """Secret scan: patterns propose candidates, a random forest drops the false ones.
 
-Candidates are unbroken runs of token characters that are long enough, one row each. The
+Candidates, one row each, are unbroken runs of 16 or more token characters, without the
+identifier of a ``name=value``. The
 features say how long a candidate is, how unusual its character transitions are (by
 the transitions inside the words of the whole corpus), how much of it dictionary words
 cover (the most frequent words of the corpus), what the path tells and which words stand
-beside it. A random forest learns from labelled findings which candidates are real.
+beside it. A random forest learns from labelled findings which candidates are real; where
+none are given, from a small table of lines labelled by hand (``hand_made``).
 
 Defined cases. Null or empty text: no candidates. Null path: no path features. Null or
 repeated ids: each row by itself. Empty table: no findings; labelled findings of one
@@ -15,7 +17,9 @@ read whole.
 from __future__ import annotations
 
 import math
+import random
 import re
+import string
 from collections import Counter
 
 import numpy as np
@@ -35,7 +39,10 @@ TREES, DEPTH, SEED = 24, 8, 42
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/=.@-])[A-Za-z0-9_+/=.@-]{%d,}" % MIN_LENGTH)
 BEFORE = 64
 # Words that name a secret, or say that it is none.
-NAMES = re.compile(r"(?i)(?:pass(?:word|wd)?|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth|credential)s?[\"']?\s*(?:=|:|=>|is)?\s*[\"']?$")
+NAME = r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth|credential)"
+GIVEN = NAME + r"[\w.-]{0,32}[\"']?\s{0,8}(?:=>|:=|=|:)\s{0,8}(?:(?:bearer|basic)\s{1,8})?"
+NAMES = re.compile(r"(?i)(?:%ss?[\"']?\s*(?:=|:|=>|is)?\s*|%s|\bbearer\s{1,8})[\"'`]?$" % (NAME, GIVEN))
+KEYED = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*=(?=[^=])")
 SHAM = re.compile(r"(?i)example|sample|dummy|placeholder|xxxx|changeme|your[_-]|test")
 CHECKSUM = re.compile(r"(?i)(?:commit|sha\d*|md5|checksum|digest|hash|uuid|revision|integrity)\W*$")
 FEATURES = (
@@ -97,6 +104,16 @@ def coverage(candidate: str, dictionary: frozenset) -> float:
     return covered / len(low)
 
 
+def spans(text: str) -> list[tuple[int, int]]:
+    """Where the candidates of a text stand, in order; none overlap."""
+    out = []
+    for m in CANDIDATE.finditer(text):
+        start, end = m.span()
+        key = KEYED.match(text, start, end)
+        out.append((key.end() if key and end - key.end() >= MIN_LENGTH else start, end))
+    return out
+
+
 def describe(text: str, start: int, end: int, path: str | None, surprise: np.ndarray, dictionary: frozenset) -> list[float]:
     """The features of one candidate, in the order of ``FEATURES``."""
     piece = text[start:end]
@@ -126,9 +143,8 @@ def candidates(docs: DataFrame, surprise: np.ndarray, dictionary: frozenset, doc
         def run(c):
             out = {k: [] for k in ("doc_id", "start", "end", "candidate", "features")}
             for key, t, where in zip(c["doc_id"], c["text"], c["path"]):
-                for m in CANDIDATE.finditer(t or ""):
-                    start, end = m.span()
-                    for k, v in zip(out, (key, start, end, m.group(), describe(t, start, end, where, surprise, dictionary))):
+                for start, end in spans(t or ""):
+                    for k, v in zip(out, (key, start, end, t[start:end], describe(t, start, end, where, surprise, dictionary))):
                         out[k].append(v)
             return out
 
@@ -161,17 +177,58 @@ def judge(found: DataFrame, trained, threshold: float = 0.5) -> DataFrame:
     return scored.select(*found.columns, F.round(score, 6).alias("score"), (score >= threshold).alias("kept"))
 
 
-def label_by_context(found: DataFrame) -> DataFrame:
-    """Labelled findings where none were made by hand: candidates that a secret's name
-    introduces, without a sham word near, are true; candidates that no name and no
-    assignment introduces are false; the rest have no label."""
-    f = {name: F.element_at("features", i + 1) for i, name in enumerate(FEATURES)}
-    label = F.when((f["named"] == 1) & (f["sham_near"] == 0), 1).when((f["named"] == 0) & (f["assigned"] == 0), 0)
-    return found.select("features", label.alias("label")).filter("label IS NOT NULL")
+# Lines labelled by hand; the finding stands between brackets. Capitals stand for made-up values:
+# H, h: 40 and 32 hex digits, B: 40 base64 signs, A: 20 letters and digits, J: a signed token, K: a key with
+# its maker's prefix, P: a password, U: a UUID, D: digits, W: a word of the corpus.
+REAL = (
+    'token = "[H]"', "token: [h]", 'api_key = "[h]"', "API_KEY=[h]", "api-key: '[A]'", "AWS_SECRET_ACCESS_KEY=[B]", 'secret_key = "[B]"',
+    "CLIENT_SECRET=[A]", '"secret": "[B]"', "Authorization: Bearer [J]", "Authorization: Bearer [A]", "Bearer [J]", "auth_token=[H]", "GITHUB_TOKEN=[K]",
+    "W [K] W", "W [K]", "W [J] W", 'password = "[P]"', "password=[P]", "password: [P]", "MYSQL_PASSWORD='[P]'", "passwd [P]", "PGPASSWORD=[P]",
+    '"password": "[P]"', "pwd=[P]", "password=[A]", "credentials: [B]", "private_key=[B]", "access_key: [A]",
+    'the latest W token = "[H]"', 'W token = "[H]" W sample', "test api_key: [h]", "tested with password=[P]", 'for example api_key = "[A]"',
+)
+SHAMS = (
+    "commit [H]", "commit: [H]", "sha1=[H]", "sha256: [HhH]", "md5 [h]", "checksum=[h]", 'digest = "[H]"', "integrity: [B]", "uuid: [U]", "revision [H]", "W [U] W",
+    "W [WWWW] W", "W [W-W-W-W] W", "W [W_W_W_W] W", "W [W.W.W@W.com] W", "mail: [W.WD@WWW.org]", "see [www.W.com/W/WWW] W", "[W/W/W/WWW.py]", "https:[//W.com/W/W/WD]",
+    "W=[WWWWW]", "W = '[WWWWWW]'", "W: [WWW-WWWW-D]", "[====================]", "[--------------------]", "id=[DDD]", "W [DDDD] W", "time: [2024-01-02-DDD]", "W [D.D.D.D.D.D.D.D] W",
+    'password = "[changeme]"', 'password = "[WWW]"', "password: [WWWWW]", "password=[example-P]", 'token = "[your_token_here]"', "API_KEY=[your-api-key-W]", 'token = "[example-H]"',
+    'api_key = "[xxxxxxxxxxxxxxxxxxxx]"', "token: [WWWW]", "secret: [WWWWW]", "the secret: [WWW] W", "token = [get_W_token()]", "password = [input(W)]", "SECRET=[placeholder-A]",
+    "auth: [WWW.WWW]", "bearer [WWW] W", "author: [WWW] W",
+)
+PASSWORDS = ("hunter2!xyz", "Tr0ub4dor&3", "S0mmer#2019", "q7!Rk$92", "dr4g0n~fly", "L0ndon%Br1dge", "zX9:vb6!", "p1zzaT1me!", "N3ver-M1nd", "9kittens!", "Blue42$sky", "M0nk3y_b4r")
+MADE_OF_EACH = 24
+
+
+def hand_made(surprise: np.ndarray, dictionary: frozenset) -> list[tuple[list[float], int]]:
+    """(features, label) of the lines labelled by hand, each filled in several ways; words are the corpus's own."""
+    draw, words = random.Random(SEED), sorted(dictionary) or ["under", "river", "table", "window"]
+    any_of = lambda signs, n: "".join(draw.choice(signs) for _ in range(n))
+    alnum = string.ascii_letters + string.digits
+    make = {
+        "H": lambda: any_of("0123456789abcdef", 40), "h": lambda: any_of("0123456789abcdef", 32), "B": lambda: any_of(alnum + "+/", 40), "A": lambda: any_of(alnum, 20),
+        "J": lambda: f"eyJ{any_of(alnum, 33)}.eyJ{any_of(alnum, 60)}.{any_of(alnum + '_-', 43)}",
+        "K": lambda: draw.choice(("ghp_", "sk_live_", "glpat-", "xoxb-")) + any_of(alnum, 36) if draw.random() < 0.8 else "AKIA" + any_of(string.ascii_uppercase + "234567", 16),
+        "P": lambda: draw.choice(PASSWORDS), "U": lambda: "-".join(any_of("0123456789abcdef", n) for n in (8, 4, 4, 4, 12)),
+        "D": lambda: any_of("0123456789", draw.randint(2, 6)), "W": lambda: draw.choice(words),
+    }
+    out = []
+    for lines, label in ((REAL, 1), (SHAMS, 0)):
+        for line in lines:
+            for _ in range(MADE_OF_EACH):
+                head, inside, tail = re.split(r"[\[\]]", line)
+                fill = lambda part: re.sub(r"(?<![A-Za-z])[HhBAJKPUDW]+(?![a-zA-Z])", lambda m: "".join(make[c]() for c in m.group()), part)
+                before = " ".join(make["W"]() for _ in range(draw.randint(0, 9))) + draw.choice((" ", "\n"))
+                before, value = before + fill(head), fill(inside)
+                after = fill(tail) + draw.choice((" ", "\n")) + " ".join(make["W"]() for _ in range(draw.randint(0, 9)))
+                path = draw.choice((None, "src0", "src1", "web", "src/app.py", "conf/settings.ini"))
+                out.append((describe(before + value + after, len(before), len(before) + len(value), path, surprise, dictionary), label))
+    return out
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, doc_id="doc_id", text="text", path="source") -> DataFrame:
     """(doc_id, start, end, candidate, features, score, kept) for every candidate."""
     surprise, dictionary = statistics(docs, text)
     found = stored(candidates(docs, surprise, dictionary, doc_id, text, path), "candidates")
-    return judge(found, train(label_by_context(found) if labelled is None else labelled))
+    if labelled is None:
+        labelled = docs.sparkSession.createDataFrame(hand_made(surprise, dictionary), "features array<double>, label INT")
+    return judge(found, train(labelled))
