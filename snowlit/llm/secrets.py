@@ -1,7 +1,8 @@
 """Secret scan: patterns propose candidates, a random forest drops the false ones.
 
-Candidates, one row each, are unbroken runs of 16 or more token characters, without the
-identifier of a ``name=value``. The
+Candidates, one row each, are the whole values that follow a secret's name and an assignment
+or ``Bearer``, quoted or unspaced, of any sign and at least 6 characters; elsewhere unbroken
+runs of 16 or more token characters, without the identifier of a ``name=value``. The
 features say how long a candidate is, how unusual its character transitions are (by
 the transitions inside the words of the whole corpus), how much of it dictionary words
 cover (the most frequent words of the corpus), what the path tells and which words stand
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from snowlit.llm.common import map_rows, stored, type_of
 
-MIN_LENGTH, MAX_WORD = 16, 16
+MIN_LENGTH, MIN_NAMED, MAX_WORD = 16, 6, 16
 DICTIONARY_WORDS = 20_000
 # Labelled findings of each class that the forest is trained on, at most.
 TRAIN_PER_CLASS = 5000
@@ -42,6 +43,9 @@ BEFORE = 64
 NAME = r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth|credential)"
 GIVEN = NAME + r"[\w.-]{0,32}[\"']?\s{0,8}(?:=>|:=|=|:)\s{0,8}(?:(?:bearer|basic)\s{1,8})?"
 NAMES = re.compile(r"(?i)(?:%ss?[\"']?\s*(?:=|:|=>|is)?\s*|%s|\bbearer\s{1,8})[\"'`]?$" % (NAME, GIVEN))
+VALUE = re.compile(
+    r"(?i)(?:%s|\bbearer\s{1,8})(?:\"([^\"\n]{%d,})\"|'([^'\n]{%d,})'|`([^`\n]{%d,})`|([^\s\"'`]{%d,}))" % (GIVEN, *[MIN_NAMED] * 4)
+)
 KEYED = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*=(?=[^=])")
 SHAM = re.compile(r"(?i)example|sample|dummy|placeholder|xxxx|changeme|your[_-]|test")
 CHECKSUM = re.compile(r"(?i)(?:commit|sha\d*|md5|checksum|digest|hash|uuid|revision|integrity)\W*$")
@@ -106,12 +110,31 @@ def coverage(candidate: str, dictionary: frozenset) -> float:
 
 def spans(text: str) -> list[tuple[int, int]]:
     """Where the candidates of a text stand, in order; none overlap."""
-    out = []
+    named = []
+    for m in VALUE.finditer(text):
+        start, end = m.span(m.lastindex)
+        if m.lastindex == 4:  # signs that close the sentence or the call are no part of an unquoted value
+            end = start + max(MIN_NAMED, len(text[start:end].rstrip(",;)]}>")))
+        named.append((start, end))
+    out, at = [], 0
     for m in CANDIDATE.finditer(text):
         start, end = m.span()
-        key = KEYED.match(text, start, end)
-        out.append((key.end() if key and end - key.end() >= MIN_LENGTH else start, end))
-    return out
+        while at < len(named) and named[at][1] <= start:
+            out.append(named[at])
+            at += 1
+        pieces, k = [], at
+        while k < len(named) and named[k][0] < end:  # what named values leave of the run, but their names
+            if text[named[k][0] - 1] != "=":
+                pieces.append((start, named[k][0]))
+            start, k = max(start, named[k][1]), k + 1
+        pieces.append((start, end))
+        for a, b in pieces:
+            key = KEYED.match(text, a, b)
+            if key and b - key.end() >= MIN_LENGTH:
+                a = key.end()
+            if b - a >= MIN_LENGTH:
+                out.append((a, b))
+    return sorted({*out, *named})
 
 
 def describe(text: str, start: int, end: int, path: str | None, surprise: np.ndarray, dictionary: frozenset) -> list[float]:
