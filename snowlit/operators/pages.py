@@ -2,8 +2,9 @@
 
 A single paper may hold a large share of all pages, so anything that runs along a
 paper's pages works in blocks of page numbers: totals per block first, then a
-running total over the blocks, then positions inside each block. No task ever
-holds more than one block of pages.
+running total over the blocks, then positions inside each block. Where very many rows
+share a block, because they repeat a page number or have none, the rows of that paper are
+dealt over ranges of their order instead, see :mod:`snowlit.operators.prefix`.
 """
 
 from __future__ import annotations
@@ -21,10 +22,15 @@ from snowlit.functions.text import (
     split_squeezed,
     squeeze,
 )
+from snowlit.checkpoints import work_path, write_step
 from snowlit.operators.keys import with_plain_keys
+from snowlit.operators.prefix import running_sums
 
 BLOCK = 4096
 
+# Rows of one block that a single task is asked to sort.
+ROWS_PER_BLOCK = 16 * BLOCK
+
 
 def _ordered(order: Sequence[str], value: Column, separator: str) -> Column:
     """Aggregate: ``value`` in ``order``, joined by ``separator``."""
@@ -42,8 +48,28 @@ def running_offset(
 ) -> DataFrame:
     """Add ``offset``: the sum of ``amount`` over earlier rows of the same keys.
 
-    ``position`` is an integer; rows come in the order (position, ties).
+    ``position`` is an integer; rows come in the order (position, ties). The rows of each
+    block are counted when this is called. The groups that have a block of more than
+    ``ROWS_PER_BLOCK`` rows are dealt over ranges, all others stay in blocks.
     """
+    place = F.expr(f"`{position}` div {block}").alias("_block")
+    sizes = df.select(*keys, place).groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
+    crowded = sizes.filter(F.col("_n") > ROWS_PER_BLOCK).select(*keys).distinct()
+    crowded = write_step(crowded, work_path(df.sparkSession, "crowded"))
+    if crowded.isEmpty():
+        return _offset_in_blocks(df, keys, position, amount, ties, block)
+    nullable = [k for k in keys if df.schema[k].nullable]
+    keyed, names = with_plain_keys(df, keys, nullable)
+    listed = with_plain_keys(crowded, keys, nullable)[0].select(*names)
+    few = keyed.join(listed, names, "left_anti").select(*df.columns)
+    many = keyed.join(listed, names, "left_semi").select(*df.columns)
+    dealt = running_sums(many, keys, [position, *ties], {"offset": amount}, ROWS_PER_BLOCK)
+    return _offset_in_blocks(few, keys, position, amount, ties, block).unionByName(dealt)
+
+
+def _offset_in_blocks(
+    df: DataFrame, keys: Sequence[str], position: str, amount: Column, ties: Sequence[str], block: int
+) -> DataFrame:
     blocked = df.withColumns({"_block": F.expr(f"`{position}` div {block}"), "_amount": amount.cast("bigint")})
     along = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     nullable = [f.name for f in blocked.schema if f.nullable]
