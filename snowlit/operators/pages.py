@@ -61,8 +61,8 @@ def running_offset(
     nullable = [k for k in keys if df.schema[k].nullable]
     keyed, names = with_plain_keys(df, keys, nullable)
     listed = with_plain_keys(crowded, keys, nullable)[0].select(*names)
-    few = keyed.join(listed, names, "left_anti").select(*df.columns)
-    many = keyed.join(listed, names, "left_semi").select(*df.columns)
+    few = keyed.join(listed, names, "left_anti").drop(*names)
+    many = keyed.join(listed, names, "left_semi").drop(*names)
     dealt = running_sums(many, keys, [position, *ties], {"offset": amount}, ROWS_PER_BLOCK)
     return _offset_in_blocks(few, keys, position, amount, ties, block).unionByName(dealt)
 
