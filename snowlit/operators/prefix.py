@@ -42,18 +42,18 @@ def running_sums(
     keys: Sequence[str],
     order: Sequence[str | Column],
     amounts: Mapping[str, Column],
-    rows_per_part: int | None = None,
+    rows_per_group: int | None = None,
 ) -> DataFrame:
     """Add, under each name of ``amounts``, the sum of that amount (whole numbers) over the
     earlier rows of the same ``keys``, in ascending ``order``, NULL first.
 
     NULL keys are a group like others; without keys all rows are one. Which of several rows
     that are equal in ``order`` comes first is not defined. The sizes of the groups are counted
-    when this is called; where one has more than ``rows_per_part`` rows, the rows of such
+    when this is called; where one has more than ``rows_per_group`` rows, the rows of such
     groups are written once, dealt by range. Columns may have any names.
     """
     spark = df.sparkSession
-    rows_per_part = rows_per_part or ROWS_PER_PART
+    rows_per_group = rows_per_group or ROWS_PER_PART
     plain = [c for name in keys for c in plain_key(name, df.schema[name].dataType, df.schema[name].nullable)]
     plain = plain or [F.lit(0)]
     by, along = [f"_k{i}" for i in range(len(plain))], [f"_o{i}" for i in range(len(order))]
@@ -72,14 +72,14 @@ def running_sums(
     def result(rows: DataFrame) -> DataFrame:
         return rows.select("_row.*", *[F.col(s).alias(name) for s, name in zip(summed, amounts)])
 
-    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_part)
+    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_group)
     large = write_step(sizes, work_path(spark, "large-groups"))
     total = large.agg(F.sum("_n")).first()[0]
     if total is None:
         return result(summing(rows, by))
 
     small = result(summing(rows.join(large, by, "left_anti"), by))
-    places = max(RANGES_PER_PLACE * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // rows_per_part))
+    places = max(RANGES_PER_PLACE * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // ROWS_PER_PART))
     fields = [F.col("_row")[f.name] for f in df.schema if _hashable(f.dataType)]
     dealt = (
         rows.join(large.select(*by), by, "left_semi")
