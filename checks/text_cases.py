@@ -22,6 +22,7 @@ from snowlit.operators.extract import (
     extract_measurements,
     extract_references,
     parse_answers,
+    rejected_entries,
     run_agreement,
 )
 from snowlit.operators.pages import (
@@ -414,6 +415,26 @@ def _(t):
     return extract_references(t.bibl_xml)
 
 
+@case("nested_references", sql="""
+    SELECT p_partkey AS paper_id, CAST(0 AS INTEGER) AS pos, p_name AS title,
+           CASE WHEN p_partkey % 3 = 0 THEN '10.5555/o' ELSE '10.5555/i' END || p_partkey AS doi FROM part
+    UNION ALL SELECT p_partkey, 1, p_brand, CASE WHEN p_partkey % 3 <> 0 THEN '10.5555/i' || p_partkey END FROM part
+    UNION ALL SELECT p_partkey, 2, p_type, NULL FROM part
+    UNION ALL SELECT p_partkey, 4, 'good', NULL FROM part WHERE p_partkey % 4 = 0
+    UNION ALL SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN 6 ELSE 4 END, 'last', NULL FROM part WHERE p_partkey % 5 = 0
+""")
+def _(t):
+    return extract_references(t.bibl_nested)
+
+
+@case("rejected_entries", sql="""
+    SELECT p_partkey AS paper_id, CAST(3 AS INTEGER) AS pos, 'malformed XML' AS error FROM part WHERE p_partkey % 4 = 0
+    UNION ALL SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN 5 ELSE 3 END, 'no end tag' FROM part WHERE p_partkey % 5 = 0
+""")
+def _(t):
+    return rejected_entries(t.bibl_nested).select("paper_id", "pos", "error")
+
+
 NUMBER = "nullif(TRY_CAST(f[{i}] AS DOUBLE), CAST('NaN' AS DOUBLE))"
 MEASUREMENTS = f"""
     WITH fields AS (SELECT paper_id, q_idx, string_split(response, ',') AS f FROM {{source}}),

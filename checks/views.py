@@ -66,6 +66,20 @@ VIEWS: dict[str, str] = {
                '</analytic></biblStruct></listBibl>' AS xml
         FROM part
     """,
+    # Entries inside of entries: self-closing ones, tags in comments and attributes, bad XML
+    # and, in every fifth bibliography, an entry that never ends.
+    "bibl_nested": """
+        SELECT p_partkey AS paper_id,
+               '<listBibl><!-- <biblStruct> --><biblStruct n="a>b"><analytic><title>' || p_name || '</title><biblStruct/>' ||
+               '<biblStruct><title> ' || p_brand || ' </title>' ||
+               CASE WHEN p_partkey % 3 = 0 THEN '' ELSE '<idno type="DOI">10.5555/i' || CAST(p_partkey AS STRING) || '</idno>' END ||
+               '<biblStruct><title>' || p_type || '</title></biblStruct></biblStruct></analytic>' ||
+               '<idno type="DOI">10.5555/o' || CAST(p_partkey AS STRING) || '</idno></biblStruct>' ||
+               CASE WHEN p_partkey % 4 = 0 THEN '</biblStruct><biblStruct><title>bad <b>x</title></b><biblStruct><title>good</title></biblStruct></biblStruct>' ELSE '' END ||
+               CASE WHEN p_partkey % 5 = 0 THEN '<biblStruct><title>open</title><biblStruct ><title>last</title></biblStruct >' ELSE '' END ||
+               '</listBibl>' AS xml
+        FROM part
+    """,
     "responses": """
         SELECT p_partkey AS paper_id, 1 AS q_idx,
                CASE p_partkey % 4

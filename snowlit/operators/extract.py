@@ -11,7 +11,7 @@ from snowlit.operators.keys import with_plain_keys
 
 # The bibliography entry, what is read from it, and the columns,
 # header and missing-value mark of the requested CSV lines.
-ENTRY = r"(?s)<biblStruct\b(?:[^>]*[^/>])?>.*?</biblStruct>"
+ENTRY = "biblStruct"
 TITLE = "//title"
 DOI = '//idno[@type="DOI"]'
 MEASUREMENT_FIELDS = ("polymer", "drug", "water_ph", "concentration", "capacity")
@@ -22,6 +22,13 @@ MISSING = "NaN"
 # Not allowed in XML text, so it can part the values of one evaluation.
 _MARK = "\x01"
 
+# Start and end tags of entries; comments and literal text come first, so that tags inside of
+# them are none. An attribute may hold the sign that ends a tag.
+_TAG = (
+    r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
+    rf"|</{ENTRY}\s*+>|<{ENTRY}(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+)
+
 
 def once(**columns: Column) -> list[Column]:
     """Costly columns, computed once per row even if later filters use them.
@@ -32,12 +39,56 @@ def once(**columns: Column) -> list[Column]:
     return [F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])))]
 
 
+def _spans(tags: Column) -> Column:
+    """The first and last tag of every entry, by first tag; no last one if it never ends.
+
+    One pass over the tags with the open entries as a stack: an end tag closes the innermost
+    one. End tags without an open entry, and entries that end in their own tag, are passed over.
+    """
+    numbers = F.array().cast("array<int>")
+    pairs = F.array().cast("array<struct<first: int, last: int>>")
+    start = F.struct(F.lit(0).alias("at"), numbers.alias("open"), pairs.alias("done"))
+
+    def step(state: Column, tag: Column) -> Column:
+        depth = F.size(state["open"])
+        opens = tag.startswith(f"<{ENTRY}") & ~tag.endswith("/>")
+        closes = tag.startswith(f"</{ENTRY}") & (depth > 0)
+        pair = F.struct(F.get(state["open"], depth - 1).alias("first"), state["at"].alias("last"))
+        return F.struct(
+            (state["at"] + 1).alias("at"),
+            F.when(opens, F.array_append(state["open"], state["at"]))
+            .when(closes, F.slice(state["open"], 1, depth - 1))
+            .otherwise(state["open"]).alias("open"),
+            F.when(closes, F.array_append(state["done"], pair)).otherwise(state["done"]).alias("done"),
+        )
+
+    endless = lambda at: F.struct(at.alias("first"), F.lit(None).cast("int").alias("last"))
+    return F.aggregate(
+        tags, start, step, lambda state: F.array_sort(F.concat(state["done"], F.transform(state["open"], endless)))
+    )
+
+
 def bibliography_entries(docs: DataFrame) -> DataFrame:
-    """One row per entry ``(paper_id, pos, entry, error)``; malformed XML is flagged
-    here because evaluating a path on it would fail the job."""
-    entries = docs.select(
-        "paper_id",
-        F.posexplode(F.regexp_extract_all("xml", F.lit(ENTRY), F.lit(0))).alias("pos", "entry"),
+    """One row per entry ``(paper_id, pos, entry, error)``, those inside of others too, in the
+    order in which they begin. Each has its own text, that of inner entries included; an entry
+    that never ends, or is malformed XML, is flagged here because evaluating a path on it would fail
+    the job."""
+    # The text is cut once at its tags; an entry is put together from the pieces.
+    cut = docs.select(
+        "paper_id", *once(tags=F.regexp_extract_all("xml", F.lit(_TAG), F.lit(0)), between=F.split("xml", _TAG, -1))
+    )
+    units = F.transform("tags", lambda tag, i: F.concat(tag, F.get(F.col("between"), i + 1)))
+    cut = cut.select("paper_id", *once(tags=F.col("tags"), units=units, spans=_spans(F.col("tags"))))
+
+    def text(span: Column) -> Column:
+        whole = F.array_join(F.slice("units", span["first"] + 1, span["last"] - span["first"]), "")
+        return F.when(span["last"].isNotNull(), F.concat(whole, F.get(F.col("tags"), span["last"]))).otherwise(
+            F.get(F.col("tags"), span["first"])
+        )
+
+    found = F.transform("spans", lambda s: F.struct(text(s).alias("entry"), s["last"].isNull().alias("endless")))
+    entries = cut.select("paper_id", F.posexplode(found).alias("pos", "found")).select(
+        "paper_id", "pos", "found.entry", "found.endless"
     )
     check = F.from_xml(
         F.col("entry"),
@@ -45,8 +96,9 @@ def bibliography_entries(docs: DataFrame) -> DataFrame:
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"},
     )
     return entries.withColumn(
-        "error", F.when(check["_bad"].isNotNull(), F.lit("malformed XML"))
-    )
+        "error",
+        F.when(F.col("endless"), F.lit("no end tag")).when(check["_bad"].isNotNull(), F.lit("malformed XML")),
+    ).drop("endless")
 
 
 def extract_references(docs: DataFrame) -> DataFrame:

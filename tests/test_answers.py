@@ -253,6 +253,24 @@ def test_bibliography(spark):
     assert [r.pos for r in rejected_entries(docs).orderBy("pos").collect()] == [5, 6]
 
 
+def test_nested_entries(spark):
+    got, docs = references(
+        spark,
+        '<biblStruct><note><biblStruct><idno type="DOI">10.1/in</idno></biblStruct></note><idno type="DOI">10.1/out</idno></biblStruct>',
+        "</biblStruct><biblStruct><title>never ends</title><biblStruct><title>a</title><biblStruct/></biblStruct>",
+        "<!-- <biblStruct><title>no</title></biblStruct> --><biblStruct><title><![CDATA[</biblStruct>]]></title></biblStruct>",
+        "<biblStruct q='\">'><title>quoted</title></biblStruct><biblStructs><title>other</title></biblStructs>",
+    )
+    assert got == [
+        (0, None, "10.1/in"), (1, None, "10.1/in"), (3, "a", None), (4, "</biblStruct>", None), (5, "quoted", None),
+    ]
+    assert [(r.pos, r.error) for r in rejected_entries(docs).collect()] == [(2, "no end tag")]
+    deep = "<biblStruct><title>d</title>" * 300 + "</biblStruct>" * 300
+    assert len(references(spark, deep)[0]) == 300
+    flat = "<biblStruct><title>f</title></biblStruct>" * 3000
+    assert len(references(spark, flat)[0]) == 3000
+
+
 def measured(spark, *responses):
     rows = [("p", 1, r) for r in responses]
     df = spark.createDataFrame(rows, "paper_id STRING, q_idx INT, response STRING")
