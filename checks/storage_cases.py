@@ -7,14 +7,15 @@ import json
 from pyspark.sql import functions as F
 
 from checks.cases import case
-from snowlit.plans.question_run import run_page_questions, run_questions
+from snowlit.plans.question_run import run_page_questions, run_questions, text_requests, whole_page_answers
 from checks.search_cases import catalogue
-from checks.text_cases import MEASUREMENTS, PAGE_PROMPT, numbered
+from checks.text_cases import MEASUREMENTS, PAGE_PROMPT, REQUEST_VIEWS, REQUESTS, numbered
 from snowlit.checkpoints import work_path
 from snowlit.functions.doi import has_doi, is_pdf, topic_code
 from snowlit.functions.prompts import render_answer
 from snowlit.operators.content import extract_content, register_handler
 from snowlit.operators.extract import extract_measurements, extract_references, parse_answers
+from snowlit.operators.questions import pair_questions
 from snowlit.operators.worklist import check_dois, write_split
 from snowlit.sources.files import (
     read_questions,
@@ -26,6 +27,7 @@ from snowlit.sources.files import (
     read_written_answers,
     scan_pdfs,
     write_answer_files,
+    write_papers,
     write_questions,
     write_references,
     write_responses,
@@ -217,6 +219,33 @@ def _(t):
     return read_responses(t.spark, path, "paper_id BIGINT, q_idx INT, response STRING, skipped BOOLEAN")
 
 
+@case("page_answers_changed", views="page_text questions", sql="""
+    WITH pages AS (
+        SELECT paper_id, CAST(page_no AS INTEGER) AS page_no FROM page_text WHERE page_no % 3 <> 1),
+    asked AS (SELECT * FROM pages, questions WHERE paper_id % 7 <> 0 OR page_no <> 2)
+    SELECT paper_id, q_idx, string_agg('--- Page ' || page_no || ' ---' || chr(10) || 'page ' || page_no || ' of ' || paper_id,
+                                       chr(10) || chr(10) ORDER BY page_no) AS response,
+           false AS skipped
+    FROM asked GROUP BY paper_id, q_idx
+    HAVING count(*) = (SELECT count(*) FROM pages p WHERE p.paper_id = asked.paper_id)
+""")
+def _(t):
+    # Answers to pages of which every third is gone, and one of some papers was not asked yet.
+    said = F.concat(F.lit("page "), "page_no", F.lit(" of "), "paper_id")
+    every = t.page_text.select("paper_id", F.col("page_no").cast("int").alias("page_no"))
+    asked = pair_questions(every.filter("paper_id % 7 <> 0 OR page_no <> 2"), t.questions)
+    answers = asked.select("paper_id", "page_no", "q_idx", said.alias("response"), F.lit(False).alias("skipped"))
+    return whole_page_answers(answers, every.filter("page_no % 3 <> 1"))
+
+
+@case("text_prompt_stored", views=REQUEST_VIEWS, sql=REQUESTS + "SELECT paper_id, q_idx, prompt FROM requests")
+def _(t):
+    # Papers stored by id: no text is shuffled, whatever the lists of papers weigh.
+    path = work_path(t.spark, "papers")
+    papers = write_papers(t.papers, path.rsplit("/", 1)[-1].replace("-", "_"), 8, path)
+    return text_requests(papers, t.questions, t.answered).drop("question")
+
+
 @case("page_answers", views="page_text questions", sql=f"""
     WITH pages AS (
         SELECT paper_id, page_no, q_idx, length({PAGE_PROMPT}) || '/' || length(base64(encode(text))) AS reply

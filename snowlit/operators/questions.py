@@ -1,17 +1,23 @@
-"""Pairing papers with questions, and rolling answers up."""
+"""Pairing papers with questions, and rolling answers up.
+
+Question lists of any length take one path. The list is cut by number into blocks, written so
+that its size is known; which pairs are open is found from keys and numbers alone; and papers
+meet the list last, when only those with an open question are left.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snowlit.checkpoints import work_path, write_step
 from snowlit.operators.fanout import fan_out
 
-# A question list up to this size travels inside the plan; a longer one is joined.
-INLINE_QUESTIONS = 500
-INLINE_CHARACTERS = 1_000_000
+# Question numbers in one block of the list.
+NUMBERS_PER_BLOCK = 500
 
 # Papers in one part of a question's roll-up.
 PAPERS_PER_PART = 10_000
@@ -24,66 +30,100 @@ def flatten_questions(df: DataFrame, column: str = "questions", keys: tuple[str,
     ).select(*keys, (F.col("_pos") + 1).alias("q_idx"), "question")
 
 
-def inline_questions(questions: DataFrame) -> list | None:
-    """The questions as rows if there are few of them, else None. Reads at most
-    one row more than the bound."""
-    rows = questions.select("q_idx", "question").limit(INLINE_QUESTIONS + 1).collect()
-    size = sum(len(r.question or "") for r in rows)
-    if len(rows) > INLINE_QUESTIONS or size > INLINE_CHARACTERS:
-        return None
-    return sorted(rows, key=lambda r: r.q_idx)
-
-
-def _literal(rows: list):
-    """An array column holding the questions."""
-    structs = [
-        F.struct(F.lit(r.q_idx).cast("int").alias("q_idx"), F.lit(r.question).alias("question"))
-        for r in rows
-    ]
-    return F.array(*structs).cast("array<struct<q_idx: int, question: string>>")
+def _block(number: str = "q_idx") -> F.Column:
+    return F.expr(f"CAST(`{number}` AS INT) div {NUMBERS_PER_BLOCK}")
 
 
 def pair_questions(papers: DataFrame, questions: DataFrame) -> DataFrame:
-    """Every paper with every question.
+    """Every paper with every question: an equi-join on slot numbers, see :func:`fan_out`.
 
-    Few questions: they are put next to each paper inside the row, with no join and
-    no shuffle. Many: an equi-join on slot numbers, see :func:`fan_out`.
+    The list is written first, so Spark knows whether it is small enough to be broadcast;
+    then papers are not shuffled.
     """
-    rows = inline_questions(questions)
-    if rows is None:
-        keys = [c for c in ("paper_id", "page_no") if c in papers.columns]
-        return fan_out(papers, questions.select("q_idx", "question"), keys)
-    return papers.select("*", F.inline(_literal(rows)))
+    asked = questions.select(F.col("q_idx").cast("int").alias("q_idx"), "question")
+    keys = [c for c in ("paper_id", "page_no") if c in papers.columns]
+    return fan_out(papers, write_step(asked, work_path(papers.sparkSession, "questions")), keys)
 
 
-def pending_questions(
-    papers: DataFrame, questions: DataFrame, responses: DataFrame, keys: Sequence[str] = ("paper_id",)
-) -> DataFrame:
-    """Add ``pending``, the unanswered questions of each paper, where there are any.
+@dataclass(frozen=True)
+class OpenQuestions:
+    """What is left to be asked, known from keys and question numbers alone.
+
+    ``blocks``: ``(_block, _questions)``, the question list. ``finished``: the keys of papers
+    that have all answers. ``partial``: ``(*keys, _block, _pending)``, the open numbers of the
+    papers that have some. Papers in neither have none. All are stored tables.
+    """
 
-    Answers are reduced to one set of question numbers per paper (bounded by the
-    number of questions) and met with the papers in one join, so answered pairs are
-    never produced. Needs a question list that :func:`inline_questions` accepts.
-    ``keys`` tell papers apart; pages have two.
+    keys: tuple[str, ...]
+    blocks: DataFrame
+    finished: DataFrame
+    partial: DataFrame
+
+    def of(self, papers: DataFrame) -> DataFrame:
+        """The papers that have an open question. A paper without a key is left out.
+
+        Papers meet the shorter of two lists of keys, those that are finished or those that are
+        not: on a first run, or near the end, papers of any number are not shuffled. Papers
+        stored with :func:`snowlit.sources.files.write_papers` never are.
+        """
+        papers = papers.dropna(subset=list(self.keys))
+        if self.finished.isEmpty():
+            return papers
+        left = papers.select(*self.keys).distinct().join(self.finished, list(self.keys), "left_anti")
+        left = write_step(left, work_path(papers.sparkSession, "open-papers"))
+        if left.count() < self.finished.count():
+            return papers.join(left, list(self.keys), "left_semi")
+        return papers.join(self.finished, list(self.keys), "left_anti")
+
+    def ask(self, papers: DataFrame) -> DataFrame:
+        """``papers``, which :meth:`of` gave, with ``q_idx`` and ``question`` of each open pair."""
+        met = fan_out(papers, self.blocks, self.keys)
+        if not self.partial.isEmpty():
+            met = met.join(self.partial, [*self.keys, "_block"], "left")
+        else:
+            met = met.withColumn("_pending", F.lit(None).cast("array<int>"))
+        asked = F.filter(
+            "_questions", lambda q: F.col("_pending").isNull() | F.array_contains("_pending", q["q_idx"])
+        )
+        return met.select(*papers.columns, F.inline(asked))
+
+
+def open_questions(
+    questions: DataFrame, responses: DataFrame, keys: Sequence[str] = ("paper_id",)
+) -> OpenQuestions:
+    """Compare the question list with the keys of the answers.
+
+    A question without a number has no key for an answer and is left out; questions that share
+    one are open until it is answered. The answers of a paper to one block of numbers make one row,
+    so no row grows with the list. ``keys`` tell papers apart; pages have two.
     """
-    rows = inline_questions(questions)
-    if rows is None:
-        raise ValueError("too many questions to keep per paper; use pending_pairs")
-    everything = _literal(rows)
+    spark, keys = questions.sparkSession, tuple(keys)
+    listed = questions.filter("q_idx IS NOT NULL").select(F.col("q_idx").cast("int").alias("q_idx"), "question")
+    blocks = listed.groupBy(_block().alias("_block")).agg(
+        F.array_sort(F.collect_list(F.struct("q_idx", "question"))).alias("_questions")
+    )
+    blocks = write_step(blocks, work_path(spark, "question-blocks"))
     done = (
-        responses.filter(F.col("q_idx").isin([r.q_idx for r in rows]))
-        .groupBy(*keys)
+        responses.dropna(subset=[*keys, "q_idx"])
+        .groupBy(*keys, _block().alias("_block"))
         .agg(F.collect_set(F.col("q_idx").cast("int")).alias("_done"))
     )
-    left = F.filter(
-        everything, lambda q: ~F.array_contains(F.coalesce("_done", F.array().cast("array<int>")), q["q_idx"])
-    )
-    return (
-        papers.join(done, list(keys), "left")
-        .withColumn("pending", left)
-        .drop("_done")
-        .filter(F.size("pending") > 0)
-    )
+    numbers = blocks.select("_block", F.array_distinct(F.transform("_questions", lambda q: q["q_idx"])).alias("_numbers"))
+    touched = done.join(numbers, "_block").select(*keys, "_block", F.array_except("_numbers", "_done").alias("_pending"))
+    touched = write_step(touched, work_path(spark, "answered-keys"))
+    whole = touched.groupBy(*keys).agg(F.count_if(F.size("_pending") == 0).alias("_full"))
+    finished = whole.filter(F.col("_full") == blocks.count()).select(*keys)
+    finished = write_step(finished, work_path(spark, "finished-papers"))
+    partial = touched.join(finished, list(keys), "left_anti")
+    return OpenQuestions(keys, blocks, finished, write_step(partial, work_path(spark, "partial-papers")))
+
+
+def pending_questions(
+    papers: DataFrame, questions: DataFrame, responses: DataFrame, keys: Sequence[str] = ("paper_id",)
+) -> DataFrame:
+    """The papers that have an open question; finished ones are gone before anything but
+    their key is used."""
+    return open_questions(questions, responses, keys).of(papers)
 
 
 def pending_pairs(
@@ -91,18 +131,11 @@ def pending_pairs(
 ) -> DataFrame:
     """Pairs of paper and question that have no answer yet.
 
-    A paper without a key has none for its answers either and is left out; each row of a
-    repeated key gets its pairs. Of a long question list the open pairs are found by
-    key alone, before the other columns of the papers join them.
+    A paper without a key, or a question without a number, has none for its answers either
+    and is left out; each row of a repeated key, or number, gets its pairs.
     """
-    papers = papers.dropna(subset=list(keys))
-    if inline_questions(questions) is None:
-        answered = responses.select(*keys, "q_idx").distinct()
-        pairs = pair_questions(papers.select(*keys).distinct(), questions)
-        pairs = pairs.join(answered, [*keys, "q_idx"], "left_anti").select(*keys, "q_idx", "question")
-        return papers.join(pairs, list(keys)).select(*papers.columns, "q_idx", "question")
-    pending = pending_questions(papers, questions, responses, keys)
-    return pending.select(*papers.columns, F.inline("pending"))
+    left = open_questions(questions, responses, keys)
+    return left.ask(left.of(papers))
 
 
 def question_counts(responses: DataFrame) -> DataFrame:

@@ -9,12 +9,7 @@ from snowlit.functions.prompts import messages, page_prompt, request_json, text_
 from snowlit.functions.text import base64_text
 from snowlit.operators.content import Answerer, answer
 from snowlit.operators.pages import contexts, join_page_replies
-from snowlit.operators.questions import (
-    inline_questions,
-    pair_questions,
-    pending_pairs,
-    pending_questions,
-)
+from snowlit.operators.questions import open_questions, pair_questions, pending_pairs
 from snowlit.sources.files import read_responses, write_responses
 
 # Default system prompt and model settings.
@@ -31,26 +26,23 @@ def text_requests(
     responses: DataFrame,
     max_context_tokens: int = CONTEXT_TOKENS,
     max_chunks: int | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Prompts for the pairs still to be answered: ``(paper_id, q_idx, question, prompt)``.
 
-    Finished papers are dropped before any text is cut, each context is built once
-    per paper, and only then is it repeated per question. A paper without words
-    gives a NULL prompt. A paper without an id has no key for an answer and is left out;
-    each row of a repeated id gets its prompts.
+    Which papers are open is found by key; finished ones are dropped before any text is cut, and
+    their text is in no shuffle if the papers are stored with
+    :func:`snowlit.sources.files.write_papers`. Each context is built once per paper. ``tasks`` deals
+    the contexts over that many tasks, one copy for each paper, and prompts are made inside of them. A
+    paper without words gives a NULL prompt. A paper without an id has no key for an answer and
+    is left out; each row of a repeated id gets its prompts.
     """
-    papers = papers.filter("paper_id IS NOT NULL")
-    if inline_questions(questions) is None:
-        pairs = pending_pairs(papers.select("paper_id").distinct(), questions, responses)
-        open_papers = papers.join(pairs.select("paper_id").distinct(), "paper_id", "left_semi")
-        context = contexts(open_papers, max_context_tokens, max_chunks)
-        requests = context.join(pairs, "paper_id")
-    else:
-        pending = pending_questions(papers, questions, responses)
-        context = contexts(pending, max_context_tokens, max_chunks)
-        requests = context.select("paper_id", "context", F.inline("pending"))
+    left = open_questions(questions, responses)
+    context = contexts(left.of(papers), max_context_tokens, max_chunks).select("paper_id", "context")
+    if tasks is not None:
+        context = context.repartition(tasks)
     prompt = text_prompt(F.col("context"), F.col("question"))
-    return requests.select("paper_id", "q_idx", "question", prompt.alias("prompt"))
+    return left.ask(context).select("paper_id", "q_idx", "question", prompt.alias("prompt"))
 
 
 def page_requests(
@@ -100,21 +92,21 @@ def run_questions(
     stored = read_responses(
         spark, path, f"paper_id {key}, q_idx INT, response STRING, skipped BOOLEAN"
     )
-    requests = text_requests(papers, questions, stored, max_context_tokens, max_chunks)
-    write_responses(answer(requests, fn, batch_size, tasks), path)
+    requests = text_requests(papers, questions, stored, max_context_tokens, max_chunks, tasks)
+    write_responses(answer(requests, fn, batch_size), path)
 
 
 def whole_page_answers(answers: DataFrame, images: DataFrame) -> DataFrame:
     """One response ``(paper_id, q_idx, response, skipped)`` from the answers to all pages
-    of a paper. A question that still lacks a page has none yet; pages are counted by
-    their number. A paper of which no page has a reply is skipped."""
-    pages = (
-        images.dropna(subset=list(PAGE_KEYS)).select(*PAGE_KEYS).distinct()
-        .groupBy("paper_id").agg(F.count(F.lit(1)).alias("_pages"))
-    )
-    given = answers.groupBy("paper_id", "q_idx").agg(F.count(F.lit(1)).alias("_given"))
-    full = given.join(pages, "paper_id").filter("_given >= _pages").select("paper_id", "q_idx")
-    replies = answers.filter("response IS NOT NULL").withColumnRenamed("response", "reply")
+    of a paper. Only the pages that ``images`` has now count, each once: a question that lacks
+    one of them has no answer yet, and what was said of a page that is gone is left out. A paper of
+    which no page has a reply is skipped."""
+    pages = images.dropna(subset=list(PAGE_KEYS)).select(*PAGE_KEYS).distinct()
+    wanted = pages.groupBy("paper_id").agg(F.count(F.lit(1)).alias("_pages"))
+    current = answers.join(pages, list(PAGE_KEYS), "left_semi")
+    given = current.groupBy("paper_id", "q_idx").agg(F.count_distinct("page_no").alias("_given"))
+    full = given.join(wanted, "paper_id").filter("_given = _pages").select("paper_id", "q_idx")
+    replies = current.filter("response IS NOT NULL").withColumnRenamed("response", "reply")
     joined = join_page_replies(replies, ("paper_id", "q_idx"))
     return full.join(joined, ["paper_id", "q_idx"], "left").withColumn("skipped", F.col("response").isNull())
 

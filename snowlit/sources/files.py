@@ -218,12 +218,15 @@ def write_responses(df: DataFrame, path: str) -> None:
     """Append answers, one per (paper, question), or per page of it where there is a
     ``page_no``; pairs already answered stay as they are. A row with an ``error`` other than a missing text is stored as a failed attempt:
     the pair stays open and may be answered later. Of the stored table only the keys and
-    errors are read."""
+    errors are read. Of several rows of one key a finished one is stored rather than a failed one,
+    whatever their order, then the one with the least response."""
     keys = _keys(df.columns)
     columns = [*keys, "response", "skipped", "error"]
     if "error" not in df.columns:
         df = df.withColumn("error", F.lit(None).cast("string"))
-    df = df.select(*columns).dropDuplicates(keys)
+    best = Window.partitionBy(*keys).orderBy(F.coalesce(F.expr(FINISHED), F.lit(False)).desc(), "skipped", "response", "error")
+    repeated = F.lag(F.lit(True)).over(best).isNotNull()
+    df = df.select(*columns, repeated.alias("_repeated")).filter("NOT _repeated").select(*columns)
     stored = read_responses(df.sparkSession, path, df.schema).select(*keys)
     (
         df.join(stored, keys, "left_anti")
@@ -239,5 +242,17 @@ def read_works(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.schema(WORKS).format(fmt).load(path)
 
 
+def write_papers(papers: DataFrame, table: str, buckets: int, path: str | None = None) -> DataFrame:
+    """Store papers ``(paper_id, ...)`` as a table of the catalog, bucketed by their id, in the
+    warehouse or at ``path``.
+
+    Joins with lists of papers, such as those that are finished, then shuffle the list only and no
+    text. Take at least as many buckets as there are shuffle partitions.
+    """
+    writer = papers.repartition(buckets, "paper_id").write.mode("overwrite").bucketBy(buckets, "paper_id")
+    (writer if path is None else writer.option("path", path)).saveAsTable(table)
+    return papers.sparkSession.table(table)
+
+
 def read_topics(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.schema(TOPICS).format(fmt).load(path)

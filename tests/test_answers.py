@@ -36,8 +36,14 @@ from snowlit.operators.questions import (
     question_rollup,
     rollup_digits,
 )
-from snowlit.plans.question_run import page_requests, run_page_questions, run_questions, text_requests
-from snowlit.sources.files import read_responses
+from snowlit.plans.question_run import (
+    page_requests,
+    run_page_questions,
+    run_questions,
+    text_requests,
+    whole_page_answers,
+)
+from snowlit.sources.files import read_failures, read_responses, write_responses
 
 
 def value(spark, column):
@@ -55,11 +61,11 @@ def questions(spark):
     return spark.createDataFrame([(2, "Why?"), (1, "What?")], "q_idx INT, question STRING")
 
 
-@pytest.fixture(params=[False, True], ids=["inline", "joined"])
+@pytest.fixture(params=[False, True], ids=["one block", "many blocks"])
 def either_way(request, monkeypatch):
-    """Run with questions inside the plan, and with the joined form for long lists."""
+    """Run with all questions in one block, and with a block for each number."""
     if request.param:
-        monkeypatch.setattr(questions_module, "INLINE_QUESTIONS", 1)
+        monkeypatch.setattr(questions_module, "NUMBERS_PER_BLOCK", 1)
 
 
 def pairs(df):
@@ -393,3 +399,37 @@ def test_pairs_of_repeated_and_missing_ids(spark, questions, either_way):
     done = spark.createDataFrame([("p1", 1)], "paper_id STRING, q_idx INT")
     assert pairs(pending_pairs(papers, questions, done)) == [("p1", 2), ("p1", 2), ("p2", 1), ("p2", 2)]
     assert pairs(text_requests(papers, questions, done)) == [("p1", 2), ("p1", 2), ("p2", 1), ("p2", 2)]
+
+
+def test_missing_and_repeated_numbers(spark, either_way):
+    papers = spark.createDataFrame([("p", "a"), ("q", "b")], "paper_id STRING, text STRING")
+    asked = spark.createDataFrame([(1, "x"), (None, "y"), (2, "z"), (2, "w")], "q_idx INT, question STRING")
+    done = spark.createDataFrame([("p", 1), ("q", 2), (None, 2), ("p", None)], "paper_id STRING, q_idx INT")
+    expected = [("p", "w"), ("p", "z"), ("q", "x")]
+    for df in (pending_pairs(papers, asked, done), text_requests(papers, asked, done)):
+        assert sorted((r.paper_id, r.question) for r in df.collect()) == expected
+    assert len(pending_pairs(papers, asked, done.limit(0)).collect()) == 6
+    assert pending_pairs(papers, asked.limit(0), done).collect() == []
+    assert len(pair_questions(papers, asked).collect()) == 8
+
+
+@pytest.mark.parametrize("failed_first", [True, False])
+def test_a_good_answer_beats_a_failed_one_of_the_same_key(spark, tmp_path, failed_first):
+    rows = [("p", 1, None, True, "boom"), ("p", 1, "good", False, None), ("q", 1, None, True, "boom")]
+    df = spark.createDataFrame(
+        rows if failed_first else rows[::-1], "paper_id STRING, q_idx INT, response STRING, skipped BOOLEAN, error STRING"
+    )
+    write_responses(df.coalesce(1), f"{tmp_path}/a")
+    assert [tuple(r) for r in read_responses(spark, f"{tmp_path}/a").collect()] == [("p", 1, "good", False)]
+    assert [tuple(r) for r in read_failures(spark, f"{tmp_path}/a").collect()] == [("q", 1, "boom")]
+
+
+def test_whole_answers_are_of_the_pages_there_are(spark):
+    """Page 3 is gone, page 4 was never asked about; later it is."""
+    images = spark.createDataFrame([("p", n, b"x") for n in (1, 2, 4, 4)], "paper_id STRING, page_no INT, image BINARY")
+    schema = "paper_id STRING, page_no INT, q_idx INT, response STRING, skipped BOOLEAN"
+    said = [("p", n, 1, f"r{n}", False) for n in (1, 2, 3)]
+    assert whole_page_answers(spark.createDataFrame(said, schema), images).collect() == []
+    said += [("p", 4, 1, "r4", False), ("p", 4, 1, "r4", False)][:1]
+    whole = whole_page_answers(spark.createDataFrame(said, schema), images).collect()
+    assert [r.response for r in whole] == ["--- Page 1 ---\nr1\n\n--- Page 2 ---\nr2\n\n--- Page 4 ---\nr4"]

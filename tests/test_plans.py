@@ -124,6 +124,34 @@ def test_first_run_does_not_shuffle_text(spark, sf):
     assert "SortMergeJoin" not in text
 
 
+def shuffled_columns(df):
+    """The columns of each shuffle of a plan."""
+    text = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    return re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", text)
+
+
+@pytest.mark.parametrize("first_run", [True, False])
+def test_no_text_of_finished_papers_is_shuffled(spark, sf, conf, tmp_path, first_run):
+    """Papers stored by id, half of them finished, and no broadcast to help."""
+    from checks.cases import Tables
+    from snowlit.sources.files import write_papers
+
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.maxMetadataStringLength", "10000")
+    conf("spark.sql.debug.maxToStringFields", "200")
+    t = Tables(spark, sf)
+    papers = write_papers(t.papers, f"papers_{tmp_path.name}", 8, f"{tmp_path}/papers")
+    done = t.papers.filter("paper_id % 2 = 0").select("paper_id", F.explode(F.sequence(F.lit(1), F.lit(5))).alias("q_idx"))
+    requests = text_requests(papers, t.questions, done.limit(0) if first_run else done, tasks=3)
+    shuffles = shuffled_columns(requests)
+    assert shuffles and not any(re.search(r"\btext#", s) for s in shuffles)
+    # Contexts, of open papers alone, cross as they are, without prompts.
+    assert any("context#" in s for s in shuffles) and not any("prompt#" in s for s in shuffles)
+    n = t.papers.filter("true" if first_run else "paper_id % 2 = 1").count()
+    assert requests.count() == n * t.questions.count()
+    spark.sql(f"DROP TABLE papers_{tmp_path.name}")
+
+
 def test_stored_answers_are_read_by_key_only(spark, tmp_path):
     path = f"{tmp_path}/responses"
     schema = "paper_id STRING, q_idx INT, response STRING, skipped BOOLEAN"
