@@ -41,6 +41,20 @@ def doi_key(col: Column, case_sensitive: bool = False) -> Column:
     return plain if case_sensitive else F.lower(plain)
 
 
+# How a column says that it is the DOI key this library made, one row for each.
+_MADE_HERE = {"unique DOI key": True}
+
+
+def unique_key() -> Column:
+    """The ``doi_key`` of a table that has each key once, marked as such. The mark stays with the
+    column, also in stored tables; another column of that name does not have it."""
+    return F.col("doi_key").alias("doi_key", metadata=_MADE_HERE)
+
+
+def has_unique_key(df: DataFrame) -> bool:
+    return "doi_key" in df.columns and _MADE_HERE.items() <= df.schema["doi_key"].metadata.items()
+
+
 def graph_key(df: DataFrame, column: str, case_sensitive: bool = False) -> Column:
     """What graph steps and sets compare: the key of a DOI, NULL where there is none.
     Identifiers that are no text are compared as they are."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from snowlit.functions.doi import doi_key, is_valid_doi, normalize_doi, title_key
+from snowlit.functions.doi import doi_key, has_unique_key, is_valid_doi, normalize_doi, title_key, unique_key
 from snowlit.operators.skew import hot_keys, split_join
 
 # Outcome names, the HTTP status of a good fetch, the file suffix.
@@ -35,11 +35,11 @@ def unique_works(works: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per DOI key: ``(doi_key, work)``, the named columns in a struct.
 
     Copies of a work combine before the shuffle, which is the one the lookup join
-    needs anyway; the one with the fewest empty values stands for all. A table that already has a ``doi_key``, as :func:`write_catalogue`
-    makes it, is taken as it is.
+    needs anyway; the one with the fewest empty values stands for all. A
+    table with the ``doi_key`` of :func:`write_catalogue`, is taken as it is; a column that only has the name is not.
     """
     work = F.struct(*[F.col(c).alias(c) for c in columns])
-    if "doi_key" in works.columns:
+    if has_unique_key(works):
         return works.select("doi_key", work.alias("work"))
     return (
         works.filter(is_valid_doi(normalize_doi(F.col("doi"))))
@@ -54,7 +54,7 @@ def write_catalogue(works: DataFrame, table: str, buckets: int) -> DataFrame:
     Lookups against the result neither shuffle nor de-duplicate the works again.
     """
     columns = [c for c in works.columns if c != "doi_key"]
-    rows = unique_works(works, columns).select("doi_key", "work.*")
+    rows = unique_works(works, columns).select(unique_key(), "work.*")
     (
         rows.repartition(buckets, "doi_key")
         .write.mode("overwrite")
@@ -68,24 +68,26 @@ def write_catalogue(works: DataFrame, table: str, buckets: int) -> DataFrame:
 def _lookup(dois: DataFrame, *tables: DataFrame) -> DataFrame:
     """Left-join tables with one row per ``doi_key`` to the rows of ``dois``.
 
-    A worklist brings its ``doi_key``, one row each, and the partitioning it was
-    grouped by, so it is joined as it is. Other rows may repeat a DOI any number of
+    A worklist brings the ``doi_key`` that :func:`merge_worklists` marked, one row each, and
+    the partitioning it was grouped by, so it is joined as it is. Other rows, whatever
+    columns they have, are met by the key of their ``doi``. They may repeat it any number of
     times: hot keys are split, and rows that cannot match get scattered keys instead
     of one NULL, so that they do not pile up in one task.
     """
-    if "doi_key" in dois.columns:
+    if has_unique_key(dois):
         for table in tables:
             dois = dois.join(table, "doi_key", "left")
         return dois
     doi = F.col("doi")
     scattered = F.concat(F.lit("\0"), F.hex(F.xxhash64(*dois.columns)))
     key = F.when(is_valid_doi(normalize_doi(doi)), doi_key(doi)).otherwise(scattered)
-    keyed = dois.withColumn("doi_key", key)
+    keyed = dois.withColumn("_lookup", key)
     joined = tables[0]
     for table in tables[1:]:
         joined = joined.join(table, "doi_key", "left")
-    hot = hot_keys(keyed, "doi_key")
-    return split_join(keyed, joined, "doi_key", dois.columns, hot, "left").drop("doi_key")
+    joined = joined.withColumnRenamed("doi_key", "_lookup")
+    hot = hot_keys(keyed, "_lookup")
+    return split_join(keyed, joined, "_lookup", dois.columns, hot, "left").drop("_lookup")
 
 
 def resolve_dois(
@@ -104,7 +106,7 @@ def unresolved_dois(dois: DataFrame, works: DataFrame) -> DataFrame:
         .select(doi_key(F.col("doi")).alias("doi_key"))
         .distinct()
     )
-    if "doi_key" in works.columns:
+    if has_unique_key(works):
         known = works.select("doi_key")
     else:
         known = works.select(doi_key(F.col("doi")).alias("doi_key")).distinct()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from snowlit.functions.doi import doi_key, has_doi, is_valid_doi, normalize_doi
+from snowlit.functions.doi import doi_key, has_doi, is_valid_doi, normalize_doi, unique_key
 from snowlit.schemas import with_field
 
 # Reasons a DOI row is rejected.
@@ -40,7 +40,7 @@ def merge_worklists(*lists: DataFrame, case_sensitive: bool = False) -> DataFram
         reduce(DataFrame.unionAll, tagged)
         .groupBy("doi_key", *(["exact"] if case_sensitive else []))
         .agg(F.min("seen").alias("seen"))
-        .select("doi_key", "seen.doi", "seen.source", "seen.pos")
+        .select("doi_key" if case_sensitive else unique_key(), "seen.doi", "seen.source", "seen.pos")
     )
 
 

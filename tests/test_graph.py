@@ -22,6 +22,7 @@ from snowlit.operators.resolve import (
     resolve_dois,
     status_counts,
     unresolved_dois,
+    write_catalogue,
 )
 from snowlit.operators.skew import hot_keys, split_join
 from snowlit.operators.worklist import merge_worklists
@@ -331,3 +332,25 @@ def test_a_worklist_that_keeps_spellings_is_resolved(spark):
     refs = spark.createDataFrame([("10.1/A",), ("10.1/a",)], "doi STRING")
     found = resolve_dois(merge_worklists(refs, case_sensitive=True), works, ["title"])
     assert sorted((r.doi, r.work.title) for r in found.collect()) == [("10.1/A", "T"), ("10.1/a", "T")]
+
+
+def test_a_column_called_doi_key_is_just_a_column(spark, tmp_path):
+    dois = spark.createDataFrame([("10.1/a", "other"), ("10.1/A", None), ("x", "10.1/a")], "doi STRING, doi_key STRING")
+    works = spark.createDataFrame(
+        [("10.1/a", "T", ("u",), "wrong"), ("10.1/A", "T", ("u",), "10.1/b")],
+        "doi STRING, title STRING, primary_location STRUCT<pdf_url: STRING>, doi_key STRING",
+    )
+    got = sorted((r.doi, r.doi_key, r.work and r.work.title) for r in resolve_dois(dois, works, ["title"]).collect())
+    assert got == [("10.1/A", None, "T"), ("10.1/a", "other", "T"), ("x", "10.1/a", None)]
+    assert unresolved_dois(dois, works).collect() == []
+    crawl = spark.createDataFrame([("10.1/a", 200, True)], "doi STRING, http_status INT, body_is_pdf BOOLEAN")
+    log = classify_download(dois, works, crawl)
+    assert log.columns == ["doi", "doi_key", "status", "path"]
+    assert sorted(r.status for r in log.collect()) == ["ERROR", "SUCCESS", "SUCCESS"]
+    stored = write_catalogue(works, f"keyed_{tmp_path.name}", 2)
+    assert resolve_dois(merge_worklists(dois), stored, ["title"]).filter("work IS NULL").count() == 1
+    merge_worklists(dois).write.parquet(f"{tmp_path}/list")
+    again = spark.read.parquet(f"{tmp_path}/list")
+    assert "Window" not in classify_download(again, stored, crawl)._jdf.queryExecution().toString()
+    assert classify_download(again, stored, crawl).filter("status = 'SUCCESS'").count() == 1
+    spark.sql(f"DROP TABLE keyed_{tmp_path.name}")
