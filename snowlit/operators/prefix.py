@@ -29,11 +29,12 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def _hashable(kind: T.DataType) -> bool:
+def comparable(kind: T.DataType) -> bool:
+    """Whether values of the type have a hash and an order."""
     if isinstance(kind, T.ArrayType):
-        return _hashable(kind.elementType)
+        return comparable(kind.elementType)
     if isinstance(kind, T.StructType):
-        return all(_hashable(f.dataType) for f in kind)
+        return all(comparable(f.dataType) for f in kind)
     return not isinstance(kind, (T.MapType, T.VariantType))
 
 
@@ -80,7 +81,7 @@ def running_sums(
 
     small = result(summing(rows.join(large, by, "left_anti"), by))
     places = max(RANGES_PER_PLACE * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // ROWS_PER_PART))
-    fields = [F.col("_row")[f.name] for f in df.schema if _hashable(f.dataType)]
+    fields = [F.col("_row")[f.name] for f in df.schema if comparable(f.dataType)]
     dealt = (
         rows.join(large.select(*by), by, "left_semi")
         .withColumns({"_hash": F.xxhash64(*fields) if fields else F.lit(0), "_copy": F.monotonically_increasing_id()})
