@@ -359,13 +359,14 @@ def train(labelled: DataFrame, text="text", spans="spans", rows: int = TRAIN_ROW
 def label_by_patterns(docs: DataFrame, rows: int = TRAIN_ROWS, doc_id="doc_id", text="text") -> DataFrame:
     """A labelled table (text, spans) where none was made by hand: up to ``rows`` documents,
     chosen by a hash of their id, with the spans of the fixed patterns."""
-    keys = docs.select(F.col(doc_id).alias("_key")).distinct().orderBy(F.xxhash64("_key")).limit(rows)
-    some = docs.join(F.broadcast(keys), F.col(doc_id).eqNullSafe(F.col("_key")), "left_semi")  # ``rows`` keys
+    docs = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
+    keys = docs.select(F.col("id").alias("key")).distinct().orderBy(F.xxhash64("key")).limit(rows)
+    some = docs.join(F.broadcast(keys), F.col("id").eqNullSafe(F.col("key")), "left_semi")  # ``rows`` keys
 
     def make():
         return lambda c: {"text": c["text"], "spans": [written(base_spans(t)) for t in c["text"]]}
 
-    return map_rows(some.select(F.col(text).cast("string").alias("text")), make, "text STRING, spans STRING")
+    return map_rows(some.select("text"), make, "text STRING, spans STRING")
 
 
 def find(docs: DataFrame, crf: Crf, doc_id="doc_id", text="text") -> DataFrame:

@@ -3,7 +3,8 @@
 Every text is measured once. Each (language, source) group then gets a quantile sketch
 per measure: counts over buckets with a fixed relative width of 1/32, so two sketches
 merge by adding counts, in any order, with one result. The fences of a group come from
-its own quartiles, and a join brings them back to the measured documents.
+its own quartiles, drawn towards and bounded by those of its language and of all documents, whose
+sketches are the merged ones, and a join brings them back to the measured documents.
 
 Defined cases. Null text: no words, all counts 0, so the base rules fail it. Null
 language or source: a group of its own. Null or repeated ids: every row is measured and
@@ -13,6 +14,7 @@ returned by itself. Empty table: empty result. Columns beside the four named are
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -39,6 +41,9 @@ MEASURES = {
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 # A fence stands this many spreads beyond its quartile.
 REACH = 3
+# Documents of the larger group that count with those of a smaller one, and how many spreads
+# of the language a fence may be out.
+PRIOR, BOUND = 4, 3
 
 
 def measure_text(text: str | None) -> tuple[int, int, int, int, int, int]:
@@ -143,26 +148,65 @@ def merge_sketches(*parts: DataFrame) -> DataFrame:
     return all_parts.groupBy("lang", "source", "measure", "bucket").agg(F.sum("n").alias("n"))
 
 
-def fences(sketches: DataFrame, reach: int = REACH) -> DataFrame:
-    """(lang, source, <measure>_low, <measure>_high) from the quartiles of each sketch."""
-    group = Window.partitionBy("lang", "source", "measure")
+def quartiles(sketches: DataFrame, by: Sequence[str] = ("lang", "source")) -> DataFrame:
+    """(*by, measure, q1, q3, total) of the sketches merged to the groups of ``by``."""
+    merged = sketches.groupBy(*by, "measure", "bucket").agg(F.sum("n").alias("n"))
+    group = Window.partitionBy(*by, "measure")
     below = F.sum("n").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
     floor = F.when(F.col("bucket") < 64, F.col("bucket").cast("bigint")).otherwise(
         F.expr("shiftleft(CAST(bucket - 32 * (bucket div 32 - 1) AS BIGINT), CAST(bucket div 32 - 1 AS INT))")
     )
-    ranked = sketches.select(
-        "lang", "source", "measure", floor.alias("value"), below.alias("below"), F.sum("n").over(group).alias("total")
-    )
-    quartiles = ranked.groupBy("lang", "source", "measure").agg(
+    ranked = merged.select(*by, "measure", floor.alias("value"), below.alias("below"), F.sum("n").over(group).alias("total"))
+    return ranked.groupBy(*by, "measure").agg(
         F.min(F.when(F.col("below") * 4 >= F.col("total"), F.col("value"))).alias("q1"),
         F.min(F.when(F.col("below") * 4 >= F.col("total") * 3, F.col("value"))).alias("q3"),
+        F.max("total").alias("total"),
     )
-    columns = []
-    for name, (_, least) in MEASURES.items():
-        q1, q3 = (F.max(F.when(F.col("measure") == name, F.col(q))) for q in ("q1", "q3"))
-        spread = F.greatest(q3 - q1, F.lit(least).cast("bigint")) * reach
-        columns += [(q1 - spread).alias(f"{name}_low"), (q3 + spread).alias(f"{name}_high")]
-    return quartiles.groupBy("lang", "source").agg(*columns)
+
+
+def _least() -> F.Column:
+    """The least spread of the measure of a row."""
+    return F.coalesce(*[F.when(F.col("measure") == name, F.lit(least)) for name, (_, least) in MEASURES.items()]).cast("bigint")
+
+
+def _by_group(limits: DataFrame) -> DataFrame:
+    """(lang, source, measure, low, high) -> (lang, source, <measure>_low, <measure>_high)."""
+    columns = [
+        F.max(F.when(F.col("measure") == name, F.col(side))).alias(f"{name}_{side}") for name in MEASURES for side in ("low", "high")
+    ]
+    return limits.groupBy("lang", "source").agg(*columns)
+
+
+def fences(sketches: DataFrame, reach: int = REACH) -> DataFrame:
+    """(lang, source, <measure>_low, <measure>_high) from the quartiles of each sketch."""
+    spread = F.greatest(F.col("q3") - F.col("q1"), _least()) * reach
+    return _by_group(quartiles(sketches).select("*", (F.col("q1") - spread).alias("low"), (F.col("q3") + spread).alias("high")))
+
+
+def pooled_fences(sketches: DataFrame, reach: int = REACH, prior: int = PRIOR, bound: int = BOUND) -> DataFrame:
+    """As :func:`fences`, steadied by the sketches of the language and of all documents.
+
+    Where quartiles of a group lie further out than those of its language they are drawn towards
+    them, and these towards those of all documents, as if ``prior`` documents of the larger group were in
+    the smaller one. No fence is further out than ``bound`` spreads beyond the quartiles of the
+    language, so a group that is mostly junk, or too small to tell, does not set its own standard.
+    """
+
+    def drawn(groups: DataFrame, larger: DataFrame, on: F.Column) -> DataFrame:
+        met = groups.join(larger.withColumnsRenamed({c: f"_{c}" for c in larger.columns}), on)
+        toward = lambda q: F.expr(f"(total * {q} + {prior} * _{q}) div (total + {prior})")
+        return met.withColumns({"q1": F.greatest("q1", toward("q1")), "q3": F.least("q3", toward("q3"))})
+
+    same = F.col("measure") == F.col("_measure")
+    all_ = quartiles(sketches, ())
+    langs = drawn(quartiles(sketches, ("lang",)), all_, same).select("lang", "measure", "q1", "q3")
+    langs = langs.withColumn("spread", F.greatest(F.col("q3") - F.col("q1"), _least()))
+    own = drawn(quartiles(sketches), stored(langs, "language-quartiles"), same & F.col("lang").eqNullSafe(F.col("_lang")))
+    spread = F.greatest(F.col("q3") - F.col("q1"), _least()) * reach
+    return _by_group(own.select(
+        "lang", "source", "measure", F.greatest(F.col("q1") - spread, F.col("_q1") - F.col("_spread") * bound).alias("low"),
+        F.least(F.col("q3") + spread, F.col("_q3") + F.col("_spread") * bound).alias("high"),
+    ))
 
 
 def judge(measured: DataFrame, limits: DataFrame) -> DataFrame:
@@ -193,12 +237,13 @@ def judge(measured: DataFrame, limits: DataFrame) -> DataFrame:
 def quality(docs: DataFrame, doc_id="doc_id", text="text", lang="lang", source="source", reach: int = REACH) -> DataFrame:
     """Measures and verdict of every document; see the module for the defined cases."""
     measured = stored(measure(docs, doc_id, text, lang, source), "quality-measures")
-    limits = stored(fences(sketch(measured), reach), "quality-fences")
+    limits = stored(pooled_fences(stored(sketch(measured), "quality-sketches"), reach), "quality-fences")
     return judge(measured, limits)
 
 
 def keep_good(docs: DataFrame, doc_id="doc_id", text="text", lang="lang", source="source", reach: int = REACH) -> DataFrame:
     """The rows of ``docs`` that :func:`quality` keeps, with their columns. The second pass
     measures again instead of moving whole texts to their verdicts."""
-    limits = stored(fences(sketch(measure(docs, doc_id, text, lang, source)), reach), "quality-fences")
+    sketches = stored(sketch(measure(docs, doc_id, text, lang, source)), "quality-sketches")
+    limits = stored(pooled_fences(sketches, reach), "quality-fences")
     return judge(measure_rows(docs, text, lang, source), limits).filter("kept").select("row.*")

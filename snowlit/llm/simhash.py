@@ -20,6 +20,7 @@ rows: each gives a row. Empty table: empty result. Other columns are ignored.
 from __future__ import annotations
 
 import itertools
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,6 +32,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from snowlit.llm.common import map_rows, slices, stored, type_of
 from snowlit.llm.components import components
+from snowlit.operators.prefix import comparable
 
 SHINGLE = 4
 SEED = 42
@@ -260,15 +262,16 @@ def keep_one(docs: DataFrame, rooted: DataFrame, mark: Callable[[str | None], in
     unsigned ``mark`` of a text that their ``fp`` holds."""
     found = stored(rooted, "grouped")
     named = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    kept = f"kept_{uuid.uuid4().hex}"  # no column of the documents
     keep = (
         found.groupBy("doc_id").agg(F.bool_or(named).alias("names"), F.count(F.lit(1)).alias("n"))
-        .filter("names").select(F.col("doc_id").alias("_keep"), (F.col("n") > 1).alias("_many"))
+        .filter("names").select(F.col("doc_id").alias(kept), (F.col("n") > 1).alias("_many"))
     )
     keep = stored(keep, "kept-ids")
 
     def chosen(which):
         # The kept ids grow with the corpus, so they are never broadcast: one plan at any size.
-        return docs.join(keep.filter(which).hint("merge"), F.col(doc_id).eqNullSafe(F.col("_keep")), "left_semi")
+        return docs.join(keep.filter(which).hint("merge"), F.col(doc_id).eqNullSafe(F.col(kept)), "left_semi")
 
     once = chosen(~F.col("_many"))
     if keep.filter("_many").isEmpty():
@@ -278,7 +281,9 @@ def keep_one(docs: DataFrame, rooted: DataFrame, mark: Callable[[str | None], in
     met = _with_fingerprints(chosen("_many"), text, mark).join(
         ours, F.col("row")[doc_id].eqNullSafe(F.col("_id")) & (F.col("fp") == F.col("_fp"))
     )
-    first = Window.partitionBy("root").orderBy(*[F.col("row")[c].asc_nulls_last() for c in docs.columns])
+    # Maps have no order; written out they do.
+    order = [F.col("row")[f.name] if comparable(f.dataType) else F.to_json(F.struct(F.col("row")[f.name])) for f in docs.schema]
+    first = Window.partitionBy("root").orderBy(*[c.asc_nulls_last() for c in order])
     return once.unionByName(met.withColumn("nth", F.row_number().over(first)).filter("nth = 1").select("row.*"))
 
 

@@ -15,7 +15,7 @@ blocks. The best k of each block are merged by query.
 Defined cases. A vector that is null, has a null or non-finite component or a null id takes
 no part; so do vectors whose length differs from the query's. Repeated ids: a row never
 meets its own id; each other row counts, ties go to the smaller id. Fewer than k others:
-all of them. Empty table: no rows.
+all of them. Empty table: no rows. Other columns are not read, so their names don't matter.
 """
 
 from __future__ import annotations
@@ -141,6 +141,14 @@ def best_of_block(
     return query_ids[query[keep]], ids[vector[keep]], scores[keep]
 
 
+def place_slots(spark, places: int) -> list[int]:
+    """For each place a number that Spark's hash partitioning puts there."""
+    tried = spark.range(64 * places).select(F.col("id").cast("int").alias("slot"))
+    found = tried.groupBy(F.pmod(F.hash("slot"), F.lit(places)).alias("place")).agg(F.min("slot").alias("slot"))
+    slots = {r.place: r.slot for r in found.collect()}  # ``places`` rows
+    return [slots.get(p, p) for p in range(places)]
+
+
 def top_k(
     vectors: DataFrame, queries: F.Column, k: int = 5, vec_id="vec_id", vector="embedding",
     vector_rows: int = VECTORS, query_rows: int = QUERIES,
@@ -156,20 +164,26 @@ def top_k(
     wanted = wanted.select(
         "dims", F.col("ids").alias("q_ids"), F.col("vals").alias("q_values"), F.explode(F.sequence(F.lit(0), F.lit(places - 1))).alias("place")
     )
-    rows = blocks(whole, vector_rows).withColumn("place", F.pmod(F.xxhash64("part"), F.lit(places)).cast("int"))
-    # Few bytes but much work: the number of places is kept.
-    rows, wanted = (side.repartition(places, "dims", "place") for side in (rows, wanted))
-    pairs = rows.join(wanted, ["dims", "place"]).select("ids", "vals", "q_ids", "q_values", "dims")
+    # Vector blocks are dealt in turn: the factor of a part's number has no divisor in common with them.
+    rows = blocks(whole, vector_rows).withColumn("place", F.pmod("part", F.lit(places)).cast("int"))
+    slots = place_slots(spark, places)
+    # Few bytes but much work: the number of places is kept, and each has a task of its own.
+    rows, wanted = (
+        side.withColumn("slot", F.get(F.array(*[F.lit(s) for s in slots]), F.col("place"))).repartition(places, "slot")
+        for side in (rows, wanted.withColumnRenamed("dims", "q_dims"))
+    )
+    pairs = rows.join(wanted, "slot").filter("dims = q_dims").select("ids", "vals", "q_ids", "q_values", "dims", "part")
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
     def run(batches):
         last, index = None, None
         for batch in batches:
             for i in range(batch.num_rows):
-                raw_ids, raw, q_ids, q, dims = (batch.column(j)[i].as_py() for j in range(5))
+                raw_ids, raw, q_ids, q, dims, part = (batch.column(j)[i].as_py() for j in range(6))
                 ids = np.frombuffer(raw_ids, "<i8")
-                if raw_ids != last:  # neighbours often share a block
-                    index, last = ImpactIndex(np.frombuffer(raw, "<i8").reshape(len(ids), dims)), raw_ids
+                # Neighbours often share a block. Blocks of one number, if a task ran twice, may still differ.
+                if (part, raw_ids, raw) != last:
+                    index, last = ImpactIndex(np.frombuffer(raw, "<i8").reshape(len(ids), dims)), (part, raw_ids, raw)
                 query_ids = np.frombuffer(q_ids, "<i8")
                 found = best_of_block(index, ids, query_ids, np.frombuffer(q, "<i8").reshape(len(query_ids), dims), k)
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], schema=schema)

@@ -29,5 +29,6 @@ def clashing(df):
     """The same table with columns whose names operators could use themselves."""
     from pyspark.sql import functions as F
 
-    names = ["fp", "row", "n", "list", "pair", "units", "rank", "bucket", "first", "last", "start", "end", "ids", "kept", "node", "root", "shard"]
+    names = ["fp", "row", "n", "list", "pair", "units", "rank", "bucket", "first", "last", "start", "end", "ids", "kept", "node", "root", "shard",
+        "_key", "_keep", "_many", "_least", "_id", "_fp", "_hot", "_split", "_pair", "_lang", "_source", "least", "id", "key"]
     return df.withColumns({n: F.lit("x") for n in names})

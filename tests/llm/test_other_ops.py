@@ -89,6 +89,16 @@ def test_top_k_matches_brute_force(spark, sf):
         assert Counter(map(tuple, got.collect())) == plain_top(rows)
 
 
+def test_top_k_repeated_ids_in_several_blocks(spark, conf):
+    """Blocks with the same ids and other vectors, one after the other in a task."""
+    rows = [(1, [1.0, 0.0]), (100, [0.0, 1.0]), (1, [0.0, 5.0]), (100, [0.0, 1.0])]
+    vectors = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<FLOAT>").coalesce(1)
+    conf("spark.sql.shuffle.partitions", "1")
+    got = topk.top_k(vectors, F.col("vec_id") == 100, 5, vector_rows=2)
+    # Both rows of the query's id ask, and each meets both rows of the other.
+    assert [r.score for r in got.orderBy("rank").collect()] == [327680, 327680, 0, 0]
+
+
 def test_top_k_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, -2.0]), (1, [1.0, -2.0]), (2, [1.0, -2.0]), (3, [nan, 1.0]), (4, [inf, 1.0]), (5, None), (6, [None, 1.0]),
@@ -198,6 +208,18 @@ def test_pipeline_stages(spark, sf, odd, none):
             docs = got
 
 
+def test_pipeline_stages_with_clashing_names(spark, sf, odd):
+    """Extra columns with the operators' own names, and a map, go through all stages."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60).unionByName(odd)
+    docs = queries.stored(clashing(docs).withColumn("a map", F.map_from_arrays(F.array(F.lit("k")), F.array("doc_id"))), "test-clashing")
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        got = queries.stored(stage(spark, docs, sf), f"test-clash-{i}")
+        if i < len(corpus_pipeline.STAGES) - 1:
+            assert got.dtypes == docs.dtypes
+        docs = got
+    assert docs.count() > 50
+
+
 def test_queries_are_whole(spark, sf):
     n = spark.read.parquet(f"{sf}/documents.parquet").count()
     for name in ("op2_pii", "op3_quality_rules", "op7_simhash", "op8_token_ids", "op9_bpe"):

@@ -65,6 +65,17 @@ def test_quality_verdict_depends_on_the_group(spark):
     assert not kept.pop(50) and not kept.pop(51) and all(kept.values())
 
 
+def test_junk_does_not_set_its_own_standard(spark):
+    """Three quarters of one source, and half of a tiny one, are symbols."""
+    clean = lambda i: " ".join(f"w{i}x{k}" for k in range(80))
+    junk = lambda i: " ".join(f"w{i}z{k} ###$$$|||" for k in range(40))
+    rows = [(i, clean(i), "en", "ok", 0) for i in range(300)] + [(1000 + i, clean(1000 + i), "en", "bad", 0) for i in range(10)]
+    rows += [(2000 + i, junk(i), "en", "bad", 0) for i in range(30)] + [(1500, clean(1500), "en", "tiny", 0), (2500, junk(99), "en", "tiny", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert {(r.doc_id >= 2000, r.kept) for r in quality.quality(docs).collect()} == {(False, True), (True, False)}
+    assert quality.keep_good(docs).count() == 311
+
+
 def test_keep_good_returns_whole_rows(odd, documents):
     for df in (documents, odd):
         good = Counter(r.doc_id for r in quality.quality(df).collect() if r.kept)
