@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,33 +40,79 @@ def frontier_ok(frontier: DataFrame, log: DataFrame, case_sensitive: bool = Fals
 
 @dataclass(frozen=True)
 class Edges:
-    """The distinct edges ``(src, dst, m)`` by key, ``m`` the number of copies, and the
-    sources with very many of them. ``dealt``: their edges carry the number of their split."""
+    """The distinct edges ``(src, dst, m)`` by key, ``m`` the number of copies, stored in buckets of
+    ``src``. Where ``hot`` lists sources with very many of them, these are dealt over splits and the
+    buckets are of ``(src, _split)``."""
 
     edges: DataFrame
-    hot: DataFrame | None
-    dealt: bool = False
+    hot: DataFrame
+    buckets: int
 
     def of(self, frontier: DataFrame) -> DataFrame:
-        """The edges that leave the ``doi`` of a frontier without repeats."""
+        """The edges that leave the ``doi`` of a frontier without repeats. Edges stay in their buckets."""
         start = frontier.withColumnRenamed("doi", "src")
-        if self.dealt:
-            return join_dealt(self.edges, start, "src", self.hot)
-        return split_join(self.edges, start, "src", ["dst"], self.hot)
+        if "_split" not in self.edges.columns:
+            return self.edges.join(start, "src")
+        return join_dealt(self.edges, start, "src", self.hot)
 
 
-def _edge_table(citations: DataFrame | Edges, base: str, case_sensitive: bool) -> Edges:
+def _in_buckets(df: DataFrame, table: str, columns: Sequence[str], buckets: int, path: str | None, **options) -> None:
+    """Append to a bucketed table of the catalog, in the warehouse or at ``path``."""
+    writer = df.write.mode("append").bucketBy(buckets, *columns)
+    if "partition" in options:
+        writer = writer.partitionBy(options["partition"])
+    (writer if path is None else writer.option("path", path)).saveAsTable(table)
+
+
+def _store_edges(citations: DataFrame, table: str, buckets: int, case_sensitive: bool, path: str | None) -> Edges:
+    """Distinct edges as a bucketed table and, beside it, ``<table>_hot``."""
+    spark = citations.sparkSession
+    keyed = citations.select(*[graph_key(citations, c, case_sensitive).alias(c) for c in ("src", "dst")]).filter(
+        F.col("src").isNotNull() & F.col("dst").isNotNull()
+    )
+    # Keys cost more than a table of them: they are made once, then counted and dealt.
+    edges = write_step(keyed.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("m")), work_path(spark, "edges"))
+    found = hot_keys(edges, "src")
+    source = edges.schema["src"].dataType.simpleString()
+    hot = found if found is not None else spark.createDataFrame([], f"_hot {source}, _splits INT")
+    by = ["src"]
+    if found is not None:
+        split = F.pmod(F.xxhash64("dst"), F.coalesce("_splits", F.lit(1))).cast("int")
+        edges = edges.join(hot, F.col("src") == F.col("_hot"), "left").select("src", split.alias("_split"), "dst", "m")
+        by = ["src", "_split"]
+    _in_buckets(edges.repartition(buckets, *by), table, by, buckets, path and f"{path}/edges")
+    writer = hot.write.mode("append")
+    (writer if path is None else writer.option("path", f"{path}/hot")).saveAsTable(f"{table}_hot")
+    return Edges(spark.table(table), spark.table(f"{table}_hot"), buckets)
+
+
+def _edge_table(citations: DataFrame | Edges, work: Tables, case_sensitive: bool) -> Edges:
     """Narrow, and made once for all levels."""
     if isinstance(citations, Edges):
         return citations
-    edges = (
-        citations.select(*[graph_key(citations, c, case_sensitive).alias(c) for c in ("src", "dst")])
-        .filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
-        .groupBy("src", "dst")
-        .agg(F.count(F.lit(1)).alias("m"))
-    )
-    edges = write_step(edges, f"{base}/edges")
-    return Edges(edges, hot_keys(edges, "src"))
+    return _store_edges(citations, work.name("edges"), work.buckets, case_sensitive, f"{work.base}/citations")
+
+
+class Tables:
+    """Bucketed tables of one run, below the shared folder. Their entries in the catalog go when
+    the run ends; the files stay."""
+
+    def __init__(self, spark: SparkSession, name: str, buckets: int | None = None):
+        self.spark, self.base = spark, work_path(spark, name)
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self._id, self._names = self.base.rsplit("-", 1)[-1], []
+
+    def name(self, what: str) -> str:
+        name = f"{what}_{self._id}"
+        self._names += [name, f"{name}_hot"]
+        return name
+
+    def __enter__(self) -> Tables:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for name in self._names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def write_citations(citations: DataFrame, table: str, buckets: int, case_sensitive: bool = False) -> Edges:
@@ -73,28 +120,19 @@ def write_citations(citations: DataFrame, table: str, buckets: int, case_sensiti
     very many edges over several buckets; beside it ``<table>_hot``, the list of these.
 
     :func:`snowball` and :func:`snowball_walks` take the result in place of the edges and
-    shuffle only their frontier then. They have to treat case as this call does.
+    never shuffle an edge then. They have to treat case as this call does.
     """
     spark = citations.sparkSession
-    made = _edge_table(citations, work_path(spark, "citations"), case_sensitive)
-    source = made.edges.schema["src"].dataType.simpleString()
-    hot = made.hot if made.hot is not None else spark.createDataFrame([], f"_hot {source}, _splits INT")
-    hot.write.mode("overwrite").saveAsTable(f"{table}_hot")
-    split = F.pmod(F.xxhash64("dst"), F.coalesce("_splits", F.lit(1))).cast("int")
-    dealt = made.edges.join(hot, F.col("src") == F.col("_hot"), "left").select("src", split.alias("_split"), "dst", "m")
-    (
-        dealt.repartition(buckets, "src", "_split")
-        .write.mode("overwrite")
-        .bucketBy(buckets, "src", "_split")
-        .sortBy("src", "_split")
-        .saveAsTable(table)
-    )
+    for name in (table, f"{table}_hot"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    _store_edges(citations, table, buckets, case_sensitive, None)
     return read_citations(spark, table)
 
 
 def read_citations(spark: SparkSession, table: str) -> Edges:
     """What :func:`write_citations` stored."""
-    return Edges(spark.table(table), spark.table(f"{table}_hot"), True)
+    described = spark.sql(f"DESCRIBE EXTENDED {table}").filter("col_name = 'Num Buckets'").first()
+    return Edges(spark.table(table), spark.table(f"{table}_hot"), int(described.data_type))
 
 
 def _seed_keys(seeds: DataFrame, case_sensitive: bool) -> DataFrame:
@@ -113,38 +151,41 @@ def snowball(
 
     Works are told apart by the key of their DOI, which is also what the result shows.
     A work is expanded when first reached and never again, so cycles cost nothing.
-    Each level is one join and one distinct (combined before its shuffle) and is
-    written out before the next; the loop ends when a level finds nothing new. With
-    ``log``, only successfully downloaded works are expanded. A seed is in the result
-    if something cites it.
+    Edges, levels and downloads are kept in buckets of the same keys, so a level shuffles
+    only what it cites (distinct before the shuffle), and no edge and no earlier level again; the
+    loop ends when a level finds nothing new. With ``log``, only successfully downloaded works
+    are expanded. A seed is in the result if something cites it.
     """
     spark = seeds.sparkSession
-    base = work_path(spark, "snowball")
     start = _seed_keys(seeds, case_sensitive).distinct()
     if depth is not None and depth < 1:
         return start.limit(0).withColumn("level", F.lit(0))
-    edges = _edge_table(citations, base, case_sensitive)
-    if log is not None:
-        done = write_step(_done(log, case_sensitive).withColumnRenamed("_key", "doi"), f"{base}/done")
-    reader = spark.read.schema(with_field(start.schema, "level", IntegerType()))
-    found = f"{base}/found"
-
-    frontier, level = start, 0
-    while depth is None or level < depth:
-        level += 1
+    with Tables(spark, "snowball", citations.buckets if isinstance(citations, Edges) else None) as work:
+        edges = _edge_table(citations, work, case_sensitive)
+        done = None
         if log is not None:
-            frontier = frontier.join(done, "doi", "left_semi")
-        cited = (
-            edges.of(frontier.select("doi"))
-            .select(F.col("dst").alias("doi"))
-            .distinct()
-        )
-        if level > 1:
-            cited = cited.join(reader.parquet(found), "doi", "left_anti")
-        frontier = write_step(cited, f"{found}/level={level}")
-        if frontier.isEmpty():
-            break
-    return reader.parquet(found)
+            name = work.name("done")
+            _in_buckets(_done(log, case_sensitive).withColumnRenamed("_key", "doi"), name, ["doi"], work.buckets, f"{work.base}/done")
+            done = spark.table(name)
+        found, path = work.name("found"), f"{work.base}/found"
+        frontier, level = start, 0
+        while depth is None or level < depth:
+            level += 1
+            cited = _next_level(edges, frontier, spark.table(found) if level > 1 else None, done)
+            _in_buckets(cited.withColumn("level", F.lit(level)), found, ["doi"], work.buckets, path, partition="level")
+            frontier = spark.table(found).filter(F.col("level") == level).select("doi")
+            if frontier.isEmpty():
+                break
+    return spark.read.schema(with_field(start.schema, "level", IntegerType())).parquet(path)
+
+
+def _next_level(edges: Edges, frontier: DataFrame, found: DataFrame | None, done: DataFrame | None) -> DataFrame:
+    """What the frontier cites and no level has found. Edges, frontier, earlier levels and downloads
+    lie in the same buckets; only what is cited is shuffled, once, to its own."""
+    if done is not None:
+        frontier = frontier.join(done, "doi", "left_semi")
+    cited = edges.of(frontier.select("doi")).select(F.col("dst").alias("doi")).distinct()
+    return cited if found is None else cited.join(found.select("doi"), "doi", "left_anti")
 
 
 def snowball_walks(seeds: DataFrame, citations: DataFrame | Edges, depth: int = 1, case_sensitive: bool = False) -> DataFrame:
@@ -153,23 +194,23 @@ def snowball_walks(seeds: DataFrame, citations: DataFrame | Edges, depth: int =
     cycle or a hub does not multiply the data. A count that no long holds is NULL, and
     so are all that build on it."""
     spark = seeds.sparkSession
-    base = work_path(spark, "walks")
-    edges = _edge_table(citations, base, case_sensitive)
     frontier = _seed_keys(seeds, case_sensitive).groupBy("doi").agg(F.count(F.lit(1)).alias("n"))
     reader = spark.read.schema(with_field(frontier.schema, "level", IntegerType()))
     if depth < 1:
         return frontier.limit(0).withColumn("level", F.lit(0))
     ways = F.try_multiply("n", "m")
-    for level in range(1, depth + 1):
-        reached = (
-            edges.of(frontier)
-            .groupBy(F.col("dst").alias("doi"))
-            .agg(F.when(F.count(ways) == F.count(F.lit(1)), F.try_sum(ways)).alias("n"))
-        )
-        frontier = write_step(reached, f"{base}/levels/level={level}")
-        if frontier.isEmpty():
-            break
-    return reader.parquet(f"{base}/levels")
+    with Tables(spark, "walks", citations.buckets if isinstance(citations, Edges) else None) as work:
+        edges = _edge_table(citations, work, case_sensitive)
+        for level in range(1, depth + 1):
+            reached = (
+                edges.of(frontier)
+                .groupBy(F.col("dst").alias("doi"))
+                .agg(F.when(F.count(ways) == F.count(F.lit(1)), F.try_sum(ways)).alias("n"))
+            )
+            frontier = write_step(reached, f"{work.base}/levels/level={level}")
+            if frontier.isEmpty():
+                break
+    return reader.parquet(f"{work.base}/levels")
 
 
 def citation_counts(citations: DataFrame, case_sensitive: bool = False) -> DataFrame:

@@ -263,6 +263,32 @@ def test_stored_citations_are_not_shuffled_again(spark, conf, monkeypatch):
         spark.sql("DROP DATABASE graphs CASCADE")
 
 
+@pytest.mark.parametrize("hubs", [False, True])
+def test_levels_shuffle_only_what_they_cite(spark, citations, conf, monkeypatch, hubs):
+    """From level 2 on neither edges, nor earlier levels, nor downloads are shuffled."""
+    from snowlit.operators import citations as module
+
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    if hubs:
+        monkeypatch.setattr(skew, "ROWS_PER_SPLIT", 20)
+    plans = []
+    original = module._next_level
+
+    def seen(*tables):
+        df = original(*tables)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(module, "_next_level", seen)
+    log = spark.createDataFrame([(n, "SUCCESS") for n in ("a", "b", "c", "hub")], "doi STRING, status STRING")
+    for given in (None, log):
+        plans.clear()
+        snowball(seeds(spark, "a"), citations, 4, given).collect()
+        for plan in plans[1:]:
+            # What is cited; and the frontier and list of hubs, where there are hubs.
+            assert plan.count("Exchange hashpartitioning") == (3 if hubs else 1), plan
+
+
 def test_unresolved(spark, tables):
     dois = spark.createDataFrame([("10.1/OK",), ("10.9/x",), ("10.9/X ",), ("bad",), (None,)], "doi STRING")
     assert [r.doi_key for r in unresolved_dois(dois, tables[0]).collect()] == ["10.9/x"]
