@@ -18,6 +18,9 @@ from snowlit.operators.extract import extract_measurements, extract_references,
 from snowlit.operators.questions import pair_questions
 from snowlit.operators.worklist import check_dois, write_split
 from snowlit.sources.files import (
+    export_answer_files,
+    read_answer_files,
+    read_documents,
     read_questions,
     read_references,
     read_responses,
@@ -27,6 +30,7 @@ from snowlit.sources.files import (
     read_written_answers,
     scan_pdfs,
     write_answer_files,
+    write_documents,
     write_papers,
     write_questions,
     write_references,
@@ -85,13 +89,27 @@ def _(t):
     FROM supplier JOIN questions ON q_idx = s_nationkey % 5 + 1
 """)
 def _(t):
-    # Answers rendered, written one file each, read and parsed again.
-    path = work_path(t.spark, "answer-files")
+    # Answers rendered, kept packed, exported one file each, read and parsed again.
+    path, packed = work_path(t.spark, "answer-files"), work_path(t.spark, "answer-documents")
     answers = t.supplier.select(
         "s_suppkey", "s_name", (F.col("s_nationkey") % 5 + 1).cast("int").alias("q_idx")
     ).join(t.questions, "q_idx")
     document = render_answer(F.col("q_idx"), F.col("question"), F.col("s_name"))
-    write_answer_files(answers.select(F.col("s_suppkey").alias("paper_id"), "q_idx", document.alias("value")), path)
+    write_documents(answers.select(F.col("s_suppkey").cast("string").alias("paper_id"), "q_idx", document.alias("value")), packed)
+    export_answer_files(read_documents(t.spark, packed), path)
+    return parse_answers(read_answer_files(t.spark, path))
+
+
+@case("written_answers", views="questions", sql="""
+    SELECT CAST(n_nationkey AS VARCHAR) AS paper_id, q_idx, question, n_name AS response
+    FROM nation JOIN questions ON q_idx = n_regionkey + 1
+""")
+def _(t):
+    # Answers rendered, written by Spark's own text writer, a folder each, read and parsed again.
+    path = work_path(t.spark, "written-answers")
+    answers = t.nation.select("n_nationkey", "n_name", (F.col("n_regionkey") + 1).cast("int").alias("q_idx")).join(t.questions, "q_idx")
+    document = render_answer(F.col("q_idx"), F.col("question"), F.col("n_name"))
+    write_answer_files(answers.select(F.col("n_nationkey").alias("paper_id"), "q_idx", document.alias("value")), path)
     return parse_answers(read_written_answers(t.spark, path))
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow import fs as pa_fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -147,27 +150,85 @@ def read_saved_questions(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def file_name(paper_id: str) -> str:
+    """A paper's id as the name of a folder; :func:`read_answer_files` undoes it. The signs that
+    part names, and names that are dots only, are written as percent codes."""
+    name = paper_id.replace("%", "%25").replace("/", "%2F")
+    return name.replace(".", "%2E") if name.strip(".") == "" else name
+
+
 def read_answer_files(spark: SparkSession, path: str) -> DataFrame:
     """Saved answer documents ``(paper_id, q_idx, value)`` from ``<paper>/q<n>.md``
     files at any depth. A missing folder holds none."""
-    file = F.col("_metadata.file_path")
+    # Paths come with percent codes, but with a plain plus sign.
+    file = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    paper = F.url_decode(F.regexp_extract(file, ANSWER_FILE, 1))
+    for sign in ("/", ".", "%"):
+        paper = F.replace(paper, F.lit(f"%{ord(sign):02X}"), F.lit(sign))
 
     def read() -> DataFrame:
         return (
             spark.read.option("recursiveFileLookup", True)
             .option("pathGlobFilter", "*.md")
             .text(path, wholetext=True)
-            .select(
-                F.url_decode(F.regexp_extract(file, ANSWER_FILE, 1)).alias("paper_id"),
-                F.regexp_extract(file, ANSWER_FILE, 2).try_cast("int").alias("q_idx"),
-                "value",
-            )
+            .select(paper.alias("paper_id"), F.regexp_extract(file, ANSWER_FILE, 2).try_cast("int").alias("q_idx"), "value")
             .filter("q_idx IS NOT NULL")
         )
 
     return or_empty(spark, ANSWER_DOCUMENTS, read)
 
 
+def export_answer_files(documents: DataFrame, path: str) -> int:
+    """Write documents ``(paper_id, q_idx, value)`` as the ``<paper>/q<n>.md`` files that
+    :func:`read_answer_files` takes, from the tasks; the number of files written.
+
+    Files are for people. Tables of answers go to :func:`write_responses`, rendered documents to
+    :func:`write_documents`, which pack many into a file. ``path`` is a folder that all executors reach
+    and pyarrow can open. A file appears whole or not at all, and a task that runs again replaces its
+    files. Of several documents of one key the greatest is written; those without a key are left out, and an empty one is an empty file, of which Spark reads no row.
+    """
+    one = documents.dropna(subset=["paper_id", "q_idx", "value"]).groupBy(
+        F.col("paper_id").cast("string").alias("paper_id"), F.col("q_idx").cast("int").alias("q_idx")
+    ).agg(F.max("value").alias("value"))
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = opened(path)
+        made = set()
+        for batch in batches:
+            for paper, number, value in zip(*[batch.column(i).to_pylist() for i in range(3)]):
+                folder = f"{root}/{file_name(paper)}"
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
+                name = f"{folder}/q{number}.md"
+                part = f"{name}.{uuid.uuid4().hex}.part"
+                with store.open_output_stream(part) as out:
+                    out.write(value.encode())
+                store.move(part, name)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    return one.mapInArrow(write, "n BIGINT").agg(F.sum("n")).first()[0] or 0
+
+
+def opened(path: str) -> tuple[pa_fs.FileSystem, str]:
+    """The file system of a path and the path in it."""
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
+    if "://" in path:
+        return pa_fs.FileSystem.from_uri(path.rstrip("/"))
+    return pa_fs.LocalFileSystem(), path.rstrip("/")
+
+
+def write_documents(documents: DataFrame, path: str) -> None:
+    """Append rendered documents ``(paper_id, q_idx, value)``, many to a file."""
+    documents.select("paper_id", "q_idx", "value").write.mode("append").parquet(path)
+
+
+def read_documents(spark: SparkSession, path: str, schema: StructType | str = ANSWER_DOCUMENTS) -> DataFrame:
+    """What :func:`write_documents` stored; a missing folder holds none."""
+    return or_empty(spark, schema, lambda: spark.read.schema(schema).parquet(path))
+
+
 def write_answer_files(documents: DataFrame, path: str) -> None:
     """Add rendered documents ``(paper_id, q_idx, value)``, a folder with one file for each.
     They are for people to read; tables of answers go to :func:`write_responses`."""

@@ -9,6 +9,7 @@ from snowlit.functions.doi import has_doi
 from snowlit.operators.content import extract_content, register_handler
 from snowlit.operators.extract import parse_answers
 from snowlit.sources.files import (
+    export_answer_files,
     read_answer_files,
     read_question_lines,
     read_questions,
@@ -123,6 +124,20 @@ def test_answer_files(spark, tmp_path):
     assert read_answer_files(spark, f"{tmp_path}/none").count() == 0
 
 
+def test_exported_answer_files_are_read_again(spark, tmp_path):
+    rows = [
+        ("10.1/a b", 1, "x\n\ny\n"), ("10.1/a+b", 2, " "), ("100%2F", 1, "é"), ("..", 3, "dots"), ("a?#:", 10, "z"),
+        ("twice", 1, "a"), ("twice", 1, "b"), (None, 1, "no id"), ("no number", None, "v"), ("no text", 1, None),
+    ]
+    documents = spark.createDataFrame(rows, "paper_id STRING, q_idx INT, value STRING")
+    for _ in range(2):  # a second run replaces the files
+        assert export_answer_files(documents, f"file:{tmp_path}/tree") == 6
+    expected = sorted([*rows[:5], rows[6]])
+    assert sorted(map(tuple, read_answer_files(spark, f"{tmp_path}/tree").collect())) == expected
+    assert len([p for p in (tmp_path / "tree").rglob("*") if p.is_file() and p.suffix == ".md"]) == 6
+    assert export_answer_files(documents.limit(0), f"{tmp_path}/none") == 0
+
+
 def test_responses_are_never_overwritten(spark, tmp_path):
     path = f"{tmp_path}/responses"
     schema = "paper_id STRING, q_idx INT, response STRING, skipped BOOLEAN"
