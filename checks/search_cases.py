@@ -18,6 +18,7 @@ from snowlit.functions.terms import all_of, has_concept, has_keyword, has_topic
 from snowlit.operators.postings import (
     a_and_b,
     a_or_b,
+    ban_complements,
     cap_per_term,
     complement,
     match_ban_searches,
@@ -288,6 +289,12 @@ def _(t):
     return match_saved_searches(t.postings, t.searches, ban_only=False)
 
 
+def brand_bans(t):
+    """A search for each brand, which bans it."""
+    brands = t.postings.filter(F.startswith("term", F.lit("Brand"))).select("term").distinct()
+    return brands.select(F.col("term").alias("search_id"), "term", F.lit(False).alias("required"))
+
+
 @case("saved_search_bans", views="postings", sql="""
     WITH banned AS (SELECT DISTINCT term FROM postings WHERE starts_with(term, 'Brand'))
     SELECT b.term AS search_id, u.doi
@@ -295,9 +302,28 @@ def _(t):
     WHERE NOT EXISTS (SELECT 1 FROM postings p WHERE p.term = b.term AND p.doi = u.doi)
 """)
 def _(t):
-    brands = t.postings.filter(F.startswith("term", F.lit("Brand"))).select("term").distinct()
-    searches = brands.select(F.col("term").alias("search_id"), "term", F.lit(False).alias("required"))
-    return match_ban_searches(t.postings, searches)
+    return match_ban_searches(t.postings, brand_bans(t))
+
+
+@case("saved_search_ban_counts", views="postings", sql="""
+    WITH banned AS (SELECT DISTINCT term FROM postings WHERE starts_with(term, 'Brand'))
+    SELECT b.term AS search_id, (SELECT count(DISTINCT doi) FROM postings)
+         - (SELECT count(DISTINCT doi) FROM postings p WHERE p.term = b.term) AS n_dois
+    FROM banned b
+""")
+def _(t):
+    return ban_complements(t.postings, brand_bans(t)).counts()
+
+
+@case("saved_search_ban_members", views="postings", sql="""
+    SELECT DISTINCT x.term AS search_id, p.doi FROM postings p, postings x
+    WHERE x.term IN ('Brand#13', 'Brand#21')
+      AND NOT EXISTS (SELECT 1 FROM postings b WHERE b.term = x.term AND b.doi = p.doi)
+""")
+def _(t):
+    # Two of all searches are asked for; only these are written out.
+    kept = ban_complements(t.postings, brand_bans(t))
+    return kept.of(kept.searches.filter("search_id IN ('Brand#13', 'Brand#21')"))
 
 
 @case("term_counts", views="postings", sql="""

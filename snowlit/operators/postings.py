@@ -7,9 +7,12 @@ costs one row per map task, and the join after it reuses the same partitioning.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from snowlit.checkpoints import work_path, write_step
 from snowlit.functions.doi import graph_key
 from snowlit.operators.fanout import fan_out
 from snowlit.operators.skew import split_join
@@ -143,3 +146,49 @@ def match_ban_searches(
     slots = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     left = F.explode(F.array_except("searches", "banned")).alias("search_id")
     return fan_out(seen, everything, ["doi"], slots).select(left, "doi")
+
+
+@dataclass(frozen=True)
+class Complements:
+    """The answer to searches with only banned terms, as what it is not.
+
+    ``searches``: ``(search_id)``; ``seen``: ``(doi)``, the keys of all DOIs, once for all searches;
+    ``exceptions``: ``(search_id, doi)``, those that a search bans. All are stored tables, whose rows grow
+    with the DOIs and with what is banned, not with searches times DOIs.
+    """
+
+    searches: DataFrame
+    seen: DataFrame
+    exceptions: DataFrame
+
+    def counts(self) -> DataFrame:
+        """``(search_id, n_dois)``: how many DOIs each search matches. No pair is made."""
+        banned = self.exceptions.groupBy("search_id").agg(F.count(F.lit(1)).alias("n"))
+        matched = (F.lit(self.seen.count()) - F.coalesce("n", F.lit(0))).alias("n_dois")
+        return self.searches.join(banned, "search_id", "left").select("search_id", matched)
+
+    def matching(self, pairs: DataFrame) -> DataFrame:
+        """Those of the ``pairs`` (search_id, doi) that match. DOIs are keys, as in ``seen``."""
+        known = pairs.join(self.searches, "search_id", "left_semi").join(self.seen, "doi", "left_semi")
+        return known.join(self.exceptions, ["search_id", "doi"], "left_anti").select(*pairs.columns)
+
+    def of(self, chosen: DataFrame) -> DataFrame:
+        """``(search_id, doi)``: all DOIs of the ``chosen`` (search_id) searches."""
+        wanted = self.searches.join(chosen, "search_id", "left_semi")
+        banned = self.exceptions.join(chosen, "search_id", "left_semi")
+        pairs = fan_out(self.seen, write_step(wanted, work_path(chosen.sparkSession, "chosen-searches")), ["doi"])
+        return pairs.join(banned, ["search_id", "doi"], "left_anti").select("search_id", "doi")
+
+
+def ban_complements(
+    postings: DataFrame, searches: DataFrame, case_sensitive: bool = False, hot: DataFrame | None = None
+) -> Complements:
+    """:func:`match_ban_searches` without its pairs: what is seen and what is banned, stored."""
+    spark = postings.sparkSession
+    bans = _whole_searches(searches).filter("needed = 0")
+    ids = write_step(bans.select("search_id"), work_path(spark, "ban-searches"))
+    terms = bans.select("search_id", F.inline("terms")).filter(~F.col("required")).select("search_id", "term")
+    pairs = _pairs(postings, case_sensitive)
+    seen = write_step(pairs.select("doi").distinct(), work_path(spark, "seen-dois"))
+    banned = split_join(pairs, terms, "term", ["doi"], hot).select("search_id", "doi").distinct()
+    return Complements(ids, seen, write_step(banned, work_path(spark, "banned-dois")))

@@ -7,6 +7,7 @@ from snowlit.functions.terms import all_of, any_of, has_concept, has_keyword, ha
 from snowlit.operators.postings import (
     a_and_b,
     a_or_b,
+    ban_complements,
     cap_per_term,
     complement,
     match_saved_searches,
@@ -195,6 +196,26 @@ def test_saved_searches(postings, spark, monkeypatch):
     assert saved(postings.unionAll(postings), spark, rows) == expected
 
 
+def test_ban_searches_as_complements(postings, spark):
+    sets = {}
+    for term, doi in posting_rows():
+        sets.setdefault(term, set()).add(doi)
+    rows = [(n, "b", False) for n in range(100, 150)]
+    rows += [(4, "a", False), (4, "b", False), (5, "a", False), (6, "none", False), (7, "a", True), (None, "a", False)]
+    kept = ban_complements(postings, spark.createDataFrame(rows, "search_id INT, term STRING, required BOOLEAN"))
+    seen = set().union(*sets.values())
+    banned = {4: sets["a"] | sets["b"], 5: sets["a"], 6: set()} | {n: sets["b"] for n in range(100, 150)}
+    # What is stored grows with what is banned, not with searches times DOIs.
+    assert kept.seen.count() == len(seen) and kept.exceptions.count() == sum(map(len, banned.values()))
+    assert {r.search_id: r.n_dois for r in kept.counts().collect()} == {k: len(seen - v) for k, v in banned.items()}
+    chosen = spark.createDataFrame([(4,), (6,), (7,)], "search_id INT")
+    expected = sorted((n, d) for n in (4, 6) for d in seen - banned[n])
+    assert sorted(map(tuple, kept.of(chosen).collect())) == expected
+    asked = spark.createDataFrame([(n, d) for n in (4, 6, 7) for d in [*seen, "other"]], "search_id INT, doi STRING")
+    assert sorted(map(tuple, kept.matching(asked).collect())) == expected
+
+
+
 def test_universe_drops_missing(spark):
     df = spark.createDataFrame([("t", "a"), ("t", ""), ("u", None), ("u", "a")], "term STRING, doi STRING")
     assert found(seen_universe(df)) == ["a"]
