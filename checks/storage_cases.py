@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
@@ -131,6 +132,19 @@ def _(t):
     return read_responses(t.spark, path)
 
 
+@case("responses_of_two_jobs", views="responses", sql="""
+    SELECT CAST(paper_id AS VARCHAR) AS paper_id, q_idx, response, false AS skipped FROM responses
+""")
+def _(t):
+    # Two jobs at the same time, with a third of the papers in both: each has one answer.
+    path = work_path(t.spark, "responses")
+    rows = t.responses.select(F.col("paper_id").cast("string"), "q_idx", "response", F.lit(False).alias("skipped"))
+    halves = [rows.filter("CAST(paper_id AS INT) % 3 <> 0"), rows.filter("CAST(paper_id AS INT) % 3 <> 1")]
+    with ThreadPoolExecutor(2) as jobs:
+        list(jobs.map(lambda half: write_responses(half, path), halves))
+    return read_responses(t.spark, path)
+
+
 @case("measured_responses", views="responses", sql=MEASUREMENTS.format(source="responses") + """
     SELECT CAST(paper_id AS VARCHAR) AS paper_id, polymer, drug, water_ph, concentration, capacity
     FROM measured

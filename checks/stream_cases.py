@@ -12,6 +12,7 @@ from snowlit.streaming.jobs import (
     as_utc_instant,
     as_utc_wall_clock,
     dedup_stream,
+    first_seen_table,
     replace_table,
     status_stream,
     windowed_status,
@@ -74,6 +75,18 @@ def _(t):
     return t.spark.read.schema("doi_key STRING").parquet(f"{base}/table")
 
 
+@case("first_seen_ever", views="download_log", sql="SELECT DISTINCT lower(doi) AS doi_key FROM download_log")
+def _(t):
+    # The log comes in four batches, then once more with a new checkpoint.
+    base = work_path(t.spark, "first-seen-ever")
+    log = t.download_log
+    log.repartitionByRange(4, "ts").write.parquet(f"{base}/log")
+    for progress in ("progress", "new"):
+        stream = t.spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/log")
+        first_seen_table(stream, f"{base}/table", f"{base}/{progress}").awaitTermination()
+    return t.spark.read.schema("doi_key STRING").parquet(f"{base}/table").select("doi_key")
+
+
 @case("answer_stream", views="papers questions", sql="""
     SELECT p.paper_id, q.q_idx, 'q' || q.q_idx || ' on ' || p.paper_id AS response
     FROM papers p, questions q

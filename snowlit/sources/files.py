@@ -23,6 +23,7 @@ from snowlit.schemas import (
     TOPICS,
     WORKS,
 )
+from snowlit.sources.commits import committed, publish, read_commits, write_aside
 
 # File-name patterns.
 PDF_FILES = "*.[pP][dD][fF]"
@@ -257,12 +258,12 @@ def read_responses(spark: SparkSession, path: str, schema: StructType | str = RE
     return attempts.filter(FINISHED).select(*_keys(attempts.columns), "response", "skipped")
 
 
-def _attempts(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """All that was stored, with ``error``."""
+def _attempts(spark: SparkSession, path: str, schema: StructType | str, commits: Sequence[str] | None = None) -> DataFrame:
+    """All that was stored, or what these appends stored, with ``error``."""
     schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     if "error" not in schema.names:
         schema = StructType([*schema.fields]).add("error", "string")
-    return or_empty(spark, schema, lambda: spark.read.schema(schema).parquet(path))
+    return read_commits(spark, path, schema, committed(spark, path) if commits is None else commits)
 
 
 def read_failures(spark: SparkSession, path: str, schema: StructType | str = RESPONSES) -> DataFrame:
@@ -280,22 +281,31 @@ def write_responses(df: DataFrame, path: str) -> None:
     ``page_no``; pairs already answered stay as they are. A row with an ``error`` other than a missing text is stored as a failed attempt:
     the pair stays open and may be answered later. Of the stored table only the keys and
     errors are read. Of several rows of one key a finished one is stored rather than a failed one,
-    whatever their order, then the one with the least response."""
+    whatever their order, then the one with the least response.
+
+    Several jobs may append at the same time: rows are written aside and published at once. If another
+    job has published meanwhile, the keys that it has answered are taken out of the rows first, so each
+    key keeps one answer, that which was published first, and none is lost."""
     keys = _keys(df.columns)
     columns = [*keys, "response", "skipped", "error"]
     if "error" not in df.columns:
         df = df.withColumn("error", F.lit(None).cast("string"))
+    spark, schema = df.sparkSession, df.select(*columns).schema
     best = Window.partitionBy(*keys).orderBy(F.coalesce(F.expr(FINISHED), F.lit(False)).desc(), "skipped", "response", "error")
     repeated = F.lag(F.lit(True)).over(best).isNotNull()
-    df = df.select(*columns, repeated.alias("_repeated")).filter("NOT _repeated").select(*columns)
-    stored = read_responses(df.sparkSession, path, df.schema).select(*keys)
-    (
-        df.join(stored, keys, "left_anti")
-        .select(*columns)
-        .write.mode("append")
-        .partitionBy("q_idx")
-        .parquet(path)
-    )
+    rows = df.select(*columns, repeated.alias("_repeated")).filter("NOT _repeated").select(*columns)
+
+    def answered(commits: Sequence[str]) -> DataFrame:
+        return _attempts(spark, path, schema, commits).filter(FINISHED).select(*keys)
+
+    seen = committed(spark, path)
+    mine = write_aside(rows.join(answered(seen), keys, "left_anti").select(*columns), path, "q_idx")
+    while not publish(spark, path, mine, len(seen)):
+        before, seen = len(seen), committed(spark, path)
+        others = answered(seen[before:])
+        rows = _attempts(spark, path, schema, [mine])
+        if not rows.select(*keys).join(others, keys, "left_semi").isEmpty():
+            mine = write_aside(rows.join(others, keys, "left_anti").select(*columns), path, "q_idx")
 
 
 def read_works(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -13,10 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, StructType
 
+from snowlit.checkpoints import work_path, write_step
 from snowlit.functions.doi import doi_key, has_doi
 from snowlit.operators.questions import pending_pairs
 from snowlit.sources.files import FINISHED, PDF_FILES, or_empty
 
+# Hash partitions of the tables that streams ask what is known; fixed, for stored tables have it.
+KEY_PARTS = 64
+
 BINARY_FILE = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
@@ -43,6 +47,63 @@ def dedup_stream(df: DataFrame, time: str, delay: str, case_sensitive: bool = Fa
     )
 
 
+def key_part(key: Column) -> Column:
+    """The partition of a key in a table of :data:`KEY_PARTS` partitions."""
+    return F.pmod(F.xxhash64(key.cast("string")), F.lit(KEY_PARTS)).cast("int")
+
+
+def known(keys: DataFrame, key: str, path: str, schema: StructType) -> DataFrame:
+    """What a table stored in folders ``key_part=<n>`` has of the given keys. Only the folders
+    that a key falls into are listed and read."""
+    spark = keys.sparkSession
+    parts = [str(r[0]) for r in keys.select(key_part(F.col(key))).distinct().collect()]  # at most KEY_PARTS
+    if not parts:
+        return spark.createDataFrame([], schema)
+    folders = f"{path}/key_part={{{','.join(parts)}}}"
+    stored = or_empty(spark, schema, lambda: spark.read.schema(schema).option("basePath", path).parquet(folders))
+    return stored.select(*schema.names).join(keys.select(key).distinct(), key, "left_semi")
+
+
+def append_by_key(df: DataFrame, key: str, path: str) -> None:
+    """Append to such a table, each partition from one task of the write."""
+    part = key_part(F.col(key)).alias("key_part")
+    df.select("*", part).repartition("key_part").write.mode("append").partitionBy("key_part").parquet(path)
+
+
+def first_seen_table(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    time: str | None = None,
+    delay: str | None = None,
+    case_sensitive: bool = False,
+) -> StreamingQuery:
+    """Keep a table of all DOIs ever seen, each once, by ``doi_key``, however long ago it was.
+
+    A micro-batch asks the table for its own keys and appends the others, so there is no state and
+    a replayed batch, or a lost checkpoint, adds nothing twice. With ``time`` and ``delay``, DOIs
+    that return within the delay are dropped by keyed state first (:func:`dedup_stream`), which expires; the
+    table is then asked for the rest only, at the price of rows that come later than the delay: those are lost.
+    Of several rows of one DOI in a batch, any one stays. One stream per table.
+    """
+    if time is not None:
+        fresh = dedup_stream(stream, time, delay, case_sensitive)
+    else:
+        fresh = stream.filter(has_doi(F.col("doi"))).withColumn("doi_key", doi_key(F.col("doi"), case_sensitive))
+    schema = StructType([fresh.schema["doi_key"]])
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        rows = write_step(batch.dropDuplicates(["doi_key"]), work_path(batch.sparkSession, "first-seen"))
+        append_by_key(rows.join(known(rows, "doi_key", path, schema), "doi_key", "left_anti"), "doi_key", path)
+
+    return (
+        fresh.writeStream.foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def windowed_status(log: DataFrame, time: str = "ts", window: str = "1 hour") -> DataFrame:
     """Outcome counts per tumbling window; the same on a batch and on a stream."""
     return (
@@ -97,11 +158,12 @@ def answer_stream(
 
     ``respond`` turns pending pairs into rows with ``paper_id``, ``q_idx`` and more.
     Nothing stored is ever overwritten: a micro-batch leaves out the pairs that any batch
-    has answered, itself included, and appends the rest below ``batch_id=<n>``. So a
+    has answered, itself included, and appends the rest. So a
     replayed batch adds only what is missing, and a lost checkpoint, with other files in
-    other batches, loses no answer. Rows with an ``error`` do not count as answers.
+    other batches, loses no answer. Rows with an ``error`` do not count as answers. Answers are
+    stored in folders ``key_part=<n>`` by a hash of the paper; a micro-batch reads those of its own
+    papers, and of these the rows of its own papers go on. One stream per table.
     """
-    spark = papers.sparkSession
     key = (
         StructType([papers.schema["paper_id"]])
         .add("q_idx", IntegerType())
@@ -109,11 +171,9 @@ def answer_stream(
     )
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        stored = or_empty(spark, key, lambda: spark.read.schema(key).parquet(path))
-        done = stored.filter(FINISHED)
         fresh = batch.dropDuplicates(["paper_id"])
-        pending = pending_pairs(fresh, questions, done)
-        respond(pending).write.mode("append").parquet(f"{path}/batch_id={batch_id}")
+        done = known(fresh, "paper_id", path, key).filter(FINISHED)
+        append_by_key(respond(pending_pairs(fresh, questions, done)), "paper_id", path)
 
     return (
         papers.writeStream.foreachBatch(run)

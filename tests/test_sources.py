@@ -1,6 +1,7 @@
 """Readers and writers on temporary files."""
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,9 +9,12 @@ from pyspark.sql import functions as F
 from snowlit.functions.doi import has_doi
 from snowlit.operators.content import extract_content, register_handler
 from snowlit.operators.extract import parse_answers
+from snowlit.sources import files
+from snowlit.sources.commits import committed, publish, write_aside
 from snowlit.sources.files import (
     export_answer_files,
     read_answer_files,
+    read_failures,
     read_question_lines,
     read_questions,
     read_references,
@@ -149,6 +153,54 @@ def test_responses_are_never_overwritten(spark, tmp_path):
     ]
 
 
+RESPONSE_ROW = "paper_id STRING, q_idx INT, response STRING, skipped BOOLEAN, error STRING"
+
+
+def test_two_interleaved_writers(spark, tmp_path, monkeypatch):
+    path, real, tries = f"{tmp_path}/responses", files.publish, []
+    late = [("p", 1, "late", False, None), ("q", 1, "q", False, None), ("r", 1, None, True, "boom"), ("s", 1, "s", False, None)]
+    first = [("p", 1, "first", False, None), ("r", 1, "r", False, None), ("s", 1, None, True, "busy"), ("t", 1, None, True, "busy")]
+
+    def meanwhile(spark, path, commit, number):
+        tries.append(number)
+        if len(tries) == 1:  # the other job ends after this one has written, before it publishes
+            write_responses(spark.createDataFrame(first, RESPONSE_ROW), path)
+        return real(spark, path, commit, number)
+
+    monkeypatch.setattr(files, "publish", meanwhile)
+    write_responses(spark.createDataFrame(late, RESPONSE_ROW), path)
+    assert tries == [0, 0, 1]
+    got = sorted((r.paper_id, r.response) for r in read_responses(spark, path).collect())
+    assert got == [("p", "first"), ("q", "q"), ("r", "r"), ("s", "s")]
+    assert [r.paper_id for r in read_failures(spark, path).collect()] == ["t"]
+
+
+def test_many_writers_at_once(spark, tmp_path):
+    path = f"{tmp_path}/responses"
+
+    def write(n):
+        rows = [(f"p{i}", 1, f"by {n}", False, None) for i in range(n, n + 6)]
+        write_responses(spark.createDataFrame(rows, RESPONSE_ROW).coalesce(1), path)
+
+    with ThreadPoolExecutor(5) as pool:
+        list(pool.map(write, range(0, 15, 3)))
+    got = sorted(r.paper_id for r in read_responses(spark, path).collect())
+    assert got == sorted(f"p{i}" for i in range(18))
+    assert len(committed(spark, path)) == 5
+
+
+def test_a_job_that_died_leaves_nothing_to_read(spark, tmp_path):
+    path = f"{tmp_path}/responses"
+    answers = spark.createDataFrame([("p", 1, "lost", False, None)], RESPONSE_ROW)
+    write_aside(answers, path, "q_idx")
+    assert read_responses(spark, path).count() == 0
+    commit = write_aside(answers, path, "q_idx")
+    assert publish(spark, path, commit, 0)
+    assert not publish(spark, path, "another", 0)
+    assert read_responses(spark, path).count() == 1
+    assert committed(spark, path) == [commit]
+
+
 def test_catalogues(spark, tmp_path):
     works = {"doi": "10.1/a", "primary_location": {"pdf_url": None}, "topics": ["T1"], "extra": 1}
     (tmp_path / "works.json").write_text(json.dumps(works))

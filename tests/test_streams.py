@@ -11,7 +11,10 @@ from snowlit.streaming.jobs import (
     answer_stream,
     append_table,
     dedup_stream,
+    first_seen_table,
     ingest_stream,
+    key_part,
+    known,
     replace_table,
     status_stream,
     windowed_status,
@@ -64,6 +67,60 @@ def test_first_sighting(spark, tmp_path):
     assert run() == ["10.1/a", "10.1/a", "10.1/b", "10.1/c"]
 
 
+@pytest.mark.parametrize("bounded", [False, True])
+def test_first_seen_however_long_ago(spark, tmp_path, bounded):
+    folder = f"{tmp_path}/in"
+
+    def run(progress="progress"):
+        stream = spark.readStream.schema(LOG).parquet(folder)
+        bounds = {"time": "ts", "delay": "60 minutes"} if bounded else {}
+        query = first_seen_table(stream, f"{tmp_path}/out", f"{tmp_path}/{progress}", **bounds)
+        query.awaitTermination()
+        rows = query.lastProgress["stateOperators"][0]["numRowsTotal"] if bounded else 0
+        return sorted(r.doi_key for r in spark.read.parquet(f"{tmp_path}/out").collect()), rows
+
+    add(spark, folder, [(at(0), "10.1/A", "x"), (at(1), " 10.1/a", "x"), (at(2), None, "x")], LOG)
+    assert run()[0] == ["10.1/a"]
+    add(spark, folder, [(at(600 + i), f"10.1/b{i % 9}", "x") for i in range(18)], LOG)
+    everything = sorted(["10.1/a", *(f"10.1/b{i}" for i in range(9))])
+    assert run()[0] == everything
+    # Long after the delay: known DOIs are not new, and the state holds none of them.
+    add(spark, folder, [(at(9000), "10.1/a", "x"), (at(9001), "10.1/B3", "x")], LOG)
+    got, state = run()
+    assert got == everything and state <= 2
+    add(spark, folder, [(at(9500), "10.1/c", "x")], LOG)
+    everything = sorted([*everything, "10.1/c"])
+    assert run()[0] == everything
+    assert run("fresh")[0] == everything
+
+
+def test_known_keys_are_looked_up_in_their_partitions(spark, tmp_path):
+    questions = spark.createDataFrame([(1, "a"), (2, "b")], "q_idx INT, question STRING")
+    schema, out = "paper_id STRING", f"{tmp_path}/out"
+    respond = lambda pending: pending.select("paper_id", "q_idx", F.lit("r").alias("response"))
+
+    def run(number):
+        papers = spark.readStream.schema(schema).parquet(f"{tmp_path}/in{number}")
+        answer_stream(papers, questions, out, f"{tmp_path}/progress{number}", respond).awaitTermination()
+
+    add(spark, f"{tmp_path}/in1", [(f"p{i}",) for i in range(300)], schema)
+    run(1)
+    assert len(list((tmp_path / "out").glob("key_part=*"))) > 50
+    one = spark.createDataFrame([("p7",)], schema)
+    mine = one.select(key_part(F.col("paper_id"))).first()[0]
+    answers = known(one, "paper_id", out, spark.read.schema("paper_id STRING, q_idx INT").parquet(out).drop("key_part").schema)
+    assert answers.count() == 2 and {f.rsplit("/", 2)[1] for f in answers.inputFiles()} == {f"key_part={mine}"}
+    # All other partitions could not be read.
+    for file in (tmp_path / "out").glob("key_part=*/*.parquet"):
+        if file.parent.name != f"key_part={mine}":
+            file.write_bytes(b"no Parquet")
+            file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+    add(spark, f"{tmp_path}/in2", [("p7",)], schema)
+    run(2)
+    assert spark.read.parquet(f"{out}/key_part={mine}").filter("paper_id = 'p7'").count() == 2
+    assert known(one.limit(0), "paper_id", out, one.schema).count() == 0
+
+
 def test_status_windows_equal_batch(spark, tmp_path):
     rows = [(at(7 * i), f"10.1/{i}", "SUCCESS" if i % 3 else "ERROR") for i in range(60)]
     folder = f"{tmp_path}/in"
