@@ -2,24 +2,38 @@
 
 from __future__ import annotations
 
+import base64
 import json
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
 from checks.cases import case
+from snowlit.plans.paper_run import answer_documents, answer_papers
 from snowlit.plans.question_run import run_page_questions, run_questions, text_requests, whole_page_answers
 from checks.search_cases import catalogue
-from checks.text_cases import MEASUREMENTS, PAGE_PROMPT, REQUEST_VIEWS, REQUESTS, numbered
+from checks.text_cases import (
+    CONTEXT,
+    MEASUREMENTS,
+    PAGE_PROMPT,
+    PAPER_TEXT,
+    PROMPT,
+    REQUEST_VIEWS,
+    REQUESTS,
+    numbered,
+)
 from snowlit.checkpoints import work_path
 from snowlit.functions.doi import has_doi, is_pdf, topic_code
 from snowlit.functions.prompts import render_answer
+from snowlit.functions.text import base64_text
 from snowlit.operators.content import extract_content, register_handler
 from snowlit.operators.extract import extract_measurements, extract_references, parse_answers
 from snowlit.operators.questions import pair_questions
 from snowlit.operators.worklist import check_dois, write_split
 from snowlit.sources.files import (
+    collect_questions,
     export_answer_files,
+    opened,
     read_answer_files,
     read_documents,
     read_questions,
@@ -85,6 +99,22 @@ def _(t):
     return read_questions(t.spark, f"{path}/*")
 
 
+@case("mixed_questions", views="questions", sql="""
+    WITH listed AS (
+        SELECT 1 AS part, 'q' || s_suppkey || '.md' AS name, 'Who is ' || s_name || '?' AS question FROM supplier
+        UNION ALL SELECT 2, CAST(q_idx AS VARCHAR), question FROM questions
+        UNION ALL SELECT 3, 'q' || s_suppkey || '.md', 'Who is ' || s_name || '?' FROM supplier WHERE s_suppkey = 7)
+    SELECT CAST(row_number() OVER (ORDER BY part, name) AS INTEGER) AS q_idx, question FROM listed
+""")
+def _(t):
+    # A folder of files, a nested list of texts, and one file.
+    path = work_path(t.spark, "mixed-questions")
+    asked = F.concat(F.lit(" Who is "), "s_name", F.lit("?\n")).alias("value")
+    export_answer_files(t.supplier.select(F.lit("set").alias("paper_id"), F.col("s_suppkey").cast("int").alias("q_idx"), asked), path)
+    texts = [r.question for r in t.questions.orderBy("q_idx").collect()]
+    return collect_questions(t.spark, f"{path}/set", [texts[:2], [texts[2:]], [f"{path}/set/q7.md"]])
+
+
 @case("answer_files", views="questions", sql="""
     SELECT CAST(s_suppkey AS VARCHAR) AS paper_id, q_idx, question, s_name AS response
     FROM supplier JOIN questions ON q_idx = s_nationkey % 5 + 1
@@ -201,6 +231,48 @@ def pdf_folder(t):
     return path
 
 
+def paper_files(t):
+    """A file for each conversation, named by it, with its turns as marked pages in Base64."""
+    path = work_path(t.spark, "paper-files")
+    page = F.concat(F.lit("%PDF"), base64_text(F.col("text").cast("binary")))
+    content = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_no", page.alias("page")))), lambda p: p["page"]), "")
+    files = t.page_text.groupBy("paper_id").agg(content.alias("content")).select(F.col("paper_id").cast("string"), "content")
+
+    def write(batches):
+        for batch in batches:
+            store, root = opened(path)
+            store.create_dir(root, recursive=True)
+            for name, value in zip(*[column.to_pylist() for column in batch.columns]):
+                with store.open_output_stream(f"{root}/{name}.pdf") as out:
+                    out.write(value.encode())
+            yield batch.select(["paper_id"])
+
+    files.mapInArrow(write, "paper_id STRING").count()
+    return path
+
+
+@case("answers_from_files", views="page_text questions", sql=f"""
+    WITH whole AS ({PAPER_TEXT}),
+    papers AS (SELECT CAST(paper_id AS VARCHAR) AS paper_id, text FROM whole), {CONTEXT},
+    asked AS (SELECT paper_id, q_idx, question FROM papers, questions)
+    SELECT p.paper_id, p.q_idx, p.question, 'read ' || length({PROMPT}) || ' characters' AS response
+    FROM asked p JOIN ctx c ON c.paper_id = p.paper_id WHERE c.context IS NOT NULL
+""")
+def _(t):
+    # PDF files and question texts to answers, which are exported as files, read and parsed again.
+    def texts(content):
+        return [base64.b64decode(page).decode() for page in content.decode().split("%PDF")[1:]]
+
+    def reader(prompts):
+        return [f"read {len(prompt)} characters" for prompt in prompts]
+
+    register_handler("marked texts", texts)
+    path, tree = work_path(t.spark, "paper-answers"), work_path(t.spark, "paper-documents")
+    answer_papers(t.spark, paper_files(t), t.questions, "marked texts", path, reader, batch_size=16)
+    export_answer_files(answer_documents(t.questions, read_responses(t.spark, path)), tree)
+    return parse_answers(read_answer_files(t.spark, tree))
+
+
 def register_pages():
     def marked_pages(content):
         return content.decode().split("%PDF")[1:]

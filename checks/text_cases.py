@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from checks.cases import case
@@ -15,7 +17,7 @@ from snowlit.functions.prompts import (
     text_prompt,
 )
 from snowlit.functions.text import base64_text, estimate_tokens, word_count
-from snowlit.operators.content import answer
+from snowlit.operators.content import answer, check_replies
 from snowlit.operators.extract import (
     compare_runs,
     dedup_measurements,
@@ -43,7 +45,8 @@ from snowlit.operators.questions import (
     question_counts,
     question_rollup,
 )
-from snowlit.plans.question_run import page_requests, request_bodies, text_requests
+from snowlit.operators.worklist import split_errors
+from snowlit.plans.question_run import chat_answers, page_requests, request_bodies, text_requests
 
 # The words of a text, and the words cut into groups of {size}, in SQL.
 WORDS = r"list_filter(regexp_split_to_array({text}, '\s+'), lambda w: w <> '')"
@@ -285,6 +288,20 @@ def _(t):
     return answer(text_requests(t.papers, t.questions, t.answered), reader, batch_size=16)
 
 
+@case("chat_answers", views=REQUEST_VIEWS, sql=REQUESTS + """
+    SELECT paper_id, q_idx, CASE WHEN length(prompt) % 2 = 0 THEN 'read ' || length(prompt) END AS response,
+           length(prompt) % 2 = 1 AS skipped, CASE WHEN length(prompt) % 2 = 1 THEN 'busy' END AS error
+    FROM requests
+""")
+def _(t):
+    # The function takes request bodies and gives JSON replies; some are errors.
+    def reader(bodies):
+        sent = [len(json.loads(body)["messages"][1]["content"]) for body in bodies]
+        return [json.dumps({"error": "busy"} if n % 2 else {"message": {"content": f"read {n}"}}) for n in sent]
+
+    return chat_answers(text_requests(t.papers, t.questions, t.answered), reader, batch_size=16)
+
+
 PAGE_PROMPT = f"""
     '[image]' || {NL2} || 'Page ' || (page_no + 1) || ' of the paper:' || {NL2} || 'Question: '
     || question || {NL2} || 'Please answer based only on the page image above.'
@@ -345,6 +362,14 @@ def _(t):
     return t.replies.select("paper_id", reply_content(F.col("reply")).alias("content"))
 
 
+@case("rejected_replies", views="replies", sql="""
+    SELECT paper_id, CASE paper_id % 3 WHEN 1 THEN 'busy' ELSE 'no message content' END AS error
+    FROM replies WHERE paper_id % 3 <> 0
+""")
+def _(t):
+    return split_errors(check_replies(t.replies))[1].select("paper_id", "error")
+
+
 def documents_answered(t):
     """Saved answer documents: the paper's text stands for the response."""
     pairs = t.answered.join(t.questions, "q_idx").join(t.papers, "paper_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from snowlit.schemas import RELEVANCE, REPLY
+from snowlit.schemas import NO_CONTENT, RELEVANCE, REPLY, REPLY_ERROR
 
 # Separators, prompt wording, file-name pattern, and the option
 # values for which no options are sent.
@@ -82,6 +82,12 @@ def reply_content(reply: Column) -> Column:
     return F.from_json(reply, REPLY)["message"]["content"]
 
 
+def reply_error(reply: Column) -> Column:
+    """Why a reply is no answer: what it calls its ``error``, or :data:`NO_CONTENT`; NULL if it is one."""
+    said = F.from_json(reply, REPLY_ERROR)["error"]
+    return F.when(reply_content(reply).isNull(), F.coalesce(F.nullif(said, F.lit("")), F.lit(NO_CONTENT)))
+
+
 def reply_relevant(reply: Column) -> Column:
     """``relevant`` of a structured reply; anything unreadable is not relevant."""
     return F.coalesce(F.from_json(reply, RELEVANCE)["relevant"], F.lit(False))

@@ -88,3 +88,8 @@ def estimate_tokens(col: Column) -> Column:
 def base64_text(col: Column) -> Column:
     """Base64 without the line breaks the built-in inserts on long input."""
     return F.translate(F.base64(col), "\r\n", "")
+
+
+def file_stem(path: Column) -> Column:
+    """A file's name without folder and suffix."""
+    return F.regexp_extract(path, r"([^/]+?)(?:\.[^./]*)?$", 1)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snowlit.functions.doi import is_pdf
+from snowlit.functions.prompts import reply_content, reply_error
 from snowlit.schemas import NO_TEXT
 
 # bytes of one file -> its pages, as texts or as image bytes
@@ -121,3 +122,24 @@ def answer(
     return requests.select(*columns, prompt).mapInPandas(
         run, f"{kinds}, response STRING, skipped BOOLEAN, error STRING"
     )
+
+
+def check_replies(df: DataFrame, reply: str = "reply") -> DataFrame:
+    """Add ``content`` and ``error`` of JSON replies. A reply that is missing, cut or has no content is a row
+    with an error, which :func:`snowlit.operators.worklist.split_errors` sets apart; the others go on."""
+    return df.withColumns({"content": reply_content(F.col(reply)), "error": reply_error(F.col(reply))})
+
+
+def reply_answers(answers: DataFrame) -> DataFrame:
+    """What :func:`answer` gives, where ``response`` is a JSON reply, with its content as the response.
+
+    A reply without content is a failed attempt with an error, so its pair stays open; errors of the
+    call, and papers without text, stay as they are.
+    """
+    failed = F.col("error").isNotNull()
+    content, error = reply_content(F.col("response")), reply_error(F.col("response"))
+    return answers.withColumns({
+        "response": F.when(~failed, content),
+        "skipped": failed | content.isNull(),
+        "error": F.coalesce("error", error),
+    })

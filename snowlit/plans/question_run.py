@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from snowlit.functions.prompts import messages, page_prompt, request_json, text_prompt
 from snowlit.functions.text import base64_text
-from snowlit.operators.content import Answerer, answer
+from snowlit.operators.content import Answerer, answer, reply_answers
 from snowlit.operators.pages import contexts, join_page_replies
 from snowlit.operators.questions import open_questions, pair_questions, pending_pairs
 from snowlit.sources.files import read_responses, write_responses
@@ -85,15 +85,30 @@ def run_questions(
     tasks: int | None = None,
     max_context_tokens: int = CONTEXT_TOKENS,
     max_chunks: int | None = None,
+    model: str | None = None,
 ) -> None:
-    """Answer what is not yet stored at ``path`` and append it there."""
+    """Answer what is not yet stored at ``path`` and append it there.
+
+    ``fn`` gets prompts and gives responses. With a ``model`` it gets JSON request bodies for it and gives JSON
+    replies; one without content is stored as a failed attempt.
+    """
     spark = papers.sparkSession
     key = papers.schema["paper_id"].dataType.simpleString()
     stored = read_responses(
         spark, path, f"paper_id {key}, q_idx INT, response STRING, skipped BOOLEAN"
     )
     requests = text_requests(papers, questions, stored, max_context_tokens, max_chunks, tasks)
-    write_responses(answer(requests, fn, batch_size), path)
+    if model is None:
+        write_responses(answer(requests, fn, batch_size), path)
+    else:
+        write_responses(chat_answers(requests, fn, batch_size, model, max_context_tokens=max_context_tokens), path)
+
+
+def chat_answers(requests: DataFrame, fn: Answerer, batch_size: int = 1, model: str = MODEL, **settings) -> DataFrame:
+    """Answers to requests from a function that takes request bodies and gives JSON replies."""
+    body = F.when(F.col("prompt").isNotNull(), F.col("body"))
+    bodies = request_bodies(requests, model, **settings).withColumn("body", body)
+    return reply_answers(answer(bodies, fn, batch_size, prompt="body"))
 
 
 def whole_page_answers(answers: DataFrame, images: DataFrame) -> DataFrame:

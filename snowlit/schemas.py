@@ -28,6 +28,10 @@ ANSWER_DOCUMENTS = "paper_id STRING, q_idx INT, value STRING"
 # The part of a model reply that is read.
 REPLY = "message STRUCT<content: STRING>"
 
+# What a reply without an answer may say instead, and what is said of one that does not.
+REPLY_ERROR = "error STRING"
+NO_CONTENT = "no message content"
+
 RELEVANCE = "relevant BOOLEAN"
 
 

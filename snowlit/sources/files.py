@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyarrow import fs as pa_fs
@@ -23,7 +24,7 @@ from snowlit.schemas import (
     TOPICS,
     WORKS,
 )
-from snowlit.sources.commits import committed, publish, read_commits, write_aside
+from snowlit.sources.commits import committed, path_exists, publish, read_commits, write_aside
 
 # File-name patterns.
 PDF_FILES = "*.[pP][dD][fF]"
@@ -137,6 +138,34 @@ def read_question_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def collect_questions(spark: SparkSession, *sources: str | Sequence) -> DataFrame:
+    """Questions ``(q_idx, question)`` from texts, Markdown files and folders of them, in any nesting of lists,
+    numbered in their order.
+
+    A string that names an existing folder stands for its Markdown files in path order, one that names
+    a file for that file (if it is no Markdown file, for nothing); any other is a question as it is. The list is
+    written by hand, so it is taken apart on the driver; files are read by tasks.
+    """
+    flat = list(_flat(sources))
+    there = [bool(source.strip()) and path_exists(spark, source) for source in flat]
+    texts = [(i, 1, source) for i, source in enumerate(flat) if not there[i]]
+    parts = [spark.createDataFrame(texts, "source INT, place INT, question STRING")]
+    parts += [
+        read_questions(spark, source).select(F.lit(i).alias("source"), F.col("q_idx").alias("place"), "question")
+        for i, source in enumerate(flat) if there[i]
+    ]
+    number = F.row_number().over(Window.orderBy("source", "place"))
+    return reduce(DataFrame.unionAll, parts).select(number.alias("q_idx"), "question")
+
+
+def _flat(sources: str | Sequence) -> Iterator[str]:
+    if isinstance(sources, str):
+        yield sources
+    else:
+        for source in sources:
+            yield from _flat(source)
+
+
 def write_questions(df: DataFrame, path: str) -> None:
     """Save the numbered questions, one folder per number."""
     df.select("q_idx", "question").write.mode("overwrite").partitionBy("q_idx").text(path)

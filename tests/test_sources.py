@@ -2,6 +2,7 @@
 
 import json
 from concurrent.futures import ThreadPoolExecutor
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
@@ -189,6 +190,19 @@ def test_many_writers_at_once(spark, tmp_path):
     assert len(committed(spark, path)) == 5
 
 
+def test_one_job_gets_a_number(spark, tmp_path):
+    for round in range(20):
+        path, start = f"{tmp_path}/{round}", Barrier(6)
+
+        def race(n):
+            start.wait()
+            return publish(spark, path, f"c{n}", 0)
+
+        with ThreadPoolExecutor(6) as pool:
+            won = list(pool.map(race, range(6)))
+        assert won.count(True) == 1 and committed(spark, path) == [f"c{won.index(True)}"]
+
+
 def test_a_job_that_died_leaves_nothing_to_read(spark, tmp_path):
     path = f"{tmp_path}/responses"
     answers = spark.createDataFrame([("p", 1, "lost", False, None)], RESPONSE_ROW)
