@@ -35,12 +35,11 @@ def with_instant(df):
 
 
 def stream_of(t, table):
-    """A base table as a file stream."""
-    return (
-        t.spark.readStream.schema(getattr(t, table).schema)
-        .option("pathGlobFilter", f"{table}.parquet")
-        .parquet(t.sf_dir)
-    )
+    """A base table as a file stream, whether it is one file or a folder of files.
+
+    The path is a pattern that only the table's own name matches: a stream takes a plain path for a folder.
+    """
+    return t.spark.readStream.schema(getattr(t, table).schema).parquet(f"{t.sf_dir}/{table}.parque[t]")
 
 
 def log_stream(t):

@@ -6,6 +6,8 @@ from unittest.mock import MagicMock
 import pytest
 from pyspark.sql import functions as F
 
+from checks import stream_cases  # noqa: F401
+from checks.cases import spark_query
 from snowlit.checkpoints import checkpoint_dir
 from snowlit.streaming.jobs import (
     answer_stream,
@@ -200,3 +202,12 @@ def test_windows_do_not_depend_on_the_session_zone(spark, sf, conf, zone):
     for name in ("status_by_hour", "status_by_hour_stream"):
         problem, _ = compare(spark, duck(sf), sf, name, entry.queries()[name], entry.oracle_sql()[name])
         assert problem is None
+
+
+@pytest.mark.parametrize("name", ["answer_stream", "first_seen_stream", "status_by_hour_stream"])
+def test_streams_read_tables_that_are_folders_of_files(spark, sf, tmp_path, name):
+    for table in ("documents", "events", "region"):
+        spark.read.parquet(f"{sf}/{table}.parquet").repartition(3).write.parquet(f"{tmp_path}/{table}.parquet")
+    one_file, folder = (spark_query(name)(spark, at) for at in (sf, str(tmp_path)))
+    want = sorted(map(tuple, one_file.collect()))
+    assert want and sorted(map(tuple, folder.collect())) == want
