@@ -1,11 +1,14 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
 Words and hashes are those of the fingerprints. Texts with the same set are one node, named
-by a hash of the set. MinHash bands propose: every node is listed under 36 keys of 7 minima
-each, and nodes that share a key fall into one loose group. A pair at similarity s shares no
+by a hash of the set. SimHash proposes: the fingerprints of all five-word shingles, repeats included, are
+listed under triples of positional bytes, shared bytes are tallied, and what shares 3 or more and
+differs in at most 10 bits is linked, by the operator of :mod:`snowlit.llm.simhash`. At a similarity of 0.8 one bit of
+seven differs, so no bound on bits finds most such pairs. MinHash bands add what fingerprints
+miss: every node is listed under 36 keys of 7 minima each, and a pair at similarity s shares no
 key with probability (1 - s^7)^36: 2 in 10,000 at 0.80, below 1 in a million from 0.86 on;
-nothing else is missed. Sets decide: inside each loose group shingle sets are compared
-exactly, until what is linked is linked. Each text of a loose group moves once; a group
+a pair is missed only if both ways miss it. Nodes linked either way fall into one loose group. Sets decide: inside each
+loose group shingle sets are compared exactly, until what is linked is linked. Each text of a loose group moves once; a group
 larger than one block is cut into blocks, and each pair of blocks is compared in its own place.
 
 Defined cases. As for fingerprints: texts without words are one node; fewer words than a
@@ -21,9 +24,13 @@ from pyspark.sql import functions as F
 
 from snowlit.llm.common import map_rows, stored, type_of
 from snowlit.llm.components import components
+from snowlit.llm import simhash
 from snowlit.llm.simhash import SEED, keep_one, name_groups, shingle_hashes
 
 SHINGLE = 5
+# Fingerprints that propose: this many bits may differ, this many positional bytes are shared. Of chance pairs that
+# share three bytes one in a thousand differs in so few bits, so chance links join no groups.
+MAX_BITS, MIN_BYTES = 10, 3
 BANDS, ROWS = 36, 7
 FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 # Texts, and shingles of texts, that one block holds.
@@ -32,7 +39,10 @@ BLOCK, BLOCK_SHINGLES = 2048, 2_000_000
 
 def shingle_set(text: str | None) -> np.ndarray:
     """The distinct shingle hashes in order."""
-    parts = list(shingle_hashes(text, SHINGLE))
+    return _distinct(list(shingle_hashes(text, SHINGLE)))
+
+
+def _distinct(parts: list[np.ndarray]) -> np.ndarray:
     return np.unique(np.concatenate(parts)) if parts else np.empty(0, dtype=np.uint64)
 
 
@@ -90,30 +100,44 @@ def forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
 
 
 def _marked(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, fp, n, bands) for every document; ``n`` counts its distinct shingles."""
+    """(doc_id, fp, n, bands, simhash) for every document; ``n`` counts its distinct shingles."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
 
     def make():
         def run(c):
-            sets = [shingle_set(t) for t in c["text"]]
-            fps = np.array([_mark(s) for s in sets], dtype=np.uint64).view(np.int64)
-            return {"doc_id": c["doc_id"], "fp": pa.array(fps), "n": [len(s) for s in sets], "bands": [band_keys(s) for s in sets]}
+            hashed = [list(shingle_hashes(t, SHINGLE)) for t in c["text"]]
+            sets = [_distinct(parts) for parts in hashed]
+            fps, votes = (
+                pa.array(np.array(marks, dtype=np.uint64).view(np.int64))
+                for marks in ([_mark(s) for s in sets], [simhash.vote(parts) for parts in hashed])
+            )
+            return {"doc_id": c["doc_id"], "fp": fps, "n": [len(s) for s in sets], "bands": [band_keys(s) for s in sets], "simhash": votes}
 
         return run
 
-    return map_rows(rows, make, f"doc_id {type_of(rows, 'doc_id')}, fp BIGINT, n BIGINT, bands ARRAY<BIGINT>")
+    return map_rows(rows, make, f"doc_id {type_of(rows, 'doc_id')}, fp BIGINT, n BIGINT, bands ARRAY<BIGINT>, simhash BIGINT")
+
+
+def fingerprint_links(nodes: DataFrame) -> DataFrame:
+    """(a, b) that connect the nodes whose fingerprints are equal or close. ``nodes``: (fp, simhash)."""
+    heads = stored(nodes.groupBy("simhash").agg(F.min("fp").alias("a")), "simhash-heads")
+    equal = nodes.join(heads.hint("merge"), "simhash").filter("fp <> a").select("a", F.col("fp").alias("b"))
+    close = simhash.links(heads.select(F.col("simhash").alias("fp")), max_bits=MAX_BITS, min_bytes=MIN_BYTES)
+    close = stored(close.distinct(), "close-simhashes")
+    x, y = (heads.select(F.col("simhash").alias(c), F.col("a").alias(f"head_{c}")).hint("merge") for c in ("a", "b"))
+    return equal.unionAll(close.join(x, "a").join(y, "b").select("head_a", "head_b"))
 
 
 def _proposed(nodes: DataFrame) -> DataFrame:
-    """(fp, least, n, loose): the nodes that share a band key with another, by loose group."""
+    """(fp, least, n, loose): the nodes that share a band key, or nearly a fingerprint, with another, by loose group."""
     index = nodes.select("fp", F.explode("bands").alias("band"))
     heads = index.groupBy("band").agg(F.min("fp").alias("a"), F.max("fp").alias("most")).filter("a < most").select("band", "a")
     stars = index.join(stored(heads, "band-heads").hint("merge"), "band").filter("fp <> a").select("a", F.col("fp").alias("b"))
-    return nodes.join(components(stars), F.col("fp") == F.col("node")).select("fp", "least", "n", F.col("root").alias("loose"))
+    return nodes.join(components(fingerprint_links(nodes).unionAll(stars)), F.col("fp") == F.col("node")).select("fp", "least", "n", F.col("root").alias("loose"))
 
 
 def links(docs: DataFrame, nodes: DataFrame, doc_id="doc_id", text="text", block: int = BLOCK, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """(a, b) that connect what pairs of similarity 0.8 or more connect. ``nodes``: (fp, least, n, bands)."""
+    """(a, b) that connect what pairs of similarity 0.8 or more connect. ``nodes``: (fp, least, n, bands, simhash)."""
     proposed = stored(_proposed(nodes), "loose-groups")
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n") / block_shingles)).cast("int")
     sizes = proposed.groupBy("loose").agg(blocks.alias("blocks")).filter("blocks > 1")
@@ -150,7 +174,9 @@ def links(docs: DataFrame, nodes: DataFrame, doc_id="doc_id", text="text", block
 def rooted(docs: DataFrame, doc_id="doc_id", text="text", **limits) -> DataFrame:
     """(doc_id, fp, root, component_id) for every document; ``root`` names its group."""
     marked = stored(_marked(docs, doc_id, text), "shingle-sets")
-    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    # Texts of one set may repeat its shingles differently, and so have several fingerprints; the least stands for them.
+    one = F.min(F.struct("simhash", "n", "bands"))
+    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"), one.alias("one")).select("fp", "least", "one.*")
     nodes = stored(nodes, "set-nodes")
     roots = components(links(docs, nodes, doc_id, text, **limits))
     return name_groups(marked.select("doc_id", "fp"), nodes.select("fp", "least"), roots)

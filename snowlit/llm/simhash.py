@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import itertools
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -66,8 +66,13 @@ def shingle_hashes(text: str | None, shingle: int, chunk: int = 1 << 16) -> Iter
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, chunk: int = 1 << 16) -> int:
     """The SimHash of a text as an unsigned integer."""
+    return vote(shingle_hashes(text, shingle, chunk))
+
+
+def vote(pieces: Iterable[np.ndarray]) -> int:
+    """The SimHash of shingle hashes that come in pieces."""
     ones, n = np.zeros(64, dtype=np.int64), 0
-    for hashes in shingle_hashes(text, shingle, chunk):
+    for hashes in pieces:
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
         n += len(hashes)
@@ -100,12 +105,12 @@ def _index(nodes: DataFrame) -> DataFrame:
     return nodes.select("fp", F.explode(F.array(*lists)).alias("list"))
 
 
-def _close(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+def _close(x: np.ndarray, y: np.ndarray, max_bits: int, min_bytes: int) -> np.ndarray:
     """Which pairs share enough positional bytes and then differ in few bits."""
     diff = x ^ y
     shared = (diff[..., None].view(np.uint8).reshape(*diff.shape, 8) == 0).sum(axis=-1)
-    close = shared >= MIN_BYTES
-    close[close] = np.bitwise_count(diff[close]) <= MAX_BITS
+    close = shared >= min_bytes
+    close[close] = np.bitwise_count(diff[close]) <= max_bits
     return close
 
 
@@ -125,7 +130,7 @@ def _union(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             label[:] = up
 
 
-def _forest(fps: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _forest(fps: np.ndarray, side: np.ndarray, bounds: tuple[int, int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links that connect what the members of one list connect. ``side``: with both 0
     and 1, only members of different sides are compared."""
     label = np.arange(len(fps))
@@ -136,7 +141,7 @@ def _forest(fps: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.ndarray, np.
         for j in range(i, len(fps), step):
             if two and side[i] == side[j : j + step][-1]:  # sorted: all of one side
                 continue
-            close = _close(x[:, None], fps[None, j : j + step])
+            close = _close(x[:, None], fps[None, j : j + step], *bounds)
             a, b = np.nonzero(close)
             a, b = a + i, b + j
             new = a < b
@@ -145,7 +150,7 @@ def _forest(fps: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.ndarray, np.
     yield fps[label[joined]], fps[joined]
 
 
-def _compare(index: DataFrame) -> DataFrame:
+def _compare(index: DataFrame, bounds: tuple[int, int]) -> DataFrame:
     """Links (a, b) found in lists; rows of a list come together and sorted."""
     schema = "a BIGINT, b BIGINT"
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -176,10 +181,10 @@ def _compare(index: DataFrame) -> DataFrame:
             found = []
             two = new[size == 2]
             if len(two):
-                close = _close(fps[two], fps[two + 1])
+                close = _close(fps[two], fps[two + 1], *bounds)
                 found.append((fps[two[close]], fps[two[close] + 1]))
             for s, e in zip(new[size > 2].tolist(), ends[size > 2].tolist()):
-                found += _forest(fps[s:e], side[s:e])
+                found += _forest(fps[s:e], side[s:e], bounds)
             for a, b in found:
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], schema=out)
@@ -187,8 +192,12 @@ def _compare(index: DataFrame) -> DataFrame:
     return index.mapInArrow(run, schema)
 
 
-def links(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(a, b) that connect all distinct fingerprints at most 4 bits apart, as ``nodes`` (fp)."""
+def links(nodes: DataFrame, block: int = BLOCK, max_bits: int = MAX_BITS, min_bytes: int = MIN_BYTES) -> DataFrame:
+    """(a, b) that connect all distinct fingerprints at most 4 bits apart, as ``nodes`` (fp).
+
+    With other bounds: all that share a triple and ``min_bytes`` of their 8 bytes, and differ in at most
+    ``max_bits`` bits. Beyond 4 bits a pair may share no triple.
+    """
     index = _index(nodes)
     sizes = index.groupBy("list").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
     large = stored(sizes, "large-lists")
@@ -207,7 +216,7 @@ def links(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
             )
         )
     together = dealt.repartition("list", "pair").sortWithinPartitions("list", "pair", "side", "fp")
-    return _compare(together)
+    return _compare(together, (max_bits, min_bytes))
 
 
 def _rooted(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
