@@ -222,12 +222,16 @@ def _(t):
     )
 
 
+# Pages of one file: a file does not grow with the table, as no paper does.
+PAGES_PER_FILE = 1000
+
+
 def pdf_folder(t):
     """Documents in files named ``*.pdf`` that start like one; each document is a
     marked page in Base64."""
     path = work_path(t.spark, "pdf")
     page = F.concat(F.lit("%PDF"), F.translate(F.base64(F.col("text").cast("binary")), "\r\n", ""))
-    t.papers.select(page).write.option("extension", "pdf").csv(path)
+    t.papers.select(page).write.option("extension", "pdf").option("maxRecordsPerFile", PAGES_PER_FILE).csv(path)
     return path
 
 

@@ -1,10 +1,12 @@
 """Questions, prompts, user code, answers and extraction."""
 
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks.storage_cases import pdf_folder, register_pages
 from snowlit.functions.answers import has_data
 from snowlit.functions.prompts import (
     messages,
@@ -16,7 +18,7 @@ from snowlit.functions.prompts import (
     text_prompt,
 )
 from snowlit.operators import questions as questions_module
-from snowlit.operators.content import answer, extract_content, register_handler
+from snowlit.operators.content import answer, answer_bodies, extract_content, piece_ends, register_handler
 from snowlit.operators.extract import (
     compare_runs,
     dedup_measurements,
@@ -43,7 +45,7 @@ from snowlit.plans.question_run import (
     text_requests,
     whole_page_answers,
 )
-from snowlit.sources.files import read_failures, read_responses, write_responses
+from snowlit.sources.files import read_failures, read_responses, scan_pdfs, write_responses
 
 
 def value(spark, column):
@@ -433,3 +435,41 @@ def test_whole_answers_are_of_the_pages_there_are(spark):
     said += [("p", 4, 1, "r4", False), ("p", 4, 1, "r4", False)][:1]
     whole = whole_page_answers(spark.createDataFrame(said, schema), images).collect()
     assert [r.response for r in whole] == ["--- Page 1 ---\nr1\n\n--- Page 2 ---\nr2\n\n--- Page 4 ---\nr4"]
+
+
+def test_pieces_stay_near_their_limit():
+    assert piece_ends([4, 4, 4, 30, 1], 10) == [(0, 2), (2, 3), (3, 5)]
+    assert piece_ends([], 10) == [] and piece_ends([0, 0], 10) == [(0, 2)]
+
+
+def test_bodies_in_several_pieces_are_answered_like_prompts(spark):
+    # Texts of a megabyte: several pieces to a batch; some are missing, some fail.
+    text = F.when(F.col("id") % 7 != 3, F.concat(F.col("id").cast("string"), F.repeat(F.lit("x"), 1 << 20)))
+    asked = spark.range(40, numPartitions=1).select(
+        F.col("id").alias("paper_id"), F.lit(1).alias("q_idx"), text.alias("body")
+    )
+
+    def fn(texts):
+        if any(t.startswith("5x") for t in texts):
+            raise RuntimeError("busy")
+        return [t[:2] for t in texts]
+
+    want = sorted(map(tuple, answer(asked, fn, 3, prompt="body").collect()))
+    assert len(want) == 40 and sum(r[4] == "busy" for r in want) == 1
+    assert sorted(map(tuple, answer_bodies(asked, fn, 3).collect())) == want
+
+
+def test_paper_files_do_not_grow_with_the_table(spark):
+    papers = spark.range(2500, numPartitions=1).select(F.col("id").alias("paper_id"), F.col("id").cast("string").alias("text"))
+    path = pdf_folder(SimpleNamespace(spark=spark, papers=papers))
+    register_pages()
+    pages = extract_content(scan_pdfs(spark, path), "marked pages")
+    assert pages.count() == 2500
+    assert pages.agg(F.max("page_no")).first()[0] <= 1000
+
+
+def test_pages_of_a_large_file_leave_in_pieces(spark):
+    register_handler("large pages", lambda content: [f"{i}" + "x" * (3 << 20) for i in range(8)])
+    files = spark.createDataFrame([("a.pdf", b"%PDF")], "path STRING, content BINARY")
+    got = extract_content(files, "large pages").select("page_no", F.left("text", F.lit(1)), F.length("text")).collect()
+    assert sorted(map(tuple, got)) == [(i + 1, str(i), 1 + (3 << 20)) for i in range(8)]
