@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from snowlit.functions.prompts import messages, page_prompt, request_json, text_prompt
 from snowlit.functions.text import base64_text
-from snowlit.operators.content import Answerer, answer, reply_answers
+from snowlit.operators.content import Answerer, answer, answer_bodies, reply_answers
 from snowlit.operators.pages import contexts, join_page_replies
 from snowlit.operators.questions import open_questions, pair_questions, pending_pairs
 from snowlit.sources.files import read_responses, write_responses
@@ -108,7 +108,7 @@ def chat_answers(requests: DataFrame, fn: Answerer, batch_size: int = 1, model:
     """Answers to requests from a function that takes request bodies and gives JSON replies."""
     body = F.when(F.col("prompt").isNotNull(), F.col("body"))
     bodies = request_bodies(requests, model, **settings).withColumn("body", body)
-    return reply_answers(answer(bodies, fn, batch_size, prompt="body"))
+    return reply_answers(answer_bodies(bodies, fn, batch_size))
 
 
 def whole_page_answers(answers: DataFrame, images: DataFrame) -> DataFrame:
@@ -151,5 +151,5 @@ def run_page_questions(
     shown = images.select(*PAGE_KEYS, F.array(base64_text(F.col("image"))).alias("images"))
     requests = page_requests(shown, questions, read_responses(spark, pages_path, schema))
     bodies = request_bodies(requests, model, system_prompt, temperature, max_context_tokens, "images")
-    write_responses(answer(bodies, fn, batch_size, tasks, prompt="body"), pages_path)
+    write_responses(answer_bodies(bodies, fn, batch_size, tasks), pages_path)
     write_responses(whole_page_answers(read_responses(spark, pages_path, schema), images), path)
