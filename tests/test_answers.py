@@ -20,6 +20,7 @@ from snowlit.functions.prompts import (
 from snowlit.operators import questions as questions_module
 from snowlit.operators.content import answer, answer_bodies, extract_content, piece_ends, register_handler
 from snowlit.operators.extract import (
+    bibliography_entries,
     compare_runs,
     dedup_measurements,
     extract_measurements,
@@ -473,3 +474,31 @@ def test_pages_of_a_large_file_leave_in_pieces(spark):
     files = spark.createDataFrame([("a.pdf", b"%PDF")], "path STRING, content BINARY")
     got = extract_content(files, "large pages").select("page_no", F.left("text", F.lit(1)), F.length("text")).collect()
     assert sorted(map(tuple, got)) == [(i + 1, str(i), 1 + (3 << 20)) for i in range(8)]
+
+
+def test_plain_entries_read_as_the_parser_reads_them(spark, monkeypatch):
+    entries = [
+        '<title>a</title><idno type="DOI">10.1/a</idno>', '<title n="x>y"> b </title ><idno type="DOI" >10.1/b</idno>',
+        "<title/><title>c</title>", "<title>d <i>e</i> f</title>", '<idno type="DOI"/><idno type="DOI">10.1/c</idno>',
+        '<idno type="doi">1</idno><idno type="DOI"><b>10.1/d</b></idno>', "<note>no title</note>", "<titles>x</titles>",
+        "<a><b><c><title>g</title></c></b></a>", "<a><b><c><d><e><f><title>deep</title></f></e></d></c></b></a>",
+        "<title>h &amp; i</title>", "<title>j\r\nk</title>", "<title><![CDATA[l]]></title>", '<title xmlns="u">m</title>',
+        "<title>n</title></a>", "<title>o</Title>", '<title a="1" a="2">p</title>', "<title>q]]>r</title>", "<!-- <title>s</title> --><title>t</title>",
+        "<title a='1'>u</title>", "<p:title>v</p:title>", "<title>w\x02</title>", "<title>é \U0001f600</title>", "<title>x</title><title>y</title>",
+        '<idno n="<">z</idno>', "<title>a\nb</title>", "<idno\ntype=\"DOI\">10.1/e</idno>", "",
+    ]
+    docs = spark.createDataFrame([(i, f"<biblStruct>{e}</biblStruct>") for i, e in enumerate(entries)], "paper_id INT, xml STRING").repartition(4)
+
+    def both():
+        return [sorted(map(tuple, f(docs).collect())) for f in (extract_references, rejected_entries)]
+
+    got = both()
+    assert bibliography_entries(docs).filter("plain").count() >= 10
+    monkeypatch.setattr("snowlit.operators.extract._plain_entry", lambda: "(?!)")
+    assert got == both() and len(got[0]) > 15 and len(got[1]) > 4
+
+
+def test_entries_without_oddities_need_no_xml_parser(spark):
+    rows = [(i, f'<listBibl><biblStruct><title>t{i}</title><biblStruct n="a>b"/></biblStruct ></listBibl>') for i in range(5)]
+    docs = spark.createDataFrame(rows, "paper_id INT, xml STRING")
+    assert bibliography_entries(docs).filter("NOT plain").isEmpty()
