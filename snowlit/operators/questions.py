@@ -88,6 +88,39 @@ class OpenQuestions:
         return met.select(*papers.columns, F.inline(asked))
 
 
+def question_blocks(questions: DataFrame) -> DataFrame:
+    """``(_block, _questions)``: the question list, cut by number into stored blocks."""
+    listed = questions.filter("q_idx IS NOT NULL").select(F.col("q_idx").cast("int").alias("q_idx"), "question")
+    blocks = listed.groupBy(_block().alias("_block")).agg(
+        F.array_sort(F.collect_list(F.struct("q_idx", "question"))).alias("_questions")
+    )
+    return write_step(blocks, work_path(questions.sparkSession, "question-blocks"))
+
+
+def all_pairs(papers: DataFrame, blocks: DataFrame, keys: Sequence[str] = ("paper_id",)) -> DataFrame:
+    """Every paper with every question of the blocks."""
+    return fan_out(papers, blocks, keys).select(*papers.columns, F.inline("_questions"))
+
+
+def open_numbers(
+    papers: DataFrame, blocks: DataFrame, done: DataFrame, keys: Sequence[str] = ("paper_id",)
+) -> DataFrame:
+    """``(*keys, q_idx)`` of the pairs that ``done`` has no row for, stored; for few papers at a time."""
+    keys = list(keys)
+    numbers = blocks.select(F.array_distinct(F.transform("_questions", lambda q: q["q_idx"])).alias("_numbers"))
+    asked = fan_out(papers.select(*keys), numbers, keys).select(*keys, F.explode("_numbers").alias("q_idx"))
+    left = asked.join(done, [*keys, "q_idx"], "left_anti")
+    return write_step(left, work_path(papers.sparkSession, "open-numbers"))
+
+
+def ask_numbers(
+    papers: DataFrame, blocks: DataFrame, numbers: DataFrame, keys: Sequence[str] = ("paper_id",)
+) -> DataFrame:
+    """``papers`` with ``q_idx`` and ``question`` of the pairs that :func:`open_numbers` gave."""
+    asked = papers.join(numbers, list(keys)).join(blocks.select(F.inline("_questions")), "q_idx")
+    return asked.select(*papers.columns, "q_idx", "question")
+
+
 def open_questions(
     questions: DataFrame, responses: DataFrame, keys: Sequence[str] = ("paper_id",)
 ) -> OpenQuestions:
@@ -98,11 +131,7 @@ def open_questions(
     so no row grows with the list. ``keys`` tell papers apart; pages have two.
     """
     spark, keys = questions.sparkSession, tuple(keys)
-    listed = questions.filter("q_idx IS NOT NULL").select(F.col("q_idx").cast("int").alias("q_idx"), "question")
-    blocks = listed.groupBy(_block().alias("_block")).agg(
-        F.array_sort(F.collect_list(F.struct("q_idx", "question"))).alias("_questions")
-    )
-    blocks = write_step(blocks, work_path(spark, "question-blocks"))
+    blocks = question_blocks(questions)
     done = (
         responses.dropna(subset=[*keys, "q_idx"])
         .groupBy(*keys, _block().alias("_block"))

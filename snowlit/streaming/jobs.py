@@ -6,7 +6,7 @@ then stop. Checkpoint folders must be on shared storage.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +15,18 @@ from pyspark.sql.types import IntegerType, StructType
 
 from snowlit.checkpoints import work_path, write_step
 from snowlit.functions.doi import doi_key, has_doi
-from snowlit.operators.questions import pending_pairs
+from snowlit.operators.questions import all_pairs, ask_numbers, open_numbers, question_blocks
 from snowlit.sources.files import FINISHED, PDF_FILES, or_empty
 
 # Hash partitions of the tables that streams ask what is known; fixed, for stored tables have it.
 KEY_PARTS = 64
 
+# Tasks that write an append to such a table.
+WRITERS = 16
+
+# Lists of keys that a run of a stream keeps of one size before it makes one of them.
+KEY_LISTS = 16
+
 BINARY_FILE = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
@@ -52,22 +58,83 @@ def key_part(key: Column) -> Column:
     return F.pmod(F.xxhash64(key.cast("string")), F.lit(KEY_PARTS)).cast("int")
 
 
-def known(keys: DataFrame, key: str, path: str, schema: StructType) -> DataFrame:
-    """What a table stored in folders ``key_part=<n>`` has of the given keys. Only the folders
-    that a key falls into are listed and read."""
-    spark = keys.sparkSession
-    parts = [str(r[0]) for r in keys.select(key_part(F.col(key))).distinct().collect()]  # at most KEY_PARTS
+def parts_of(keys: DataFrame, key: str) -> list[int]:
+    """The partitions that these keys fall into, at most :data:`KEY_PARTS`."""
+    return [r[0] for r in keys.select(key_part(F.col(key))).distinct().collect()]
+
+
+def stored_in(spark: SparkSession, path: str, parts: Sequence[int], schema: StructType) -> DataFrame:
+    """What a table stored in folders ``key_part=<n>`` has in these; only they are listed and read."""
     if not parts:
         return spark.createDataFrame([], schema)
-    folders = f"{path}/key_part={{{','.join(parts)}}}"
+    folders = f"{path}/key_part={{{','.join(map(str, parts))}}}"
     stored = or_empty(spark, schema, lambda: spark.read.schema(schema).option("basePath", path).parquet(folders))
-    return stored.select(*schema.names).join(keys.select(key).distinct(), key, "left_semi")
+    return stored.select(*schema.names)
+
+
+def known(keys: DataFrame, key: str, path: str, schema: StructType) -> DataFrame:
+    """What a table stored in folders ``key_part=<n>`` has of the given keys. Only the folders
+    that a key falls into are listed and read."""
+    stored = stored_in(keys.sparkSession, path, parts_of(keys, key), schema)
+    return stored.join(keys.select(key).distinct(), key, "left_semi")
+
+
+class KnownKeys:
+    """What a table in folders ``key_part=<n>`` has of any keys, for one run of a stream that alone appends to it.
+
+    A partition of the table is read once, when the first key falls into it; its keys, and those that the run
+    itself appends, are lists in the work folder. :data:`KEY_LISTS` lists of one size become one of the
+    next, so a run of n micro-batches reads some log(n) lists in each, not all files that the earlier
+    ones have appended. The table stays what counts: a new run starts from it.
+    """
+
+    def __init__(self, spark: SparkSession, key: str, path: str, schema: StructType, where: str = "true"):
+        self.spark, self.key, self.path, self.schema, self.where = spark, key, path, schema, where
+        self.parts: set[int] = set()
+        self.lists: list[list[str]] = []
+
+    def append(self, rows: DataFrame) -> None:
+        """Append rows to the table and to what is known. They are made once."""
+        aside = work_path(self.spark, "key-list")
+        append_by_key(write_step(rows, aside), self.key, self.path)
+        self._keep(aside, 0)
+
+    def of(self, keys: DataFrame) -> DataFrame:
+        """The rows of the given keys, each of which is there once; stored."""
+        new = [] if len(self.parts) == KEY_PARTS else sorted(set(parts_of(keys, self.key)) - self.parts)
+        if new:
+            stored = stored_in(self.spark, self.path, new, self.schema)
+            self._keep(self._packed(stored), 0)
+            self.parts.update(new)
+        rows = self._read([path for level in self.lists for path in level])
+        found = rows.join(keys.select(self.key), self.key, "left_semi").select(*self.schema.names)
+        return write_step(found, work_path(self.spark, "known-keys"))
+
+    def _read(self, paths: Sequence[str]) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*paths).filter(self.where)
+
+    def _packed(self, rows: DataFrame) -> str:
+        """The columns of the schema, in as many files as they need, whatever the number they come from."""
+        path = work_path(self.spark, "key-list")
+        rows.filter(self.where).select(*self.schema.names).repartition(F.col(self.key)).write.parquet(path)
+        return path
+
+    def _keep(self, path: str, level: int) -> None:
+        if level == len(self.lists):
+            self.lists.append([])
+        self.lists[level].append(path)
+        if len(self.lists[level]) == KEY_LISTS:
+            full, self.lists[level] = self.lists[level], []
+            self._keep(self._packed(self._read(full)), level + 1)
 
 
 def append_by_key(df: DataFrame, key: str, path: str) -> None:
-    """Append to such a table, each partition from one task of the write."""
+    """Append to such a table, each partition from one task of the write. The number of tasks is given, for
+    opening so many files takes longer than their bytes let Spark expect."""
     part = key_part(F.col(key)).alias("key_part")
-    df.select("*", part).repartition("key_part").write.mode("append").partitionBy("key_part").parquet(path)
+    df.select("*", part).repartition(WRITERS, "key_part").write.mode("append").partitionBy("key_part").parquet(path)
 
 
 def first_seen_table(
@@ -91,10 +158,11 @@ def first_seen_table(
     else:
         fresh = stream.filter(has_doi(F.col("doi"))).withColumn("doi_key", doi_key(F.col("doi"), case_sensitive))
     schema = StructType([fresh.schema["doi_key"]])
+    seen = KnownKeys(stream.sparkSession, "doi_key", path, schema)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        rows = write_step(batch.dropDuplicates(["doi_key"]), work_path(batch.sparkSession, "first-seen"))
-        append_by_key(rows.join(known(rows, "doi_key", path, schema), "doi_key", "left_anti"), "doi_key", path)
+        rows = write_step(batch.dropDuplicates(["doi_key"]), work_path(seen.spark, "first-seen"))
+        seen.append(rows.join(seen.of(rows), "doi_key", "left_anti"))
 
     return (
         fresh.writeStream.foreachBatch(run)
@@ -161,19 +229,31 @@ def answer_stream(
     has answered, itself included, and appends the rest. So a
     replayed batch adds only what is missing, and a lost checkpoint, with other files in
     other batches, loses no answer. Rows with an ``error`` do not count as answers. Answers are
-    stored in folders ``key_part=<n>`` by a hash of the paper; a micro-batch reads those of its own
-    papers, and of these the rows of its own papers go on. One stream per table.
+    stored in folders ``key_part=<n>`` by a hash of the paper; a run reads the keys of those of its
+    papers once, see :class:`KnownKeys`, and the question list once. One stream per table.
     """
+    spark = papers.sparkSession
     key = (
         StructType([papers.schema["paper_id"]])
         .add("q_idx", IntegerType())
         .add("error", "string")
     )
 
+    seen = KnownKeys(spark, "paper_id", path, key, FINISHED)
+    blocks = question_blocks(questions)
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.dropDuplicates(["paper_id"])
-        done = known(fresh, "paper_id", path, key).filter(FINISHED)
-        append_by_key(respond(pending_pairs(fresh, questions, done)), "paper_id", path)
+        fresh = batch.dropna(subset=["paper_id"]).dropDuplicates(["paper_id"])
+        fresh = write_step(fresh, work_path(spark, "new-papers"))
+        done = seen.of(fresh)
+        if done.isEmpty():
+            pending = all_pairs(fresh, blocks)
+        else:
+            left = open_numbers(fresh, blocks, done)
+            if left.isEmpty():
+                return
+            pending = ask_numbers(fresh, blocks, left)
+        seen.append(respond(pending))
 
     return (
         papers.writeStream.foreachBatch(run)

@@ -1,6 +1,7 @@
 """Streaming jobs: nothing twice, nothing lost, same results as in batch."""
 
 import datetime as dt
+import os
 from unittest.mock import MagicMock
 
 import pytest
@@ -211,3 +212,30 @@ def test_streams_read_tables_that_are_folders_of_files(spark, sf, tmp_path, name
     one_file, folder = (spark_query(name)(spark, at) for at in (sf, str(tmp_path)))
     want = sorted(map(tuple, one_file.collect()))
     assert want and sorted(map(tuple, folder.collect())) == want
+
+
+def test_a_run_knows_its_own_answers_without_reading_the_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("snowlit.streaming.jobs.KEY_LISTS", 2)
+    questions = spark.createDataFrame([(1, "a"), (2, "b")], "q_idx INT, question STRING")
+    schema, out, asked = "paper_id STRING", tmp_path / "out", []
+
+    def respond(pending):
+        # What earlier micro-batches have appended could not be read.
+        for file in out.glob("key_part=*/*.parquet"):
+            file.write_bytes(b"no Parquet")
+            file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+        asked.append(sorted((r.paper_id, r.q_idx) for r in pending.collect()))
+        busy = F.when(F.expr("paper_id = 'p50' AND q_idx = 2"), "busy")
+        return pending.select("paper_id", "q_idx", F.lit("r").alias("response"), busy.alias("error"))
+
+    for low, high in ((0, 100), (50, 150), (100, 200), (0, 50), (0, 200)):
+        add(spark, f"{tmp_path}/in", [(f"p{i}",) for i in range(low, high)], schema)
+    files = sorted((tmp_path / "in").glob("*.parquet"), key=lambda f: f.stat().st_mtime_ns)
+    for i, file in enumerate(files):
+        os.utime(file, (1_700_000_000 + 10 * i,) * 2)
+    papers = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    answer_stream(papers, questions, str(out), f"{tmp_path}/progress", respond).awaitTermination()
+    pairs = lambda low, high: {(f"p{i}", q) for i in range(low, high) for q in (1, 2)}
+    # The fourth batch has nothing open; the failed attempt is asked again.
+    assert [set(a) for a in asked] == [pairs(0, 100), pairs(100, 150) | {("p50", 2)}, pairs(150, 200), {("p50", 2)}]
+    assert [len(a) for a in asked] == [200, 101, 100, 1]
