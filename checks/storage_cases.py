@@ -36,6 +36,7 @@ from snowlit.sources.files import (
     opened,
     read_answer_files,
     read_documents,
+    read_exported_answers,
     read_questions,
     read_references,
     read_responses,
@@ -274,7 +275,7 @@ def _(t):
     path, tree = work_path(t.spark, "paper-answers"), work_path(t.spark, "paper-documents")
     answer_papers(t.spark, paper_files(t), t.questions, "marked texts", path, reader, batch_size=16)
     export_answer_files(answer_documents(t.questions, read_responses(t.spark, path)), tree)
-    return parse_answers(read_answer_files(t.spark, tree))
+    return parse_answers(read_exported_answers(t.spark, tree))
 
 
 def register_pages():

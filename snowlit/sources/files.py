@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+import zlib
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
@@ -31,6 +33,12 @@ PDF_FILES = "*.[pP][dD][fF]"
 QUESTION_FILES = "*.[mM][dD]"
 ANSWER_FILE = r"([^/]+)/q(\d+)\.md$"
 
+# Tasks that write, or read, a file for each answer.
+FILE_TASKS = 64
+
+# Bytes of answers that leave such a task at once.
+FILE_PIECE = 8 << 20
+
 # Why a reference file is rejected.
 BAD_REFERENCES = "not a JSON array of references"
 
@@ -216,10 +224,11 @@ def export_answer_files(documents: DataFrame, path: str) -> int:
     :func:`write_documents`, which pack many into a file. ``path`` is a folder that all executors reach
     and pyarrow can open. A file appears whole or not at all, and a task that runs again replaces its
     files. Of several documents of one key the greatest is written; those without a key are left out, and an empty one is an empty file, of which Spark reads no row.
+    The number of tasks is given, for opening files takes longer than their bytes let Spark expect.
     """
-    one = documents.dropna(subset=["paper_id", "q_idx", "value"]).groupBy(
-        F.col("paper_id").cast("string").alias("paper_id"), F.col("q_idx").cast("int").alias("q_idx")
-    ).agg(F.max("value").alias("value"))
+    keys = [F.col("paper_id").cast("string").alias("paper_id"), F.col("q_idx").cast("int").alias("q_idx")]
+    keyed = documents.dropna(subset=["paper_id", "q_idx", "value"]).select(*keys, "value")
+    one = keyed.repartition(FILE_TASKS, "paper_id").groupBy("paper_id", "q_idx").agg(F.max("value").alias("value"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = opened(path)
@@ -240,6 +249,47 @@ def export_answer_files(documents: DataFrame, path: str) -> int:
     return one.mapInArrow(write, "n BIGINT").agg(F.sum("n")).first()[0] or 0
 
 
+def read_exported_answers(spark: SparkSession, path: str) -> DataFrame:
+    """What :func:`export_answer_files` wrote, under the same terms; a missing folder holds none.
+
+    Spark's file sources list every folder in a task of its own and keep all files in the driver. Here
+    each task looks at the names of the papers' folders and lists and reads those of its share.
+    """
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = opened(path)
+        for batch in batches:
+            for share in batch.column(0).to_pylist():
+                rows, size = [], 0
+                for folder in store.get_file_info(pa_fs.FileSelector(root, allow_not_found=True)):
+                    if folder.type != pa_fs.FileType.Directory or zlib.crc32(folder.base_name.encode()) % FILE_TASKS != share:
+                        continue
+                    paper = paper_of(folder.base_name)
+                    for file in store.get_file_info(pa_fs.FileSelector(folder.path)):
+                        number = re.fullmatch(r"q(-?\d+)\.md", file.base_name)
+                        if number is None:
+                            continue
+                        with store.open_input_stream(file.path) as content:
+                            value = content.read()
+                        rows.append((paper, int(number[1]), value.decode("utf-8", "replace")))
+                        size += len(value)
+                        if size > FILE_PIECE:
+                            yield documents(rows)
+                            rows, size = [], 0
+                yield documents(rows)
+
+    def documents(rows: list[tuple[str, int, str]]) -> pa.RecordBatch:
+        kinds = {"paper_id": pa.string(), "q_idx": pa.int32(), "value": pa.string()}
+        columns = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds.values())]
+        return pa.RecordBatch.from_arrays(columns, names=list(kinds))
+
+    return spark.range(0, FILE_TASKS, 1, FILE_TASKS).mapInArrow(read, "paper_id STRING, q_idx INT, value STRING")
+
+
+def paper_of(name: str) -> str:
+    """The paper whose :func:`file_name` this is."""
+    return name.replace("%2F", "/").replace("%2E", ".").replace("%25", "%")
+
+
 def opened(path: str) -> tuple[pa_fs.FileSystem, str]:
     """The file system of a path and the path in it."""
     if path.startswith("file:"):

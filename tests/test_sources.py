@@ -7,6 +7,8 @@ from threading import Barrier
 import pytest
 from pyspark.sql import functions as F
 
+from checks import storage_cases  # noqa: F401
+from checks.cases import spark_query
 from snowlit.functions.doi import has_doi
 from snowlit.operators.content import extract_content, register_handler
 from snowlit.operators.extract import parse_answers
@@ -14,6 +16,7 @@ from snowlit.sources import files
 from snowlit.sources.commits import committed, publish, write_aside
 from snowlit.sources.files import (
     export_answer_files,
+    read_exported_answers,
     read_answer_files,
     read_failures,
     read_question_lines,
@@ -222,3 +225,16 @@ def test_catalogues(spark, tmp_path):
     assert row.topics == ["T1"] and row.primary_location.pdf_url is None and row.is_oa is None
     (tmp_path / "topics.json").write_text('{"id": "https://openalex.org/T1", "display_name": "Water"}')
     assert read_topics(spark, f"{tmp_path}/topics.json", "json").first().display_name == "Water"
+
+
+def test_exported_answers_are_listed_and_read_by_tasks(spark, sf, tmp_path):
+    papers = ["a", "b/c", "d%2Fe", ".", "..", "_f", ".g", "h+i j", "%2E", "\u00e9", *(f"p{i}" for i in range(200))]
+    rows = [(paper, q, f"{paper} says {q}") for paper in papers for q in (1, 12)] + [("empty", 3, "")]
+    documents = spark.createDataFrame(rows, "paper_id STRING, q_idx INT, value STRING")
+    assert export_answer_files(documents, f"{tmp_path}/tree") == len(rows)
+    (tmp_path / "tree" / "p1" / "q9.md.part").write_text("unfinished")
+    assert sorted(map(tuple, read_exported_answers(spark, f"{tmp_path}/tree").collect())) == sorted(rows)
+    assert read_exported_answers(spark, f"file:{tmp_path}/tree").count() == len(rows)
+    assert read_exported_answers(spark, f"{tmp_path}/none").count() == 0
+    # No file of an answer is known to the driver.
+    assert spark_query("answers_from_files")(spark, sf).inputFiles() == []
